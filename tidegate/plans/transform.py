@@ -1,0 +1,90 @@
+"""Flat rows to silver, quarantine and the count ledger."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from tidegate import storage
+from tidegate.functions.rules import with_soft_flags
+from tidegate.lake import Lake
+from tidegate.operators.dedupe import latest_wins
+from tidegate.operators.ledger import ledger_from_counts, route_counts, status_counts
+from tidegate.operators.quarantine import write_quarantine
+from tidegate.operators.route import (
+    OUT_OF_SCOPE,
+    QUARANTINED,
+    ROUTE,
+    SURVIVOR,
+    quarantine_split,
+    route,
+    routed,
+    survivors,
+)
+from tidegate.operators.snapshots import SnapshotTable
+from tidegate.session import scratch_path
+from tidegate.spec import ProductSpec
+
+
+def _silver_from_survivors(surviving: DataFrame, spec: ProductSpec) -> DataFrame:
+    # Soft rules read published columns only, so they are evaluated after the exchange on the
+    # rows that are kept.
+    latest = latest_wins(surviving, spec.key, spec.order)
+    return with_soft_flags(latest, spec.soft_rules).select(*spec.silver_columns)
+
+
+def silver_of(flat: DataFrame, spec: ProductSpec) -> DataFrame:
+    """Silver as a lazy frame: scope, hard rules, latest-wins, soft flags."""
+    return _silver_from_survivors(survivors(flat, spec), spec)
+
+
+def transform(
+    spark: SparkSession,
+    flat: DataFrame,
+    spec: ProductSpec,
+    lake: Lake,
+    run_id: str,
+    stage: bool = True,
+) -> dict[str, int]:
+    """Write silver and quarantine of one run and return its ledger.
+
+    ``stage=True`` suits expensive sources such as page documents: they are parsed once, and the
+    flat rows worth keeping go to a table in the shared scratch folder, one folder per route, with
+    the counts taken on the way. Silver and quarantine read only their own route, and a lost
+    executor never causes a page to be parsed again. The counts are observed in stages that write
+    files, whose tasks count once however often they are attempted.
+
+    ``stage=False`` suits columnar tables, where three pruned scans cost less than an extra copy.
+    """
+    silver_table = SnapshotTable(spark, lake.silver)
+    if not stage:
+        before = flat.select(route(spec).alias(ROUTE)).agg(*route_counts()).first().asDict()
+        write_quarantine(quarantine_split(flat, spec), lake, run_id)
+        after = _publish_silver(silver_table, survivors(flat, spec), spec, run_id)
+        return ledger_from_counts(before, after)
+
+    staged = scratch_path(spark, "routed")
+    rows = routed(flat, spec)
+    seen = Observation("routes")
+    (
+        rows.observe(seen, *route_counts())
+        .filter(F.col(ROUTE) != OUT_OF_SCOPE)
+        .write.partitionBy(ROUTE)
+        .parquet(staged)
+    )
+    kept = spark.read.schema(rows.schema).parquet(staged)
+    rejected = kept.filter(F.col(ROUTE) == QUARANTINED).select(*spec.quarantine_columns)
+    write_quarantine(rejected, lake, run_id)
+    surviving = kept.filter(F.col(ROUTE) == SURVIVOR).select(*spec.field_columns, *spec.lineage)
+    after = _publish_silver(silver_table, surviving, spec, run_id)
+    storage.delete(spark, staged)
+    return ledger_from_counts(seen.get, after)
+
+
+def _publish_silver(
+    table: SnapshotTable, surviving: DataFrame, spec: ProductSpec, run_id: str
+) -> dict[str, int]:
+    statuses = Observation("statuses")
+    silver = _silver_from_survivors(surviving, spec).observe(statuses, *status_counts())
+    table.publish(silver, run_id)
+    return statuses.get

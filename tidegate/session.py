@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Routes are few: keep a file open per route instead of sorting every task by route.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
