@@ -41,7 +41,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     A file that is not named like a page (a single fixture, say) is page 1.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(
         F.coalesce(_page_number(), F.lit(1).cast("long")).alias("page_no"),
         F.col("value").alias("document"),
