@@ -55,7 +55,9 @@ def run_ledger(routed: DataFrame, silver: DataFrame) -> DataFrame:
     """
     before = routed.agg(*route_counts())
     after = silver.agg(*status_counts())
-    return before.join(after, on=F.lit(True)).select(
+    both = before.unionByName(after, allowMissingColumns=True)
+    total = both.agg(*(F.max(name).alias(name) for name in both.columns))
+    return total.select(
         "rows_in",
         "rows_out_of_scope",
         "rows_quarantined",

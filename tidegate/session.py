@@ -45,13 +45,20 @@ def suggest_shuffle_partitions(
     return max(cores, -(-shuffle_bytes // target_bytes))
 
 
+_own_root: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a new one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only where that is unset, as on one machine, a folder of this process takes its place.
+    """
     shared = spark.conf.get(CHECKPOINT_KEY, None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="tidegate-")
-        spark.conf.set(CHECKPOINT_KEY, shared)
-    return shared.rstrip("/")
+    if shared:
+        return shared.rstrip("/")
+    if not _own_root:
+        _own_root.append(tempfile.mkdtemp(prefix="tidegate-"))
+    return _own_root[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
