@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 if TYPE_CHECKING:
-    from tidegate.spec import Rule
+    from tidegate.spec import FailingRule
 
 STATUS_OK = "OK"
 STATUS_WARNING = "WARNING"
@@ -33,24 +33,29 @@ def blank_or_literal(column: Column, literals: Iterable[str] = ("UNKNOWN",)) ->
     return column.isNull() | text.isin("", *(literal.upper() for literal in literals))
 
 
-def any_failed(rules: Sequence[Rule]) -> Column:
-    """True when any rule fails. A rule that yields NULL counts as failed, so that filtering by
-    this column and by its negation always splits a frame without losing rows."""
-    if not rules:
-        return F.lit(False)
-    return reduce(or_, (F.coalesce(rule.fails(), F.lit(True)) for rule in rules))
+def failed(rule: FailingRule) -> Column:
+    """The verdict of one rule; NULL counts as failed.
+
+    Only rules that can yield NULL are wrapped: a bare comparison can be pushed to the scan.
+    """
+    verdict = rule.fails()
+    return verdict if rule.never_null else F.coalesce(verdict, F.lit(True))
 
 
-def quarantine_reason(rules: Sequence[Rule]) -> Column:
+def any_failed(rules: Sequence[FailingRule]) -> Column:
+    """True when any rule fails; never NULL, so filtering by this column and by its negation always
+    splits a frame without losing rows."""
+    return reduce(or_, map(failed, rules)) if rules else F.lit(False)
+
+
+def quarantine_reason(rules: Sequence[FailingRule]) -> Column:
     """Code of the first hard rule that fails, NULL for a row that passes them all."""
     if not rules:
         return F.lit(None).cast("string")
-    return F.coalesce(
-        *(F.when(F.coalesce(rule.fails(), F.lit(True)), F.lit(rule.code)) for rule in rules)
-    )
+    return F.coalesce(*(F.when(failed(rule), F.lit(rule.code)) for rule in rules))
 
 
-def warnings_array(rules: Sequence[Rule]) -> Column:
+def warnings_array(rules: Sequence[FailingRule]) -> Column:
     """Codes of all failed soft rules in rule order; an empty array for a clean row.
 
     ``concat`` of one-element arrays is used because a higher-order ``filter`` would take the
@@ -60,23 +65,20 @@ def warnings_array(rules: Sequence[Rule]) -> Column:
     if not rules:
         return empty
     return F.concat(
-        *(
-            F.when(F.coalesce(rule.fails(), F.lit(True)), F.array(F.lit(rule.code))).otherwise(empty)
-            for rule in rules
-        )
+        *(F.when(failed(rule), F.array(F.lit(rule.code))).otherwise(empty) for rule in rules)
     )
 
 
-def soft_status(rules: Sequence[Rule]) -> Column:
+def soft_status(rules: Sequence[FailingRule]) -> Column:
     return F.when(any_failed(rules), F.lit(STATUS_WARNING)).otherwise(F.lit(STATUS_OK))
 
 
-def with_soft_flags(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def with_soft_flags(df: DataFrame, rules: Sequence[FailingRule]) -> DataFrame:
     """Add ``dq_status`` and ``dq_warnings``."""
     return df.withColumns({"dq_status": soft_status(rules), "dq_warnings": warnings_array(rules)})
 
 
-def annotate(df: DataFrame, hard: Sequence[Rule], soft: Sequence[Rule]) -> DataFrame:
+def annotate(df: DataFrame, hard: Sequence[FailingRule], soft: Sequence[FailingRule]) -> DataFrame:
     """Add ``is_quarantined``, ``quarantine_reason``, ``dq_status`` and ``dq_warnings``."""
     return df.withColumns(
         {

@@ -41,8 +41,10 @@ def payload(record: Column, redact: tuple[str, ...] = ()) -> Column:
     return F.to_json(kept, {"ignoreNullFields": "false"})
 
 
-def flatten(pages: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column]) -> DataFrame:
-    """Pages to flat rows: the spec's fields, the payload and the lineage columns.
+def flatten(
+    pages: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Pages to flat rows: the spec's fields, the payload and, when given, the lineage columns.
 
     The payload is a plain projection: where only some rows keep it, the optimizer evaluates it
     after their filter, and where no row keeps it, it is pruned.
@@ -50,14 +52,16 @@ def flatten(pages: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column])
     return explode_records(pages).select(
         *(_field_column(f, f"{RECORD}.") for f in spec.fields),
         payload(F.col(RECORD), spec.redact).alias(PAYLOAD),
-        *(column.alias(name) for name, column in lineage.items()),
+        *(column.alias(name) for name, column in (lineage or {}).items()),
     )
 
 
-def flatten_table(df: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column]) -> DataFrame:
+def flatten_table(
+    df: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column] | None = None
+) -> DataFrame:
     """The same flat rows from a table whose columns are addressed by the field paths."""
     return df.select(
         *(_field_column(f) for f in spec.fields),
         payload(F.struct(*(c for c in df.columns if c not in spec.redact))).alias(PAYLOAD),
-        *(column.alias(name) for name, column in lineage.items()),
+        *(column.alias(name) for name, column in (lineage or {}).items()),
     )

@@ -12,8 +12,9 @@ from tidegate import storage
 from tidegate.errors import LandingError
 from tidegate.functions.runs import new_run_id
 from tidegate.lake import Lake
+from tidegate.session import single_row
 from tidegate.sources.pages import page_audit, page_statistics, require_complete
-from tidegate.sources.runs import LANDING_SCHEMA, LandedRun, landed_runs
+from tidegate.sources.runs import LANDING_TYPES, LandedRun, landed_runs
 from tidegate.spec import ProductSpec
 
 
@@ -66,14 +67,8 @@ def land_documents(
         rows_in=audit["rows_in"],
         folder=path.removeprefix(f"{lake.bronze}/"),
     )
-    entry = {
-        **run.__dict__,
-        "ingest_date": ingest_date,
-        "ingested_at_utc": started_at,
-        "landed_at_utc": datetime.now(timezone.utc),
-    }
-    row = spark.createDataFrame([entry], LANDING_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(lake.landings)
+    entry = {**run.__dict__, "landed_at_utc": datetime.now(timezone.utc).isoformat()}
+    single_row(spark, entry, LANDING_TYPES).write.mode("append").parquet(lake.landings)
     for old in replaced:
         storage.delete(spark, f"{lake.bronze}/{old['folder']}")
     return run

@@ -9,34 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.errors import ContractError
 
-_SPREAD = "_spread"
-
 
 def _has_null(key: Sequence[str]) -> Column:
     return reduce(or_, (F.col(name).isNull() for name in key))
 
 
-def _with_spread(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """A second join column that is 0 for a complete key and the input partition otherwise.
+def _split_by_key(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a complete key, and rows whose key has a NULL.
 
-    A key with a NULL matches nothing, but all such rows would still hash to one reducer. The
-    partition number spreads them, and unlike a random salt it is the same when a lost task runs
-    again.
+    A NULL matches nothing, so the second part never needs to meet the other side. Left in the
+    join, all of it would hash to one reducer. The filter for it reaches the scan, where files
+    without NULL keys are skipped by their statistics.
     """
-    spread = F.when(_has_null(key), F.spark_partition_id() + 1).otherwise(0)
-    return df.withColumn(_SPREAD, spread)
-
-
-def _matches(left: str, right: str, key: Sequence[str]) -> Column:
-    names = (*key, _SPREAD)
-    return reduce(and_, (F.col(f"{left}.{n}") == F.col(f"{right}.{n}") for n in names))
+    return df.filter(~_has_null(key)), df.filter(_has_null(key))
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -62,17 +54,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> Da
     """Content of ``target`` after an upsert without the delete branch."""
     require_unique_key(source, key)
     columns = target.columns
-    untouched = (
-        _with_spread(target, key)
-        .alias("t")
-        .join(
-            source.filter(~_has_null(key)).select(*key).withColumn(_SPREAD, F.lit(0)).alias("s"),
-            _matches("t", "s", key),
-            "left_anti",
-        )
-        .select(*columns)
-    )
-    return untouched.unionByName(source.select(*columns))
+    complete, keyless = _split_by_key(target, key)
+    incoming = source.filter(~_has_null(key)).select(*key)
+    untouched = complete.join(incoming, list(key), "left_anti").select(*columns)
+    return untouched.unionByName(keyless).unionByName(source.select(*columns))
 
 
 def change_report(
@@ -85,21 +70,25 @@ def change_report(
     """
     compared = list(compare) if compare is not None else [c for c in old.columns if c not in key]
 
-    def side(df: DataFrame) -> DataFrame:
-        # A column that is never NULL tells a row's absence from NULL values in it.
+    old_complete, old_keyless = _split_by_key(old, key)
+    new_complete, new_keyless = _split_by_key(new, key)
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        # A field that is never NULL tells a row's absence from NULL values in it.
         content = F.struct(F.lit(True).alias("present"), *compared)
-        return _with_spread(df, key).select(*key, _SPREAD, content.alias("content"))
+        return df.select(*key, content.alias(name))
 
-    joined = side(old).alias("o").join(side(new).alias("n"), _matches("o", "n", key), "full_outer")
+    joined = side(old_complete, "old").join(side(new_complete, "new"), list(key), "full_outer")
     action = (
-        F.when(F.col("o.content.present").isNull(), F.lit("INSERT"))
-        .when(F.col("n.content.present").isNull(), F.lit("DELETE"))
-        .when(F.col("o.content").eqNullSafe(F.col("n.content")), F.lit("UNCHANGED"))
+        F.when(F.col("old.present").isNull(), F.lit("INSERT"))
+        .when(F.col("new.present").isNull(), F.lit("DELETE"))
+        .when(F.col("old").eqNullSafe(F.col("new")), F.lit("UNCHANGED"))
         .otherwise(F.lit("UPDATE"))
     )
-    return joined.select(
-        *(F.coalesce(f"n.{name}", f"o.{name}").alias(name) for name in key),
-        action.alias("action"),
+    return (
+        joined.select(*key, action.alias("action"))
+        .unionByName(old_keyless.select(*key, F.lit("DELETE").alias("action")))
+        .unionByName(new_keyless.select(*key, F.lit("INSERT").alias("action")))
     )
 
 

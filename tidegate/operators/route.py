@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.rules import any_failed, quarantine_reason
-from tidegate.spec import REASON, ProductSpec
+from tidegate.spec import PAYLOAD, REASON, ProductSpec
 
 ROUTE = "route"
 OUT_OF_SCOPE = "OUT_OF_SCOPE"
@@ -18,22 +18,30 @@ QUARANTINED = "QUARANTINED"
 SURVIVOR = "SURVIVOR"
 
 
+def _carried(flat: DataFrame, spec: ProductSpec) -> list[str]:
+    """The lineage columns a frame has; a single run's are constants that are added at the end."""
+    return [name for name in spec.lineage if name in flat.columns]
+
+
 def scope_filter(flat: DataFrame, spec: ProductSpec) -> DataFrame:
-    return flat.filter(spec.in_scope())
+    return flat.filter(spec.scope_predicate())
 
 
 def quarantine_split(flat: DataFrame, spec: ProductSpec) -> DataFrame:
     """In-scope rows that fail a hard rule, with the reason, payload and lineage."""
-    failed = scope_filter(flat, spec).filter(any_failed(spec.all_hard_rules))
-    return failed.withColumn(REASON, quarantine_reason(spec.all_hard_rules)).select(
-        *spec.quarantine_columns
+    rejected = scope_filter(flat, spec).filter(any_failed(spec.all_hard_rules))
+    return rejected.select(
+        *spec.field_columns,
+        quarantine_reason(spec.all_hard_rules).alias(REASON),
+        *_carried(flat, spec),
+        PAYLOAD,
     )
 
 
 def survivors(flat: DataFrame, spec: ProductSpec) -> DataFrame:
     """In-scope rows that pass every hard rule, without the payload."""
     passed = scope_filter(flat, spec).filter(~any_failed(spec.all_hard_rules))
-    return passed.select(*spec.field_columns, *spec.lineage)
+    return passed.select(*spec.field_columns, *_carried(flat, spec))
 
 
 def route(spec: ProductSpec) -> Column:
@@ -52,7 +60,7 @@ def routed(flat: DataFrame, spec: ProductSpec) -> DataFrame:
     return flat.withColumn(ROUTE, route(spec)).select(
         *spec.field_columns,
         F.when(failed, quarantine_reason(spec.all_hard_rules)).alias(REASON),
-        *spec.lineage,
-        F.when(failed, F.col("raw_payload")).alias("raw_payload"),
+        *_carried(flat, spec),
+        F.when(failed, F.col(PAYLOAD)).alias(PAYLOAD),
         ROUTE,
     )

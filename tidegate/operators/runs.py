@@ -5,26 +5,24 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import storage
 from tidegate.lake import Lake
+from tidegate.session import single_row
 
 
 def summary_frame(spark: SparkSession, summary: Mapping[str, object]) -> DataFrame:
     """A run summary as a one-row frame; counts are long, everything else is text."""
-    schema = T.StructType(
-        [
-            T.StructField(name, T.LongType() if isinstance(value, int) else T.StringType())
-            for name, value in summary.items()
-        ]
-    )
-    return spark.createDataFrame([tuple(summary.values())], schema)
+    types = {
+        name: "long" if isinstance(value, int) else "string" for name, value in summary.items()
+    }
+    return single_row(spark, summary, types)
 
 
 def append_run(spark: SparkSession, lake: Lake, summary: Mapping[str, object]) -> None:
-    summary_frame(spark, summary).coalesce(1).write.mode("append").parquet(lake.runs)
+    summary_frame(spark, summary).write.mode("append").parquet(lake.runs)
 
 
 def read_runs(spark: SparkSession, lake: Lake) -> DataFrame:

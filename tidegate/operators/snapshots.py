@@ -15,8 +15,15 @@ from pyspark.sql import functions as F
 
 from tidegate import storage
 from tidegate.errors import TidegateError
+from tidegate.session import single_row
 
-LOG_SCHEMA = "version long, run_id string, folder string, published_at_utc timestamp"
+LOG_TYPES = {
+    "version": "long",
+    "run_id": "string",
+    "folder": "string",
+    "published_at_utc": "timestamp",
+}
+LOG_SCHEMA = ", ".join(f"{name} {data_type}" for name, data_type in LOG_TYPES.items())
 
 
 class SnapshotTable:
@@ -46,9 +53,13 @@ class SnapshotTable:
         folder = f"data/version={version:06d}-{run_id}"
         # The version is not in the log yet, so an existing folder is a failed attempt's rest.
         df.write.mode("overwrite").parquet(f"{self.root}/{folder}")
-        entry = (version, run_id, folder, datetime.now(timezone.utc))
-        log = self.spark.createDataFrame([entry], LOG_SCHEMA)
-        log.coalesce(1).write.mode("append").parquet(self._log)
+        entry = {
+            "version": version,
+            "run_id": run_id,
+            "folder": folder,
+            "published_at_utc": datetime.now(timezone.utc).isoformat(),
+        }
+        single_row(self.spark, entry, LOG_TYPES).write.mode("append").parquet(self._log)
         return version
 
     def _read(self, entry: Row | None, what: str) -> DataFrame:

@@ -33,8 +33,8 @@ def _finish(
     started_at: datetime,
     merge: bool,
 ) -> dict[str, object]:
-    flat = flatten(pages, spec, run.lineage())
-    ledger = transform(spark, flat, spec, lake, run.run_id)
+    flat = flatten(pages, spec)
+    ledger = transform(spark, flat, spec, lake, run.run_id, run.lineage())
     require_balanced(ledger, run.rows_in)
     published = publish_gold(spark, spec, lake, run.run_id, merge)
     summary = {
@@ -74,12 +74,16 @@ def run_pages(
     lake: Lake,
     documents: DataFrame,
     run_id: str | None = None,
-    source: str | None = None,
     merge: bool = False,
+    **description: str,
 ) -> dict[str, object]:
-    """Land page documents as a new run, then transform and publish it."""
+    """Land page documents as a new run, then transform and publish it.
+
+    ``description`` takes what ``land_documents`` records of the source: ``source``,
+    ``source_detail`` and ``where_clause``.
+    """
     started_at = datetime.now(timezone.utc)
-    run = land_documents(spark, documents, lake, spec, run_id, started_at, source)
+    run = land_documents(spark, documents, lake, spec, run_id, started_at, **description)
     return run_landed(spark, spec, lake, run.run_id, merge, started_at)
 
 

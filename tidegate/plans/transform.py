@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import storage
@@ -23,19 +25,27 @@ from tidegate.operators.route import (
 )
 from tidegate.operators.snapshots import SnapshotTable
 from tidegate.session import scratch_path
-from tidegate.spec import ProductSpec
+from tidegate.spec import PAYLOAD, REASON, ProductSpec
 
 
-def _silver_from_survivors(surviving: DataFrame, spec: ProductSpec) -> DataFrame:
-    # Soft rules read published columns only, so they are evaluated after the exchange on the
-    # rows that are kept.
+def _silver_from_survivors(
+    surviving: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column] | None = None
+) -> DataFrame:
+    # Soft rules read published columns only and lineage is constant within a run, so both are
+    # added after the exchange, to the rows that are kept.
     latest = latest_wins(surviving, spec.key, spec.order)
-    return with_soft_flags(latest, spec.soft_rules).select(*spec.silver_columns)
+    flagged = with_soft_flags(latest, spec.soft_rules)
+    return flagged.withColumns(dict(lineage or {})).select(*spec.silver_columns)
+
 
+def silver_of(
+    flat: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Silver as a lazy frame: scope, hard rules, latest-wins, soft flags.
 
-def silver_of(flat: DataFrame, spec: ProductSpec) -> DataFrame:
-    """Silver as a lazy frame: scope, hard rules, latest-wins, soft flags."""
-    return _silver_from_survivors(survivors(flat, spec), spec)
+    ``lineage`` gives the lineage columns that ``flat`` does not have.
+    """
+    return _silver_from_survivors(survivors(flat, spec), spec, lineage)
 
 
 def transform(
@@ -44,6 +54,7 @@ def transform(
     spec: ProductSpec,
     lake: Lake,
     run_id: str,
+    lineage: Mapping[str, Column] | None = None,
     stage: bool = True,
 ) -> dict[str, int]:
     """Write silver and quarantine of one run and return its ledger.
@@ -57,34 +68,36 @@ def transform(
     ``stage=False`` suits columnar tables, where three pruned scans cost less than an extra copy.
     """
     silver_table = SnapshotTable(spark, lake.silver)
+
+    def publish_silver(surviving: DataFrame) -> dict[str, int]:
+        statuses = Observation("statuses")
+        silver = _silver_from_survivors(surviving, spec, lineage)
+        silver_table.publish(silver.observe(statuses, *status_counts()), run_id)
+        return statuses.get
+
+    def keep_rejected(rejected: DataFrame) -> None:
+        complete = rejected.withColumns(dict(lineage or {}))
+        write_quarantine(complete.select(*spec.quarantine_columns), lake, run_id)
+
     if not stage:
         before = flat.select(route(spec).alias(ROUTE)).agg(*route_counts()).first().asDict()
-        write_quarantine(quarantine_split(flat, spec), lake, run_id)
-        after = _publish_silver(silver_table, survivors(flat, spec), spec, run_id)
-        return ledger_from_counts(before, after)
+        keep_rejected(quarantine_split(flat, spec))
+        return ledger_from_counts(before, publish_silver(survivors(flat, spec)))
 
     staged = scratch_path(spark, "routed")
     rows = routed(flat, spec)
     seen = Observation("routes")
-    (
-        rows.observe(seen, *route_counts())
-        .filter(F.col(ROUTE) != OUT_OF_SCOPE)
-        .write.partitionBy(ROUTE)
-        .parquet(staged)
-    )
-    kept = spark.read.schema(rows.schema).parquet(staged)
-    rejected = kept.filter(F.col(ROUTE) == QUARANTINED).select(*spec.quarantine_columns)
-    write_quarantine(rejected, lake, run_id)
-    surviving = kept.filter(F.col(ROUTE) == SURVIVOR).select(*spec.field_columns, *spec.lineage)
-    after = _publish_silver(silver_table, surviving, spec, run_id)
-    storage.delete(spark, staged)
+    try:
+        (
+            rows.observe(seen, *route_counts())
+            .filter(F.col(ROUTE) != OUT_OF_SCOPE)
+            .write.partitionBy(ROUTE)
+            .parquet(staged)
+        )
+        kept = spark.read.schema(rows.schema).parquet(staged)
+        keep_rejected(kept.filter(F.col(ROUTE) == QUARANTINED).drop(ROUTE))
+        surviving = kept.filter(F.col(ROUTE) == SURVIVOR).drop(ROUTE, REASON, PAYLOAD)
+        after = publish_silver(surviving)
+    finally:
+        storage.delete(spark, staged)
     return ledger_from_counts(seen.get, after)
-
-
-def _publish_silver(
-    table: SnapshotTable, surviving: DataFrame, spec: ProductSpec, run_id: str
-) -> dict[str, int]:
-    statuses = Observation("statuses")
-    silver = _silver_from_survivors(surviving, spec).observe(statuses, *status_counts())
-    table.publish(silver, run_id)
-    return statuses.get

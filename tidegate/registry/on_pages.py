@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators.flatten import flatten
@@ -76,7 +76,7 @@ def point_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             "geometry"
         ),
     )
-    page_no = F.floor(F.col("o_orderkey") / PAGE_SIZE).cast("long") + 1
+    page_no = F.expr(f"o_orderkey div {PAGE_SIZE}") + 1
     return table(spark, sf_dir, "orders").select(
         page_no.alias("page_no"), priority.alias("run_id"), record.alias("feature")
     )
@@ -99,11 +99,14 @@ def page_documents(records: DataFrame, *by: str) -> DataFrame:
 
 def flat_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = page_documents(point_records(spark, sf_dir))
-    lineage = {
-        "ingest_run_id": F.lit(RUN_ID),
+    return flatten(parse_documents(documents, CHAPTERS), CHAPTERS)
+
+
+def lineage(run_id: str = RUN_ID) -> dict[str, Column]:
+    return {
+        "ingest_run_id": F.lit(run_id),
         "ingested_at_utc": F.lit(INGESTED_AT).cast("timestamp"),
     }
-    return flatten(parse_documents(documents, CHAPTERS), CHAPTERS, lineage)
 
 
 @register(
@@ -183,7 +186,7 @@ SELECT chapter_id, chapter_name, city, state, longitude, latitude, source_object
 FROM silver"""
 )
 def pages_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_of(flat_points(spark, sf_dir), CHAPTERS)
+    silver = silver_of(flat_points(spark, sf_dir), CHAPTERS, lineage())
     return silver.withColumns(
         {
             "warnings": F.array_join("dq_warnings", ","),
@@ -230,4 +233,4 @@ SELECT (SELECT count(*) FROM routed) AS rows_in,
 @register(POINTS_LEDGER_SQL)
 def pages_to_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flat_points(spark, sf_dir)
-    return run_ledger(routed(flat, CHAPTERS), silver_of(flat, CHAPTERS))
+    return run_ledger(routed(flat, CHAPTERS), silver_of(flat, CHAPTERS, lineage()))

@@ -9,7 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions import annotate, blank_or_literal, normalised, outside_range, run_id_of, typed
+from tidegate.functions import (
+    annotate,
+    blank_or_literal,
+    normalised,
+    outside_range,
+    quarantine_reason,
+    run_id_of,
+    typed,
+)
 from tidegate.functions.rules import any_failed
 from tidegate.operators.contract import contract_assertions, contract_projection, freshness, overlap
 from tidegate.operators.dedupe import latest_wins
@@ -24,7 +32,7 @@ from tidegate.operators.merge import (
     repeated_keys,
 )
 from tidegate.operators.quarantine import quarantined_by_run
-from tidegate.operators.route import quarantine_split, routed, scope_filter, survivors
+from tidegate.operators.route import quarantine_split, route, routed, scope_filter, survivors
 from tidegate.operators.runs import newest_first, union_ledgers
 from tidegate.plans.transform import silver_of
 from tidegate.registry.base import register, table
@@ -37,7 +45,8 @@ LINES = ProductSpec(
     fields=(
         Field("order_key", "l_orderkey", "bigint"),
         Field("line", "l_linenumber", "int"),
-        Field("flag", "l_returnflag", normalise=("trim", "upper")),
+        # Stored as clean codes, so it is left alone and the scan can filter by it.
+        Field("flag", "l_returnflag", normalise=()),
         Field("port", "ship_port"),
         Field("discount", "l_discount", "double"),
         Field("tax", "l_tax", "double"),
@@ -74,7 +83,7 @@ LINES = ProductSpec(
 
 FLAT_SQL = """
 flat AS (
-  SELECT l_orderkey AS order_key, l_linenumber AS line, upper(trim(l_returnflag)) AS flag,
+  SELECT l_orderkey AS order_key, l_linenumber AS line, l_returnflag AS flag,
          trim(CASE WHEN l_quantity >= 49 THEN NULL WHEN l_quantity >= 48 THEN '  unKnown '
                    WHEN l_quantity >= 47 THEN '   ' ELSE concat(' PORT ', l_suppkey, ' ') END) AS port,
          l_discount AS discount, l_tax AS tax, l_extendedprice AS price,
@@ -248,11 +257,8 @@ def survivors_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(f"WITH {ROUTED_SQL} SELECT route, reason, count(*) AS n_rows FROM routed GROUP BY ALL")
-def raw_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def route_counts_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The reason is worked out for every row here, as in the SQL, not only for quarantined ones.
-    from tidegate.functions import quarantine_reason
-    from tidegate.operators.route import route
-
     judged = flat_lines(spark, sf_dir).select(
         route(LINES).alias("route"), quarantine_reason(LINES.hard_rules).alias("reason")
     )

@@ -13,7 +13,7 @@ from tidegate.operators.contract import contract_projection
 from tidegate.operators.landing import land_documents
 from tidegate.operators.quarantine import read_quarantine, write_quarantine
 from tidegate.operators.route import quarantine_split
-from tidegate.operators.runs import read_runs
+from tidegate.operators.runs import read_runs, summary_frame
 from tidegate.operators.snapshots import SnapshotTable
 from tidegate.plans.chapters import CHAPTERS
 from tidegate.plans.pipeline import run_pages
@@ -25,6 +25,7 @@ from tidegate.registry.on_pages import (
     POINTS_SQL,
     RUN_ID,
     flat_points,
+    lineage,
     page_documents,
     point_records,
 )
@@ -39,6 +40,7 @@ from tidegate.session import scratch_path
 from tidegate.sources.pages import page_statistics
 from tidegate.sources.runs import find_run, read_landed_documents
 
+LINES_BY_RUN = LINES.with_changes(lineage={"ingest_run_id": "string"})
 STARTED_AT = datetime.fromisoformat("2026-01-02T03:04:05+00:00")
 
 
@@ -68,14 +70,10 @@ FROM ledger"""
 def transform_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver and quarantine of a columnar source written; the ledger of that run."""
     lake = _lake(spark)
-    counts = transform(
-        spark, flat_lines(spark, sf_dir).withColumn("ingest_run_id", F.lit("r1")), LINES_BY_RUN, lake,
-        "r1", stage=False,
-    )
-    return spark.createDataFrame([counts], ", ".join(f"{name} long" for name in counts))
-
-
-LINES_BY_RUN = LINES.with_changes(lineage={"ingest_run_id": "string"})
+    run = {"ingest_run_id": F.lit("r1")}
+    flat = flat_lines(spark, sf_dir)
+    counts = transform(spark, flat, LINES_BY_RUN, lake, "r1", run, stage=False)
+    return summary_frame(spark, counts)
 
 
 @register(
@@ -88,8 +86,8 @@ def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark)
     for run_id in ("A", "N", "A"):
         mine = flat_lines(spark, sf_dir).filter(F.col("flag") == run_id)
-        mine = mine.withColumn("ingest_run_id", F.lit(run_id))
-        write_quarantine(quarantine_split(mine, LINES_BY_RUN), lake, run_id)
+        rejected = quarantine_split(mine, LINES_BY_RUN)
+        write_quarantine(rejected.withColumn("ingest_run_id", F.lit(run_id)), lake, run_id)
     return read_quarantine(spark, lake, LINES_BY_RUN).select(
         "ingest_run_id", "quarantine_reason", "order_key", "line", "price"
     )
@@ -147,9 +145,9 @@ def ledger_derived_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark)
     documents = page_documents(point_records(spark, sf_dir))
     land_documents(spark, documents, lake, CHAPTERS, RUN_ID, STARTED_AT)
-    transform(spark, flat_points(spark, sf_dir), CHAPTERS, lake, RUN_ID)
+    transform(spark, flat_points(spark, sf_dir), CHAPTERS, lake, RUN_ID, lineage())
     derived = derived_ledger(spark, CHAPTERS, lake, RUN_ID)
-    return spark.createDataFrame([derived], ", ".join(f"{name} long" for name in derived))
+    return summary_frame(spark, derived)
 
 
 @register(
@@ -176,10 +174,11 @@ def merge_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     vanish from the product or go back to an older record."""
     lake = _lake(spark)
     flat = flat_points(spark, sf_dir)
-    transform(spark, flat, CHAPTERS, lake, "run_1")
+    transform(spark, flat, CHAPTERS, lake, "run_1", lineage("run_1"))
     publish_gold(spark, CHAPTERS, lake, "run_1", merge=True)
-    transform(spark, flat.filter(F.col("state") == "CA"), CHAPTERS, lake, "run_2")
+    only_one_state = flat.filter(F.col("state") == "CA")
+    transform(spark, only_one_state, CHAPTERS, lake, "run_2", lineage("run_2"))
     published = publish_gold(spark, CHAPTERS, lake, "run_2", merge=True)
     wanted = ("rows_inserted", "rows_updated", "rows_deleted", "rows_unchanged", "rows_gold")
     counts = {name: published[name] for name in wanted}
-    return spark.createDataFrame([counts], ", ".join(f"{name} long" for name in counts))
+    return summary_frame(spark, counts)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that change results (UTC, ANSI) or let AQE size the shuffles. The cluster's own
 # executor, memory and shuffle settings are left alone.
@@ -64,3 +66,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the scratch root; nothing is created yet."""
     return f"{scratch_root(spark)}/tidegate/{name}-{uuid.uuid4().hex}"
+
+
+def single_row(spark: SparkSession, values: Mapping[str, object], types: Mapping[str, str]) -> DataFrame:
+    """One row of constants in one partition, built without a Python worker."""
+    return spark.range(0, 1, 1, 1).select(
+        *(F.lit(values[name]).cast(data_type).alias(name) for name, data_type in types.items())
+    )

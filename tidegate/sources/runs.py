@@ -21,11 +21,19 @@ from tidegate.lake import Lake
 # Fixed name and shape of the run description.
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 SIDECAR_NAME = "_ingest_metadata.json"
-LANDING_SCHEMA = (
-    "run_id string, ingest_date date, ingested_at_utc timestamp, source string, "
-    "source_detail string, where_clause string, pages long, rows_in long, "
-    "landed_at_utc timestamp, folder string"
-)
+LANDING_TYPES = {
+    "run_id": "string",
+    "ingest_date": "date",
+    "ingested_at_utc": "timestamp",
+    "source": "string",
+    "source_detail": "string",
+    "where_clause": "string",
+    "pages": "long",
+    "rows_in": "long",
+    "landed_at_utc": "timestamp",
+    "folder": "string",
+}
+LANDING_SCHEMA = ", ".join(f"{name} {data_type}" for name, data_type in LANDING_TYPES.items())
 
 
 @dataclass(frozen=True)

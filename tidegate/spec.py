@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import or_
-from typing import Protocol
+from typing import ClassVar, Protocol
 
 from pyspark.sql import Column, types as T
 from pyspark.sql import functions as F
@@ -28,7 +28,10 @@ MISSING_KEY = "MISSING_KEY"
 
 
 class FailingRule(Protocol):
+    """What makes a rule: a code, a predicate, and whether the predicate can be NULL."""
+
     code: str
+    never_null: ClassVar[bool]
 
     def fails(self) -> Column: ...
 
@@ -39,6 +42,7 @@ class Rule:
 
     code: str
     predicate: Callable[[], Column]
+    never_null: ClassVar[bool] = False
 
     def fails(self) -> Column:
         return self.predicate()
@@ -50,6 +54,7 @@ class OutsideRange:
 
     code: str
     bounds: tuple[tuple[str, float, float], ...]
+    never_null: ClassVar[bool] = True
 
     def fails(self) -> Column:
         return reduce(or_, (outside_range(F.col(c), low, high) for c, low, high in self.bounds))
@@ -62,6 +67,7 @@ class BlankOrLiteral:
     code: str
     column: str
     literals: tuple[str, ...] = ("UNKNOWN",)
+    never_null: ClassVar[bool] = True
 
     def fails(self) -> Column:
         return blank_or_literal(F.col(self.column), self.literals)
@@ -166,12 +172,16 @@ class ProductSpec:
         )
         return (*self.hard_rules, missing)
 
-    def in_scope(self) -> Column:
-        """Scope membership; a NULL value is out of scope."""
+    def scope_predicate(self) -> Column:
+        """Scope membership as a filter that a scan can take over; NULL for a NULL value."""
         if self.scope is None:
             return F.lit(True)
         column, values = self.scope
-        return F.coalesce(F.col(column).isin(*values), F.lit(False))
+        return F.col(column).isin(*values)
+
+    def in_scope(self) -> Column:
+        """Scope membership that is never NULL: a NULL value is out of scope."""
+        return F.coalesce(self.scope_predicate(), F.lit(False))
 
     def record_schema(self) -> T.StructType:
         """Schema of one page record with every leaf read as text.
