@@ -141,9 +141,9 @@ def test_gates(spark):
 @pytest.mark.parametrize(
     ("change", "message"),
     [
-        (lambda s: s.filter("false"), "empty"),
-        (lambda s: s.withColumn("dq_status", F.lit("BAD")), "unexpected"),
-        (lambda s: s.withColumn("dq_status", F.lit(None).cast("string")), "unexpected"),
+        (lambda s: s.filter("false"), "nothing to publish"),
+        (lambda s: s.withColumn("dq_status", F.lit("BAD")), "none of"),
+        (lambda s: s.withColumn("dq_status", F.lit(None).cast("string")), "none of"),
         (lambda s: s.withColumn("state", F.lit("OR")), "required state: CA"),
     ],
 )

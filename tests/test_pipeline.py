@@ -112,10 +112,31 @@ def test_everything_out_of_scope(spark, lake):
     flat = flat_rows(spark, [page(record(1, "NV-1", "NV"))])
     counts = transform(spark, flat, CHAPTERS, lake, "run_1")
     assert counts["rows_out_of_scope"] == 1 and counts["rows_silver"] == 0
-    with pytest.raises(GateError, match="empty"):
+    with pytest.raises(GateError, match="nothing to publish"):
         publish_gold(spark, CHAPTERS, lake, "run_1")
 
 
+@pytest.mark.parametrize("stage", [True, False])
+def test_everything_quarantined(spark, lake, stage):
+    flat = flat_rows(spark, [page(record(1, "CA-1", "CA", x=999), record(2, "CA-2", "CA", x=999))])
+    counts = transform(spark, flat, CHAPTERS, lake, "run_1", stage=stage)
+    assert counts["rows_quarantined"] == 2 and counts["rows_silver"] == 0
+    assert SnapshotTable(spark, lake.silver).read().count() == 0
+
+
+def test_verified_publish_refuses_a_broken_silver(spark, lake):
+    silver = silver_of(flat_rows(spark), CHAPTERS)
+    table = SnapshotTable(spark, lake.silver)
+    table.publish(silver, "run_1")
+    publish_gold(spark, CHAPTERS, lake, "run_1", verify=True)
+    table.publish(silver.union(silver), "run_2")
+    with pytest.raises(ContractError, match="repeated_key"):
+        publish_gold(spark, CHAPTERS, lake, "run_2", verify=True)
+    with pytest.raises(ContractError, match="more than once"):
+        publish_gold(spark, CHAPTERS, lake, "run_2", merge=True)
+    assert len(gold_rows(spark, lake)) == 4
+
+
 def test_a_clean_repeat_empties_the_runs_quarantine(spark, lake):
     write_quarantine(quarantine_split(flat_rows(spark, run_id="r1"), CHAPTERS), lake, "r1")
     write_quarantine(quarantine_split(flat_rows(spark, run_id="r2"), CHAPTERS), lake, "r2")

@@ -147,7 +147,7 @@ def test_audit_of_a_complete_run(spark):
 @pytest.mark.parametrize(
     ("pages", "first", "message"),
     [
-        ([page(), page()], 1, "empty"),
+        ([page(), page()], 1, "no record on any page"),
         ([{"error": {"code": 400}}], 1, "error payload"),
         ([PAGES[0], {"error": {"code": 400}, "features": []}], 1, "error payload"),
         ([{"something": 1}], 1, "no record array"),

@@ -32,12 +32,14 @@ def gate_metrics(silver: DataFrame, spec: ProductSpec) -> DataFrame:
 
 
 def require_publishable(metrics: Row, spec: ProductSpec) -> None:
-    """Raise on an empty silver, an unexpected status or an empty required group."""
+    """Raise on a silver without rows, a status outside the domain or an empty required group."""
     if not metrics["rows_silver"]:
-        raise GateError("silver is empty: refusing to publish an empty snapshot")
+        raise GateError("silver has no rows, there is nothing to publish")
     if metrics["rows_bad_status"]:
-        raise GateError(f"{metrics['rows_bad_status']} row(s) with an unexpected {STATUS}")
-    empty = [g for g in spec.required_groups if not metrics[group_metric(g)]]
+        raise GateError(
+            f"{metrics['rows_bad_status']} row(s) have a {STATUS} that is none of {STATUSES}"
+        )
+    empty = [group for group in spec.required_groups if not metrics[group_metric(group)]]
     if empty:
         raise GateError(f"no rows for required {spec.group}: {', '.join(empty)}")
 

@@ -1,7 +1,8 @@
 """Scope filter, hard rules and the split into survivors and quarantine.
 
-The order is part of the meaning: scope first, so an out-of-scope row is never quarantined, and
-quarantine before deduplication, so a bad record cannot shadow a good one with the same key.
+The order is part of the meaning. Scope comes first: a row outside it is nobody's concern, however
+wrong its values. Quarantine comes before deduplication: a rejected record never displaces a valid
+one of the same key.
 """
 
 from __future__ import annotations

@@ -8,9 +8,11 @@ renamed or overwritten in place. A table has one writer at a time.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from tidegate import storage
@@ -21,6 +23,7 @@ LOG_TYPES = {
     "version": "long",
     "run_id": "string",
     "folder": "string",
+    "schema": "string",
     "published_at_utc": "timestamp",
 }
 LOG_SCHEMA = ", ".join(f"{name} {data_type}" for name, data_type in LOG_TYPES.items())
@@ -36,18 +39,19 @@ class SnapshotTable:
         return storage.exists(self.spark, self._log)
 
     def history(self) -> DataFrame:
-        """All publications: version, run, folder and time."""
+        """All publications: version, run, folder, schema and time."""
         if not self.exists():
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
 
     def _newest(self, condition=None) -> Row | None:
         log = self.history() if condition is None else self.history().filter(condition)
-        newest = log.agg(F.max_by(F.struct("version", "run_id", "folder"), "version").alias("v"))
-        return newest.first()["v"]
+        # One short row per run: a single task reads the log without an exchange.
+        entry = F.struct("version", "run_id", "folder", "schema")
+        return log.coalesce(1).agg(F.max_by(entry, "version").alias("entry")).first()["entry"]
 
     def publish(self, df: DataFrame, run_id: str) -> int:
-        """Write ``df`` as the next version and make it current; returns the version."""
+        """Write ``df`` as the next version, make it current, and return the version."""
         newest = self._newest()
         version = newest["version"] + 1 if newest else 1
         folder = f"data/version={version:06d}-{run_id}"
@@ -57,6 +61,7 @@ class SnapshotTable:
             "version": version,
             "run_id": run_id,
             "folder": folder,
+            "schema": df.schema.json(),
             "published_at_utc": datetime.now(timezone.utc).isoformat(),
         }
         single_row(self.spark, entry, LOG_TYPES).write.mode("append").parquet(self._log)
@@ -65,7 +70,8 @@ class SnapshotTable:
     def _read(self, entry: Row | None, what: str) -> DataFrame:
         if entry is None:
             raise TidegateError(f"no {what} in {self.root}")
-        return self.spark.read.parquet(f"{self.root}/{entry['folder']}")
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{entry['folder']}")
 
     def read(self) -> DataFrame:
         """The current snapshot."""

@@ -131,6 +131,6 @@ def require_complete(audit: Row) -> None:
     if audit["shapeless_pages"]:
         raise LandingError(f"{audit['shapeless_pages']} page(s) have no record array")
     if not audit["rows_in"]:
-        raise LandingError("the batch is empty: refusing to land zero records")
+        raise LandingError("there is no record on any page")
     if not audit["is_complete"]:
         raise LandingError("page numbers have gaps or the last page says there is more")

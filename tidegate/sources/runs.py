@@ -77,7 +77,7 @@ def newest_run(runs: DataFrame, date_column: str = "ingest_date", *tie_break: st
 
 def find_run(spark: SparkSession, lake: Lake, run_id: str) -> LandedRun:
     """The newest landing of ``run_id``; an unknown run is an error."""
-    mine = landed_runs(spark, lake).filter(F.col("run_id") == run_id)
+    mine = landed_runs(spark, lake).filter(F.col("run_id") == run_id).coalesce(1)
     newest = newest_run(mine, "ingest_date", "landed_at_utc").drop("landed_at_utc")
     row = newest.withColumns(
         {
