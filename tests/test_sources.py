@@ -34,7 +34,7 @@ def write_run(folder, documents, **sidecar):
 def test_page_files_and_documents_give_the_same_frame(spark, tmp_path):
     write_run(tmp_path / "run", PAGES)
     files = read_page_files(spark, str(tmp_path / "run"), CHAPTERS)
-    texts = read_documents(spark, str(tmp_path / "run" / "page_*.json"))
+    texts = read_documents(spark, str(tmp_path / "run"))
     parsed = parse_documents(texts, CHAPTERS)
     assert files.dtypes == parsed.dtypes
     assert sorted(files.collect(), key=lambda r: r["page_no"]) == sorted(

@@ -43,7 +43,8 @@ def land_documents(
 
     statistics = page_statistics(documents.select("page_no", "document"), spec)
     statistics.write.mode("error").parquet(path)
-    audit = page_audit(spark.read.parquet(path)).first()
+    landed = spark.read.schema(statistics.schema).parquet(path)
+    audit = page_audit(landed).first()
     try:
         require_complete(audit)
     except LandingError:

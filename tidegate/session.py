@@ -9,6 +9,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.errors import TidegateError
+
 # Settings that change results (UTC, ANSI) or let AQE size the shuffles. The cluster's own
 # executor, memory and shuffle settings are left alone.
 SESSION_CONF = {
@@ -53,11 +55,14 @@ _own_root: list[str] = []
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that is unset, as on one machine, a folder of this process takes its place.
+    Where that is unset a local session uses a folder of its own; on a cluster a folder of one
+    machine would not do, so it is an error.
     """
-    shared = spark.conf.get(CHECKPOINT_KEY, None)
+    shared = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise TidegateError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     if not _own_root:
         _own_root.append(tempfile.mkdtemp(prefix="tidegate-"))
     return _own_root[0]

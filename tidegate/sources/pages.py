@@ -28,20 +28,22 @@ def _page_number() -> Column:
 
 def read_page_files(spark: SparkSession, folder: str, spec: ProductSpec) -> DataFrame:
     """Read a run folder of page files: ``page_no``, the record array, ``more`` and ``error``."""
+    # A name filter lists the folder once; a glob in the path would list every match by itself.
     pages = (
         spark.read.schema(spec.page_schema())
         .option("multiLine", True)
-        .json(f"{folder.rstrip('/')}/{PAGE_FILE_GLOB}")
+        .option("pathGlobFilter", PAGE_FILE_GLOB)
+        .json(folder)
     )
     return pages.select(_page_number(), *_page_columns(spec, lambda name: F.col(name)))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Read whole page documents as text: ``page_no`` and ``document``.
+def read_documents(spark: SparkSession, path: str, name_filter: str = "*.json") -> DataFrame:
+    """Read the whole documents of a folder, or one file, as text: ``page_no`` and ``document``.
 
     A file that is not named like a page (a single fixture, say) is page 1.
     """
-    files = spark.read.text(path, wholetext=True)
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=name_filter)
     return files.select(
         F.coalesce(_page_number(), F.lit(1).cast("long")).alias("page_no"),
         F.col("value").alias("document"),

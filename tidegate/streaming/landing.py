@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.lake import Lake
 from tidegate.operators.landing import land_documents
-from tidegate.sources.pages import PAGE_FILE_NUMBER
+from tidegate.sources.pages import PAGE_FILE_GLOB, PAGE_FILE_NUMBER
 from tidegate.spec import ProductSpec
 
 
@@ -31,6 +31,7 @@ def land_new_pages(
         spark.readStream.format("text")
         .schema("value string")
         .option("wholetext", True)
+        .option("pathGlobFilter", PAGE_FILE_GLOB)
         .load(incoming)
         .select(
             F.regexp_extract("_metadata.file_name", PAGE_FILE_NUMBER, 1)
