@@ -13,13 +13,13 @@ from tidegate.operators.contract import contract_projection
 from tidegate.operators.landing import land_documents
 from tidegate.operators.quarantine import read_quarantine, write_quarantine
 from tidegate.operators.route import quarantine_split
-from tidegate.operators.runs import read_runs, summary_frame
+from tidegate.operators.runs import append_run, read_runs, summary_frame, union_ledgers
 from tidegate.operators.snapshots import SnapshotTable
 from tidegate.plans.chapters import CHAPTERS
 from tidegate.plans.pipeline import run_pages
 from tidegate.plans.publish import derived_ledger, publish_gold
 from tidegate.plans.transform import transform
-from tidegate.registry.base import register
+from tidegate.registry.base import register, table
 from tidegate.registry.on_pages import (
     POINTS_LEDGER_SQL,
     POINTS_SQL,
@@ -34,11 +34,13 @@ from tidegate.registry.on_tables import (
     LINES,
     SILVER_SQL,
     flat_lines,
+    ledger_lines,
     silver_lines,
 )
 from tidegate.session import scratch_path
 from tidegate.sources.pages import page_statistics
-from tidegate.sources.runs import find_run, read_landed_documents
+from tidegate.sources.runs import find_run, landed_runs, read_landed_documents
+from tidegate.streaming import land_stream
 
 LINES_BY_RUN = LINES.with_changes(lineage={"ingest_run_id": "string"})
 STARTED_AT = datetime.fromisoformat("2026-01-02T03:04:05+00:00")
@@ -62,6 +64,27 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_statistics(landed, CHAPTERS).select("page_no", "n_records")
 
 
+@register(
+    """SELECT o_orderkey // 1000 + 1 AS page_no, count(*) AS n_records, 'stream_00000000' AS run_id
+FROM orders GROUP BY o_orderkey // 1000"""
+)
+def stream_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land page documents from a stream; a second trigger finds nothing new."""
+    lake = _lake(spark)
+    arrived, checkpoint = scratch_path(spark, "arrived"), scratch_path(spark, "stream")
+    page_documents(point_records(spark, sf_dir)).write.parquet(arrived)
+    for _ in range(2):
+        stream = spark.readStream.schema("page_no long, document string").parquet(arrived)
+        land_stream(stream, lake, CHAPTERS, checkpoint).awaitTermination()
+    runs = landed_runs(spark, lake).select("run_id").distinct().collect()
+    frames = []
+    for row in runs:
+        landed = read_landed_documents(spark, lake, find_run(spark, lake, row["run_id"]))
+        counted = page_statistics(landed, CHAPTERS).select("page_no", "n_records")
+        frames.append(counted.withColumn("run_id", F.lit(row["run_id"])))
+    return union_ledgers(*frames)
+
+
 @register(
     f"""{LEDGER_SQL}
 SELECT rows_in, rows_out_of_scope, rows_quarantined, rows_deduped, rows_warned, rows_ok, rows_silver
@@ -76,6 +99,20 @@ def transform_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary_frame(spark, counts)
 
 
+@register(
+    f"""{LEDGER_SQL}
+SELECT 'lines' AS run_id, rows_in, rows_quarantined, NULL::BIGINT AS rows_landed FROM ledger
+UNION ALL SELECT 'orders', NULL, NULL, count(*) FROM orders"""
+)
+def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two finished runs with different columns appended to the run table."""
+    lake = _lake(spark)
+    lines = ledger_lines(spark, sf_dir).select("rows_in", "rows_quarantined").first().asDict()
+    append_run(spark, lake, {"run_id": "lines", **lines})
+    append_run(spark, lake, {"run_id": "orders", "rows_landed": table(spark, sf_dir, "orders").count()})
+    return read_runs(spark, lake)
+
+
 @register(
     f"""WITH {SILVER_SQL}
 SELECT flag AS ingest_run_id, reason AS quarantine_reason, order_key, line, price
@@ -99,23 +136,23 @@ SELECT order_key, line, flag, port, price, shipped_at, dq_status FROM silver"""
 )
 def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish a part of the product, then all of it; readers see the newest snapshot."""
-    table = SnapshotTable(spark, _lake(spark).gold)
+    published = SnapshotTable(spark, _lake(spark).gold)
     gold = contract_projection(silver_lines(spark, sf_dir), LINES).drop("dq_warnings")
-    table.publish(gold.filter(F.col("flag") == "A"), "run_1")
-    table.publish(gold, "run_2")
-    return table.read()
+    published.publish(gold.filter(F.col("flag") == "A"), "run_1")
+    published.publish(gold, "run_2")
+    return published.read()
 
 
 @register(f"WITH {SILVER_SQL} SELECT order_key, line, price FROM silver WHERE flag = 'A'")
 def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same two publications; the first run's snapshot is still there."""
-    table = SnapshotTable(spark, _lake(spark).gold)
+    published = SnapshotTable(spark, _lake(spark).gold)
     gold = contract_projection(silver_lines(spark, sf_dir), LINES).select(
         "order_key", "line", "price", "flag"
     )
-    table.publish(gold.filter(F.col("flag") == "A"), "run_1")
-    table.publish(gold, "run_2")
-    return table.as_of_run("run_1").drop("flag")
+    published.publish(gold.filter(F.col("flag") == "A"), "run_1")
+    published.publish(gold, "run_2")
+    return published.as_of_run("run_1").drop("flag")
 
 
 @register(

@@ -1,4 +1,4 @@
-"""Append-by-run landing as a file stream: every trigger lands what arrived since the last one."""
+"""Append-by-run landing as a stream: every trigger lands what arrived since the last one."""
 
 from __future__ import annotations
 
@@ -12,50 +12,64 @@ from tidegate.sources.pages import PAGE_FILE_GLOB, PAGE_FILE_NUMBER
 from tidegate.spec import ProductSpec
 
 
-def land_new_pages(
-    spark: SparkSession,
-    incoming: str,
+def new_page_files(spark: SparkSession, incoming: str) -> DataFrame:
+    """Page files as they arrive in a folder, as a stream of ``page_no`` and ``document``."""
+    number = F.regexp_extract("_metadata.file_name", PAGE_FILE_NUMBER, 1)
+    return (
+        spark.readStream.format("text")
+        .schema("value string")
+        .option("wholetext", True)
+        .option("pathGlobFilter", PAGE_FILE_GLOB)
+        .load(incoming)
+        .select(number.try_cast("long").alias("page_no"), F.col("value").alias("document"))
+    )
+
+
+def land_stream(
+    documents: DataFrame,
     lake: Lake,
     spec: ProductSpec,
     checkpoint: str,
     run_prefix: str = "stream",
+    source_detail: str | None = None,
 ) -> StreamingQuery:
-    """Land the page files that arrived in ``incoming`` as one run, then stop.
+    """Land the documents that arrived since the last trigger as one run, then stop.
 
-    The checkpoint remembers the files seen, so a daily job that starts this query lands each file
+    The checkpoint remembers what was seen, so a daily job that starts this query lands everything
     once. The run id is made of the batch number: a batch that is replayed after a failure lands
     under the same id and replaces its first attempt. A batch is held to the same audit as any
     other landing, so the pages of a run must arrive together.
     """
-    arrived = (
-        spark.readStream.format("text")
-        .schema("value string")
-        .option("wholetext", True)
-        .option("pathGlobFilter", PAGE_FILE_GLOB)
-        .load(incoming)
-        .select(
-            F.regexp_extract("_metadata.file_name", PAGE_FILE_NUMBER, 1)
-            .try_cast("long")
-            .alias("page_no"),
-            F.col("value").alias("document"),
-        )
-    )
 
     def land(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
+            run_id = f"{run_prefix}_{batch_id:08d}"
             land_documents(
                 batch.sparkSession,
                 batch,
                 lake,
                 spec,
-                run_id=f"{run_prefix}_{batch_id:08d}",
+                run_id,
                 source="stream",
-                source_detail=incoming,
+                source_detail=source_detail,
             )
 
     return (
-        arrived.writeStream.foreachBatch(land)
+        documents.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def land_new_pages(
+    spark: SparkSession,
+    incoming: str,
+    lake: Lake,
+    spec: ProductSpec,
+    checkpoint: str,
+    run_prefix: str = "stream",
+) -> StreamingQuery:
+    """Land the page files that are new in ``incoming``."""
+    arrived = new_page_files(spark, incoming)
+    return land_stream(arrived, lake, spec, checkpoint, run_prefix, incoming)
