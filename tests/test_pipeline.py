@@ -18,7 +18,7 @@ from tidegate.operators.snapshots import SnapshotTable
 from tidegate.plans import publish_gold, run_folder, run_landed, run_pages, silver_of, transform
 from tidegate.plans.chapters import CHAPTERS
 from tidegate.plans.publish import derived_ledger, register_views
-from tidegate.session import scratch_root, suggest_shuffle_partitions
+from tidegate.session import scale_settings, scratch_root
 from tidegate.sources import find_run, landed_runs, read_landed_documents
 from tidegate.streaming import land_new_pages
 
@@ -148,6 +148,8 @@ def test_a_clean_repeat_empties_the_runs_quarantine(spark, lake):
 
 def test_quarantine_read_prunes_to_the_run(spark, lake):
     write_quarantine(quarantine_split(flat_rows(spark, run_id="r1"), CHAPTERS), lake, "r1")
+    assert read_quarantine(spark, lake, CHAPTERS, "r1").count() == 2
+    assert read_quarantine(spark, lake, CHAPTERS, "r9").count() == 0
     mine = read_quarantine(spark, lake, CHAPTERS).filter(F.col("ingest_run_id") == "r1")
     plan = mine._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_run_id" in plan
@@ -268,6 +270,27 @@ def test_silver_matches_the_lazy_plan(spark, finished):
     assert lazy.exceptAll(stored).count() == 0 and stored.exceptAll(lazy).count() == 0
 
 
-def test_shuffle_sizing():
-    assert suggest_shuffle_partitions(0, 8) == 8
-    assert suggest_shuffle_partitions(10 * 2**40, 4000) == 81920
+def test_scale_settings():
+    small, large = scale_settings(0, 8), scale_settings(10 * 2**40, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
+    assert large["spark.sql.shuffle.partitions"] == "20480"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(512 * 2**20)
+
+
+def test_local_scratch_is_shared_where_named(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_short_read_is_noticed_before_anything_is_published(spark, lake):
+    with pytest.raises(ContractError, match="9 were landed"):
+        transform(spark, flat_rows(spark), CHAPTERS, lake, "run_1", rows_landed=9)
+    assert not SnapshotTable(spark, lake.silver).exists()
+    assert not storage.exists(spark, lake.quarantine)
+
+
+def test_landing_records_the_scope_as_where_clause(spark, lake):
+    land_documents(spark, documents(spark), lake, CHAPTERS, "run_1")
+    land_documents(spark, documents(spark), lake, CHAPTERS, "run_2", where_clause="State = 'CA'")
+    assert find_run(spark, lake, "run_1").where_clause == "State IN ('CA','OR','WA')"
+    assert find_run(spark, lake, "run_2").where_clause == "State = 'CA'"

@@ -42,7 +42,8 @@ def land_documents(
     path = lake.landing(run_id, ingest_date.isoformat(), f"a{uuid.uuid4().hex}")
 
     statistics = page_statistics(documents.select("page_no", "document"), spec)
-    statistics.write.mode("error").parquet(path)
+    # Documents are written once and compress well.
+    statistics.write.option("compression", "zstd").parquet(path)
     landed = spark.read.schema(statistics.schema).parquet(path)
     audit = page_audit(landed).first()
     try:
@@ -63,7 +64,7 @@ def land_documents(
         ingested_at_utc=started_at.astimezone(timezone.utc).isoformat(),
         source=source,
         source_detail=source_detail,
-        where_clause=where_clause,
+        where_clause=where_clause or spec.where_clause(),
         pages=audit["pages"],
         rows_in=audit["rows_in"],
         folder=path.removeprefix(f"{lake.bronze}/"),

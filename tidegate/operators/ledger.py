@@ -75,8 +75,14 @@ def ledger_from_counts(before: Mapping[str, int], after: Mapping[str, int]) -> d
     return {name: counts[name] for name in LEDGER_COLUMNS}
 
 
-def require_balanced(ledger: Mapping[str, int], rows_landed: int | None = None) -> None:
-    """Raise unless the ledger adds up, and to the number of records the page audit counted."""
+def require_all_read(rows_in: int, rows_landed: int | None) -> None:
+    """Raise unless as many records were read as the page audit counted, where it is known."""
+    if rows_landed is not None and rows_landed != rows_in:
+        raise ContractError(f"{rows_in} records were read but {rows_landed} were landed")
+
+
+def require_balanced(ledger: Mapping[str, int]) -> None:
+    """Raise unless every record is in exactly one part of the ledger."""
     parts = (
         ledger["rows_out_of_scope"]
         + ledger["rows_quarantined"]
@@ -86,10 +92,6 @@ def require_balanced(ledger: Mapping[str, int], rows_landed: int | None = None)
     )
     if parts != ledger["rows_in"]:
         raise ContractError(f"the ledger does not add up to rows_in: {dict(ledger)}")
-    if rows_landed is not None and rows_landed != ledger["rows_in"]:
-        raise ContractError(
-            f"{ledger['rows_in']} records were read but {rows_landed} were landed"
-        )
 
 
 def disposition_counts(ledger: DataFrame) -> DataFrame:

@@ -25,12 +25,16 @@ def write_quarantine(rejected: DataFrame, lake: Lake, run_id: str) -> None:
     packed.write.mode("overwrite").parquet(lake.quarantine_run(run_id))
 
 
-def read_quarantine(spark: SparkSession, lake: Lake, spec: ProductSpec) -> DataFrame:
-    """All runs' quarantined rows; a filter on ``ingest_run_id`` prunes to the run's folder."""
+def read_quarantine(
+    spark: SparkSession, lake: Lake, spec: ProductSpec, run_id: str | None = None
+) -> DataFrame:
+    """Quarantined rows of all runs, or of one run without listing the others' files."""
     schema = quarantine_schema(spec)
-    if not storage.exists(spark, lake.quarantine):
+    path = lake.quarantine if run_id is None else lake.quarantine_run(run_id)
+    if not storage.exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(lake.quarantine).select(*spec.quarantine_columns)
+    rows = spark.read.schema(schema).option("basePath", lake.quarantine).parquet(path)
+    return rows.select(*spec.quarantine_columns)
 
 
 def quarantined_by_run(quarantine: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def derived_ledger(
 ) -> dict[str, int]:
     """What the lake still tells about a run whose ledger was not kept: rows landed, rows
     quarantined and the statuses in silver. Rows out of scope and duplicates leave no trace."""
-    quarantined = read_quarantine(spark, lake, spec).filter(F.col("ingest_run_id") == run_id)
+    quarantined = read_quarantine(spark, lake, spec, run_id)
     silver = SnapshotTable(spark, lake.silver).as_of_run(run_id)
     return {
         "rows_in": find_run(spark, lake, run_id).rows_in,

@@ -11,7 +11,13 @@ from tidegate import storage
 from tidegate.functions.rules import with_soft_flags
 from tidegate.lake import Lake
 from tidegate.operators.dedupe import latest_wins
-from tidegate.operators.ledger import ledger_from_counts, route_counts, status_counts
+from tidegate.operators.ledger import (
+    ledger_from_counts,
+    require_all_read,
+    require_balanced,
+    route_counts,
+    status_counts,
+)
 from tidegate.operators.quarantine import write_quarantine
 from tidegate.operators.route import (
     OUT_OF_SCOPE,
@@ -56,6 +62,7 @@ def transform(
     run_id: str,
     lineage: Mapping[str, Column] | None = None,
     stage: bool = True,
+    rows_landed: int | None = None,
 ) -> dict[str, int]:
     """Write silver and quarantine of one run and return its ledger.
 
@@ -66,6 +73,9 @@ def transform(
     files, whose tasks count once however often they are attempted.
 
     ``stage=False`` suits columnar tables, where three pruned scans cost less than an extra copy.
+
+    ``rows_landed`` is the number of records the audit counted; reading any other number fails
+    before silver or quarantine is touched.
     """
     silver_table = SnapshotTable(spark, lake.silver)
 
@@ -81,8 +91,9 @@ def transform(
 
     if not stage:
         before = flat.select(route(spec).alias(ROUTE)).agg(*route_counts()).first().asDict()
+        require_all_read(before["rows_in"], rows_landed)
         keep_rejected(quarantine_split(flat, spec))
-        return ledger_from_counts(before, publish_silver(survivors(flat, spec)))
+        return _ledger(before, publish_silver(survivors(flat, spec)))
 
     staged = scratch_path(spark, "routed")
     rows = routed(flat, spec)
@@ -94,10 +105,17 @@ def transform(
             .write.partitionBy(ROUTE)
             .parquet(staged)
         )
+        require_all_read(seen.get["rows_in"], rows_landed)
         kept = spark.read.schema(rows.schema).parquet(staged)
         keep_rejected(kept.filter(F.col(ROUTE) == QUARANTINED).drop(ROUTE))
         surviving = kept.filter(F.col(ROUTE) == SURVIVOR).drop(ROUTE, REASON, PAYLOAD)
         after = publish_silver(surviving)
     finally:
         storage.delete(spark, staged)
-    return ledger_from_counts(seen.get, after)
+    return _ledger(seen.get, after)
+
+
+def _ledger(before: Mapping[str, int], after: Mapping[str, int]) -> dict[str, int]:
+    ledger = ledger_from_counts(before, after)
+    require_balanced(ledger)
+    return ledger

@@ -146,7 +146,8 @@ seeded AS (
     run_id = '5-LOW' AND page_no = last_page AS is_error,
     CASE WHEN run_id IN ('4-NOT SPECIFIED', '5-LOW') AND page_no = last_page THEN NULL ELSE n END AS n
   FROM pages),
-judged AS (SELECT *, CASE WHEN is_error THEN false ELSE more AND coalesce(n, 0) > 0 END AS goes_on FROM seeded)
+judged AS (
+  SELECT *, CASE WHEN is_error THEN false ELSE more AND coalesce(n, 0) > 0 END AS goes_on FROM seeded)
 SELECT run_id, count(*) AS pages, coalesce(sum(n), 0)::BIGINT AS rows_in,
   count(*) FILTER (is_error) AS error_pages,
   count(*) FILTER (n IS NULL AND NOT is_error) AS shapeless_pages,

@@ -38,15 +38,24 @@ def build_session(app_name: str = "tidegate", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
-def suggest_shuffle_partitions(
-    shuffle_bytes: int, cores: int, target_bytes: int = 128 * 1024 * 1024
-) -> int:
-    """Upper bound for ``spark.sql.shuffle.partitions``.
+MIB = 1024 * 1024
 
-    AQE only merges partitions, so the setting must be large enough for the biggest shuffle
-    (a few 10 TB need some 100,000) while never leaving cores idle.
+
+def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Scan and shuffle sizes for one large input, to set before a run.
+
+    AQE merges shuffle partitions but never splits a plan that is too coarse, so their number is
+    an upper bound that grows with the data and never leaves cores idle. A shuffle has a block per
+    pair of map and reduce task; from some terabytes on, tasks grow instead of the number of pairs.
     """
-    return max(cores, -(-shuffle_bytes // target_bytes))
+    size = 128 * MIB
+    while size < 1024 * MIB and (input_bytes / size) ** 2 > 1e9:
+        size *= 2
+    return {
+        "spark.sql.files.maxPartitionBytes": str(size),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
+        "spark.sql.shuffle.partitions": str(max(cores, -(-input_bytes // size))),
+    }
 
 
 _own_root: list[str] = []

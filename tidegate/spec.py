@@ -183,6 +183,16 @@ class ProductSpec:
         """Scope membership that is never NULL: a NULL value is out of scope."""
         return F.coalesce(self.scope_predicate(), F.lit(False))
 
+    def where_clause(self) -> str | None:
+        """The scope in terms of the source's own field, for whoever fetches the pages to push to
+        the source. The pipeline applies the scope again in any case."""
+        if self.scope is None:
+            return None
+        column, values = self.scope
+        source = next(f.path.rsplit(".", 1)[-1] for f in self.fields if f.name == column)
+        quoted = ("'" + value.replace("'", "''") + "'" for value in values)
+        return f"{source} IN ({','.join(quoted)})"
+
     def record_schema(self) -> T.StructType:
         """Schema of one page record with every leaf read as text.
 
