@@ -1,4 +1,4 @@
-"""Random pages through the whole transform against a brute-force model in plain Python."""
+"""Random data against brute-force models in plain Python."""
 
 from __future__ import annotations
 
@@ -7,18 +7,19 @@ import json
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from samples import documents
+from samples import documents, page
 
 from tidegate.lake import Lake
 from tidegate.operators.flatten import flatten
 from tidegate.operators.ledger import run_ledger
+from tidegate.operators.merge import change_report, merge_upsert
 from tidegate.operators.quarantine import read_quarantine
 from tidegate.operators.route import routed
 from tidegate.operators.snapshots import SnapshotTable
 from tidegate.plans.chapters import CHAPTERS
 from tidegate.plans.transform import silver_of, transform
 from tidegate.session import scratch_path
-from tidegate.sources import parse_documents
+from tidegate.sources import page_audit, page_statistics, parse_documents
 
 COORDINATES = st.sampled_from([None, "abc", "", "12.5", -180, 180, 180.5, -90, 90, 90.25, -91, 0])
 RECORDS = st.one_of(
@@ -130,3 +131,66 @@ def test_transform_equals_the_model(spark, pages):
     silver = SnapshotTable(spark, lake.silver).read().select(*CHAPTERS.field_columns, "dq_status")
     assert sorted(map(repr, map(tuple, silver.collect()))) == sorted(map(repr, published))
     assert read_quarantine(spark, lake, CHAPTERS).count() == ledger["rows_quarantined"]
+
+
+SNAPSHOT = st.dictionaries(
+    st.tuples(st.integers(0, 3), st.sampled_from(["a", "b"])), st.one_of(st.none(), st.integers(0, 1))
+)
+KEYLESS = st.lists(st.tuples(st.sampled_from([None, 1]), st.none(), st.integers(0, 1)), max_size=3)
+SNAPSHOT_SCHEMA = "k int, part string, v int"
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=SNAPSHOT, new=SNAPSHOT, old_keyless=KEYLESS, new_keyless=KEYLESS)
+def test_merge_equals_the_model(spark, old, new, old_keyless, new_keyless):
+    rows = lambda keyed, keyless: [(*k, v) for k, v in keyed.items()] + keyless
+    target = spark.createDataFrame(rows(old, old_keyless), SNAPSHOT_SCHEMA)
+    source = spark.createDataFrame(rows(new, new_keyless), SNAPSHOT_SCHEMA)
+    key = ["k", "part"]
+
+    expected = [(*k[:2], "DELETE") for k in old_keyless] + [(*k[:2], "INSERT") for k in new_keyless]
+    for k in old.keys() | new.keys():
+        if k not in old:
+            action = "INSERT"
+        elif k not in new:
+            action = "DELETE"
+        else:
+            action = "UNCHANGED" if old[k] == new[k] else "UPDATE"
+        expected.append((*k, action))
+    report = change_report(target, source, key).collect()
+    assert sorted(map(repr, map(tuple, report))) == sorted(map(repr, expected))
+
+    kept = {k: v for k, v in old.items() if k not in new}
+    expected = rows(kept, old_keyless) + rows(new, new_keyless)
+    upserted = merge_upsert(target, source, key).collect()
+    assert sorted(map(repr, map(tuple, upserted))) == sorted(map(repr, expected))
+
+
+RUN_PAGES = st.lists(
+    st.tuples(st.integers(1, 4), st.booleans(), st.one_of(st.none(), st.integers(0, 2))), min_size=1, max_size=4
+)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pages=RUN_PAGES)
+def test_page_audit_equals_the_model(spark, pages):
+    """A run is complete when walking its pages from the first visits each of them exactly once."""
+    rows = [
+        (number, json.dumps(page(*[None] * n, more=more)) if n is not None else "{}")
+        for number, more, n in pages
+    ]
+    by_number = {number: (more, n) for number, more, n in pages}
+    complete = len(by_number) == len(pages)
+    walked, number = 0, 1
+    while complete and number in by_number:
+        walked += 1
+        more, n = by_number[number]
+        if n is None or not (more and n):
+            break
+        number += 1
+    complete = complete and walked == len(pages) and number in by_number
+    frame = spark.createDataFrame(rows, "page_no long, document string")
+    audit = page_audit(page_statistics(frame, CHAPTERS)).first()
+    assert audit["is_complete"] is complete
+    assert audit["rows_in"] == sum(n or 0 for _, _, n in pages)
+    assert audit["shapeless_pages"] == sum(n is None for _, _, n in pages)

@@ -29,6 +29,7 @@ def _finish(
     spec: ProductSpec,
     lake: Lake,
     run: LandedRun,
+    folder: str,
     started_at: datetime,
     merge: bool,
 ) -> dict[str, object]:
@@ -42,7 +43,7 @@ def _finish(
         "source": run.source,
         "started_at_utc": started_at.isoformat(),
         "finished_at_utc": datetime.now(timezone.utc).isoformat(),
-        "bronze_dir": run.folder,
+        "bronze_dir": folder,
         **ledger,
         **published,
     }
@@ -50,6 +51,19 @@ def _finish(
     return summary
 
 
+def _finish_landed(
+    spark: SparkSession,
+    spec: ProductSpec,
+    lake: Lake,
+    run: LandedRun,
+    started_at: datetime,
+    merge: bool,
+) -> dict[str, object]:
+    pages = parse_documents(read_landed_documents(spark, lake, run), spec)
+    folder = f"{lake.bronze}/{run.folder}"
+    return _finish(spark, pages, spec, lake, run, folder, started_at, merge)
+
+
 def run_landed(
     spark: SparkSession,
     spec: ProductSpec,
@@ -63,8 +77,7 @@ def run_landed(
     """
     started_at = datetime.now(timezone.utc)
     run = find_run(spark, lake, run_id)
-    pages = parse_documents(read_landed_documents(spark, lake, run), spec)
-    return _finish(spark, pages, spec, lake, run, started_at, merge)
+    return _finish_landed(spark, spec, lake, run, started_at, merge)
 
 
 def run_pages(
@@ -83,8 +96,7 @@ def run_pages(
     """
     started_at = datetime.now(timezone.utc)
     run = land_documents(spark, documents, lake, spec, run_id, started_at, **description)
-    pages = parse_documents(read_landed_documents(spark, lake, run), spec)
-    return _finish(spark, pages, spec, lake, run, started_at, merge)
+    return _finish_landed(spark, spec, lake, run, started_at, merge)
 
 
 def run_folder(
@@ -100,4 +112,4 @@ def run_folder(
     folder = find_run_folder(spark, bronze_root, run_id)
     run = read_sidecar(spark, folder)
     pages = read_page_files(spark, folder, spec)
-    return _finish(spark, pages, spec, lake, run, started_at, merge)
+    return _finish(spark, pages, spec, lake, run, folder, started_at, merge)

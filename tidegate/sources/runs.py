@@ -19,6 +19,7 @@ from tidegate.errors import LandingError
 from tidegate.lake import Lake
 
 # Fixed name and shape of the run description.
+DOCUMENT_SCHEMA = "page_no long, document string"
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 SIDECAR_NAME = "_ingest_metadata.json"
 LANDING_TYPES = {
@@ -91,7 +92,7 @@ def find_run(spark: SparkSession, lake: Lake, run_id: str) -> LandedRun:
 
 
 def read_landed_documents(spark: SparkSession, lake: Lake, run: LandedRun) -> DataFrame:
-    return spark.read.parquet(f"{lake.bronze}/{run.folder}").select("page_no", "document")
+    return spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{lake.bronze}/{run.folder}")
 
 
 def find_run_folder(spark: SparkSession, bronze_root: str, run_id: str) -> str:
