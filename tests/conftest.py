@@ -16,7 +16,7 @@ from tidegate.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tidegate-tests",
-        "local[4]",
+        "local[4,2]",  # a failed task is tried once more, as on a cluster
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="4g",

@@ -124,6 +124,28 @@ def test_everything_quarantined(spark, lake, stage):
     assert SnapshotTable(spark, lake.silver).read().count() == 0
 
 
+@pytest.mark.parametrize("stage", [True, False])
+def test_a_retried_task_is_counted_once(spark, lake, stage, tmp_path):
+    """One task fails after it has handed out its rows; its second attempt must not add to them."""
+    marker = tmp_path / "failed"
+
+    def fail_first_attempt(frames):
+        from pyspark import TaskContext
+
+        yield from frames
+        context = TaskContext.get()
+        if context.partitionId() == 1 and context.attemptNumber() == 0:
+            marker.touch()
+            raise RuntimeError("lost task")
+
+    flat = flat_rows(spark).repartition(3)
+    flaky = flat.mapInPandas(fail_first_attempt, flat.schema)
+    assert transform(spark, flaky, CHAPTERS, lake, "run_1", stage=stage) == LEDGER
+    assert marker.exists()
+    assert SnapshotTable(spark, lake.silver).read().count() == 4
+    assert read_quarantine(spark, lake, CHAPTERS).count() == 2
+
+
 def test_verified_publish_refuses_a_broken_silver(spark, lake):
     silver = silver_of(flat_rows(spark), CHAPTERS)
     table = SnapshotTable(spark, lake.silver)

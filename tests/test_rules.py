@@ -130,6 +130,12 @@ def test_spec_refuses_contradictions():
         {"required_groups": ("x",)},
         {"expected_groups": ("x",)},
         {"forbidden_columns": ("a",)},
+        {"contract": (("a", "string"), ("b", "string"))},
+        {"order": (OrderBy("b"),)},
+        {"key": ("b",)},
+        {"scope": ("b", ("x",))},
+        {"group": "b"},
+        {"hard_rules": (BlankOrLiteral("R", "a"),), "soft_rules": (BlankOrLiteral("R", "a"),)},
     ):
         with pytest.raises(ValueError):
             ProductSpec(**(base | wrong))

@@ -37,8 +37,8 @@ from tidegate.spec import PAYLOAD, REASON, ProductSpec
 def _silver_from_survivors(
     surviving: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    # Soft rules read published columns only and lineage is constant within a run, so both are
-    # added after the exchange, to the rows that are kept.
+    # Soft flags drop no row and lineage is constant within a run, so both are added after the
+    # exchange, to the rows that are kept.
     latest = latest_wins(surviving, spec.key, spec.order)
     flagged = with_soft_flags(latest, spec.soft_rules)
     return flagged.withColumns(dict(lineage or {})).select(*spec.silver_columns)

@@ -132,6 +132,14 @@ class ProductSpec:
             raise ValueError(f"null_key must be 'collapse' or 'quarantine', not {self.null_key!r}")
         if not self.key or not self.order:
             raise ValueError("a product needs a business key and a latest-wins order")
+        known = {*self.field_columns, STATUS, WARNINGS, *self.lineage}
+        ordered = (term.column for term in self.order)
+        used = {*self.key, *ordered, *self.contract_columns} | {self.group, self._scoped} - {None}
+        if unknown := used - known:
+            raise ValueError(f"not a field of the product: {sorted(unknown)}")
+        codes = [rule.code for rule in (*self.hard_rules, *self.soft_rules)]
+        if len(codes) != len(set(codes)):
+            raise ValueError(f"rule codes must differ: {codes}")
         if not set(self.required_groups) <= set(self.expected_groups):
             raise ValueError("every required group must be an expected group")
         if self.expected_groups and not self.group:
@@ -143,6 +151,10 @@ class ProductSpec:
     def with_changes(self, **changes) -> ProductSpec:
         return replace(self, **changes)
 
+    @property
+    def _scoped(self) -> str | None:
+        return self.scope[0] if self.scope else None
+
     @property
     def contract_columns(self) -> tuple[str, ...]:
         return tuple(name for name, _ in self.contract)
