@@ -21,6 +21,12 @@ from tidegate.plans.transform import silver_of, transform
 from tidegate.session import scratch_path
 from tidegate.sources import page_audit, page_statistics, parse_documents
 
+COMMON = settings(
+    deadline=None,
+    derandomize=True,
+    database=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 COORDINATES = st.sampled_from([None, "abc", "", "12.5", -180, 180, 180.5, -90, 90, 90.25, -91, 0])
 RECORDS = st.one_of(
     st.none(),
@@ -112,7 +118,7 @@ def model(pages):
     return ledger, published
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(COMMON, max_examples=12)
 @given(pages=PAGES)
 def test_transform_equals_the_model(spark, pages):
     ledger, published = model(pages)
@@ -140,7 +146,7 @@ KEYLESS = st.lists(st.tuples(st.sampled_from([None, 1]), st.none(), st.integers(
 SNAPSHOT_SCHEMA = "k int, part string, v int"
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(COMMON, max_examples=15)
 @given(old=SNAPSHOT, new=SNAPSHOT, old_keyless=KEYLESS, new_keyless=KEYLESS)
 def test_merge_equals_the_model(spark, old, new, old_keyless, new_keyless):
     rows = lambda keyed, keyless: [(*k, v) for k, v in keyed.items()] + keyless
@@ -167,11 +173,13 @@ def test_merge_equals_the_model(spark, old, new, old_keyless, new_keyless):
 
 
 RUN_PAGES = st.lists(
-    st.tuples(st.integers(1, 4), st.booleans(), st.one_of(st.none(), st.integers(0, 2))), min_size=1, max_size=4
+    st.tuples(st.integers(1, 4), st.booleans(), st.one_of(st.none(), st.integers(0, 2))),
+    min_size=1,
+    max_size=4,
 )
 
 
-@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(COMMON, max_examples=20)
 @given(pages=RUN_PAGES)
 def test_page_audit_equals_the_model(spark, pages):
     """A run is complete when walking its pages from the first visits each of them exactly once."""

@@ -41,7 +41,8 @@ def land_documents(
     ingest_date = started_at.astimezone(timezone.utc).date()
     path = lake.landing(run_id, ingest_date.isoformat(), f"a{uuid.uuid4().hex}")
 
-    statistics = page_statistics(documents.select("page_no", "document"), spec)
+    numbered = documents.select(F.col("page_no").cast("long"), "document")
+    statistics = page_statistics(numbered, spec)
     # Documents are written once and compress well.
     statistics.write.option("compression", "zstd").parquet(path)
     landed = spark.read.schema(statistics.schema).parquet(path)

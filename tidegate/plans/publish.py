@@ -62,7 +62,7 @@ def publish_gold(
     gold = contract_projection(silver, spec)
     require_contract_schema(gold, spec)
     if verify:
-        require_contract(gold, spec, allow_null_key=spec.null_key == "collapse")
+        require_contract(silver, spec, allow_null_key=spec.null_key == "collapse")
     table = SnapshotTable(spark, lake.gold)
     changes: dict[str, int] = {}
     if merge and table.exists():

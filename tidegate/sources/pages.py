@@ -59,7 +59,7 @@ def parse_documents(documents: DataFrame, spec: ProductSpec) -> DataFrame:
 
 def _page_columns(spec: ProductSpec, at) -> list[Column]:
     return [
-        at(spec.records_path).alias("records"),
+        at(spec.records_field).alias("records"),
         _is_true(at(spec.more_flag)).alias("more"),
         at("error").alias("error"),
     ]
@@ -76,14 +76,14 @@ def page_statistics(documents: DataFrame, spec: ProductSpec) -> DataFrame:
     """
     light = F.from_json(
         "document",
-        f"{spec.records_path} array<struct<_skipped:string>>, {spec.more_flag} string, error string",
+        f"{spec.records_field} array<struct<_skipped:string>>, {spec.more_flag} string, error string",
     )
     parsed = documents.withColumn("_page", light)
     return parsed.select(
         *documents.columns,
         F.when(
-            F.col(f"_page.{spec.records_path}").isNotNull(),
-            F.size(f"_page.{spec.records_path}").cast("long"),
+            F.col(f"_page.{spec.records_field}").isNotNull(),
+            F.size(f"_page.{spec.records_field}").cast("long"),
         ).alias("n_records"),
         _is_true(F.col(f"_page.{spec.more_flag}")).alias("more"),
         F.col("_page.error").alias("error"),

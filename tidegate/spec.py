@@ -123,7 +123,7 @@ class ProductSpec:
     payload_paths: tuple[str, ...] = ()
     redact: tuple[str, ...] = ()
     forbidden_columns: tuple[str, ...] = ()
-    records_path: str = "features"
+    records_field: str = "features"
     more_flag: str = "exceededTransferLimit"
     lineage: dict[str, str] = field(default_factory=lambda: dict(LINEAGE))
 
@@ -224,7 +224,7 @@ class ProductSpec:
         """Schema of one page document."""
         return T.StructType(
             [
-                T.StructField(self.records_path, T.ArrayType(self.record_schema())),
+                T.StructField(self.records_field, T.ArrayType(self.record_schema())),
                 T.StructField(self.more_flag, T.StringType()),
                 T.StructField("error", T.StringType()),
             ]
