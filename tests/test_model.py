@@ -17,7 +17,7 @@ from tidegate.operators.quarantine import read_quarantine
 from tidegate.operators.route import routed
 from tidegate.operators.snapshots import SnapshotTable
 from tidegate.plans.chapters import CHAPTERS
-from tidegate.plans.transform import silver_of, transform
+from tidegate.plans.silver import silver_of, transform
 from tidegate.session import scratch_path
 from tidegate.sources import page_audit, page_statistics, parse_documents
 

@@ -32,7 +32,7 @@ from tidegate.operators.merge import (
 from tidegate.operators.route import quarantine_split, routed, scope_filter
 from tidegate.operators.runs import newest_first, summary_frame, union_ledgers
 from tidegate.plans.chapters import CHAPTERS
-from tidegate.plans.transform import silver_of
+from tidegate.plans.silver import silver_of
 from tidegate.spec import OrderBy
 
 ORDER = (OrderBy("v", descending=True, nulls_last=True), OrderBy("name"))

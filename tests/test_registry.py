@@ -42,7 +42,7 @@ def test_ledger_of_a_known_classification(spark):
     from tidegate.operators.flatten import flatten_table
     from tidegate.operators.ledger import disposition_counts, run_ledger
     from tidegate.operators.route import routed
-    from tidegate.plans.transform import silver_of
+    from tidegate.plans.silver import silver_of
     from tidegate.registry.on_tables import LINES, line_items
     from tidegate.spec import Rule
 

@@ -2,6 +2,6 @@
 
 from tidegate.plans.pipeline import run_folder, run_landed, run_pages
 from tidegate.plans.publish import publish_gold
-from tidegate.plans.transform import silver_of, transform
+from tidegate.plans.silver import silver_of, transform
 
 __all__ = ["publish_gold", "run_folder", "run_landed", "run_pages", "silver_of", "transform"]

@@ -11,7 +11,7 @@ from tidegate.operators.flatten import flatten
 from tidegate.operators.landing import land_documents
 from tidegate.operators.runs import append_run
 from tidegate.plans.publish import publish_gold
-from tidegate.plans.transform import transform
+from tidegate.plans.silver import transform
 from tidegate.sources.pages import parse_documents, read_page_files
 from tidegate.sources.runs import (
     LandedRun,

@@ -30,7 +30,7 @@ from tidegate.operators.route import (
     survivors,
 )
 from tidegate.operators.snapshots import SnapshotTable
-from tidegate.session import scratch_path
+from tidegate.session import run_together, scratch_path
 from tidegate.spec import PAYLOAD, REASON, ProductSpec
 
 
@@ -89,11 +89,14 @@ def transform(
         complete = rejected.withColumns(dict(lineage or {}))
         write_quarantine(complete.select(*spec.quarantine_columns), lake, run_id)
 
+    def write_both(rejected: DataFrame, surviving: DataFrame) -> dict[str, int]:
+        writes = (lambda: keep_rejected(rejected), lambda: publish_silver(surviving))
+        return run_together(spark, *writes)[1]
+
     if not stage:
         before = flat.select(route(spec).alias(ROUTE)).agg(*route_counts()).first().asDict()
         require_all_read(before["rows_in"], rows_landed)
-        keep_rejected(quarantine_split(flat, spec))
-        return _ledger(before, publish_silver(survivors(flat, spec)))
+        return _ledger(before, write_both(quarantine_split(flat, spec), survivors(flat, spec)))
 
     staged = scratch_path(spark, "routed")
     rows = routed(flat, spec)
@@ -107,9 +110,9 @@ def transform(
         )
         require_all_read(seen.get["rows_in"], rows_landed)
         kept = spark.read.schema(rows.schema).parquet(staged)
-        keep_rejected(kept.filter(F.col(ROUTE) == QUARANTINED).drop(ROUTE))
+        rejected = kept.filter(F.col(ROUTE) == QUARANTINED).drop(ROUTE)
         surviving = kept.filter(F.col(ROUTE) == SURVIVOR).drop(ROUTE, REASON, PAYLOAD)
-        after = publish_silver(surviving)
+        after = write_both(rejected, surviving)
     finally:
         storage.delete(spark, staged)
     return _ledger(seen.get, after)

@@ -9,7 +9,7 @@ from tidegate.operators.flatten import flatten
 from tidegate.operators.ledger import run_ledger
 from tidegate.operators.route import quarantine_split, routed
 from tidegate.plans.chapters import CHAPTERS
-from tidegate.plans.transform import silver_of
+from tidegate.plans.silver import silver_of
 from tidegate.registry.base import register, table
 from tidegate.sources.pages import page_audit, page_statistics, parse_documents
 

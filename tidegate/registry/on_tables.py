@@ -34,7 +34,7 @@ from tidegate.operators.merge import (
 from tidegate.operators.quarantine import quarantined_by_run
 from tidegate.operators.route import quarantine_split, route, routed, scope_filter, survivors
 from tidegate.operators.runs import newest_first, union_ledgers
-from tidegate.plans.transform import silver_of
+from tidegate.plans.silver import silver_of
 from tidegate.registry.base import register, table
 from tidegate.sources.runs import newest_run
 from tidegate.spec import BlankOrLiteral, Field, OrderBy, OutsideRange, ProductSpec, Rule

@@ -18,7 +18,7 @@ from tidegate.operators.snapshots import SnapshotTable
 from tidegate.plans.chapters import CHAPTERS
 from tidegate.plans.pipeline import run_pages
 from tidegate.plans.publish import derived_ledger, publish_gold
-from tidegate.plans.transform import transform
+from tidegate.plans.silver import transform
 from tidegate.registry.base import register, table
 from tidegate.registry.on_pages import (
     POINTS_LEDGER_SQL,

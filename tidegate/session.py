@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +85,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidegate/{name}-{uuid.uuid4().hex}"
 
 
+def run_together(spark: SparkSession, *actions: Callable[[], Any]) -> list[Any]:
+    """Run independent actions as concurrent jobs and return their results in order.
+
+    A small job then fills the cores that the tail of a large one leaves idle. The first failure
+    is raised once all actions have ended.
+    """
+    with ThreadPoolExecutor(len(actions)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    return [action.result() for action in started]
+
+
 def single_row(spark: SparkSession, values: Mapping[str, object], types: Mapping[str, str]) -> DataFrame:
     """One row of constants in one partition, built without a Python worker."""
     return spark.range(0, 1, 1, 1).select(
