@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from samples import LEDGER, PAGES, documents, flat_rows, page, record
@@ -68,6 +69,15 @@ def test_bronze_is_verbatim(spark, finished):
     assert {r["page_no"]: json.loads(r["document"]) for r in landed.collect()} == dict(enumerate(PAGES, 1))
 
 
+def test_landed_row_groups_hold_few_documents(spark, lake):
+    pages = [page(record(n, f"CA-{n}", "CA"), more=n < 450) for n in range(1, 451)]
+    run = land_documents(spark, documents(spark, pages).coalesce(1), lake, CHAPTERS, "run_1")
+    files = storage.glob(spark, f"{lake.bronze}/{run.folder}/*.parquet")
+    found = [pq.ParquetFile(file.removeprefix("file:")).metadata for file in files]
+    sizes = [m.row_group(i).num_rows for m in found for i in range(m.num_row_groups)]
+    assert sum(sizes) == 450 and max(sizes) <= 200
+
+
 def test_run_table_and_views(spark, finished):
     lake, _ = finished
     register_views(spark, CHAPTERS, lake, "t_")

@@ -17,6 +17,20 @@ from tidegate.sources.pages import page_audit, page_statistics, require_complete
 from tidegate.sources.runs import LANDING_TYPES, LandedRun, landed_runs
 from tidegate.spec import ProductSpec
 
+# Readers decode up to 4,096 rows of a row group at a time, which for documents of some 100 KB is
+# gigabytes of text. The number of documents in a row group bounds that batch; its size in bytes,
+# counted after compression, would not.
+DOCUMENTS_PER_ROW_GROUP = 200
+
+
+def write_documents(documents: DataFrame, path: str) -> None:
+    """Write rows that hold whole page documents, in row groups a reader can decode at once."""
+    (
+        documents.write.option("compression", "zstd")
+        .option("parquet.block.row.count.limit", DOCUMENTS_PER_ROW_GROUP)
+        .parquet(path)
+    )
+
 
 def land_documents(
     spark: SparkSession,
@@ -43,8 +57,7 @@ def land_documents(
 
     numbered = documents.select(F.col("page_no").cast("long"), "document")
     statistics = page_statistics(numbered, spec)
-    # Documents are written once and compress well.
-    statistics.write.option("compression", "zstd").parquet(path)
+    write_documents(statistics, path)
     landed = spark.read.schema(statistics.schema).parquet(path)
     audit = page_audit(landed).first()
     try:

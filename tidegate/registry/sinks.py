@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.lake import Lake
 from tidegate.operators.contract import contract_projection
-from tidegate.operators.landing import land_documents
+from tidegate.operators.landing import land_documents, write_documents
 from tidegate.operators.quarantine import read_quarantine, write_quarantine
 from tidegate.operators.route import quarantine_split
 from tidegate.operators.runs import append_run, read_runs, summary_frame, union_ledgers
@@ -72,7 +72,7 @@ def stream_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land page documents from a stream; a second trigger finds nothing new."""
     lake = _lake(spark)
     arrived, checkpoint = scratch_path(spark, "arrived"), scratch_path(spark, "stream")
-    page_documents(point_records(spark, sf_dir)).write.parquet(arrived)
+    write_documents(page_documents(point_records(spark, sf_dir)), arrived)
     for _ in range(2):
         stream = spark.readStream.schema("page_no long, document string").parquet(arrived)
         land_stream(stream, lake, CHAPTERS, checkpoint).awaitTermination()
