@@ -85,8 +85,8 @@ def freshness(df: DataFrame) -> DataFrame:
 def overlap(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """Number of left rows whose key also occurs on the right (quarantine against gold: none).
 
-    Left rows are counted per key before the join, so a frequent key is one row in it.
+    Both sides are reduced to one row per key before the join, so a frequent key is one row in it.
     """
     counted = left.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    found = counted.join(right.select(*key), list(key), "left_semi")
+    found = counted.join(right.select(*key).distinct(), list(key), "left_semi")
     return found.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_overlapping"))

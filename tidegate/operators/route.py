@@ -55,13 +55,18 @@ def route(spec: ProductSpec) -> Column:
 
 
 def routed(flat: DataFrame, spec: ProductSpec) -> DataFrame:
-    """Every flat row with its route and reason. The payload is kept for quarantined rows only,
-    so it is neither built nor carried for the others."""
-    failed = F.col(ROUTE) == QUARANTINED
+    """Every flat row with its route and reason.
+
+    Nothing is kept of an out-of-scope row but its route, and the payload of quarantined rows only,
+    so what no output needs is neither built nor carried.
+    """
+    in_scope, failed = F.col(ROUTE) != OUT_OF_SCOPE, F.col(ROUTE) == QUARANTINED
     return flat.withColumn(ROUTE, route(spec)).select(
-        *spec.field_columns,
+        *(
+            F.when(in_scope, F.col(name)).alias(name)
+            for name in (*spec.field_columns, *_carried(flat, spec))
+        ),
         F.when(failed, quarantine_reason(spec.all_hard_rules)).alias(REASON),
-        *_carried(flat, spec),
         F.when(failed, F.col(PAYLOAD)).alias(PAYLOAD),
         ROUTE,
     )

@@ -9,6 +9,7 @@ renamed or overwritten in place. A table has one writer at a time.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -34,6 +35,7 @@ class SnapshotTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self._log = f"{self.root}/publications"
+        self._written: dict[int, Mapping[str, object]] = {}
 
     def exists(self) -> bool:
         return storage.exists(self.spark, self._log)
@@ -65,9 +67,10 @@ class SnapshotTable:
             "published_at_utc": datetime.now(timezone.utc).isoformat(),
         }
         single_row(self.spark, entry, LOG_TYPES).write.mode("append").parquet(self._log)
+        self._written[version] = entry
         return version
 
-    def _read(self, entry: Row | None, what: str) -> DataFrame:
+    def _read(self, entry: Row | Mapping[str, object] | None, what: str) -> DataFrame:
         if entry is None:
             raise TidegateError(f"no {what} in {self.root}")
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
@@ -82,7 +85,8 @@ class SnapshotTable:
         return self._read(self._newest(F.col("run_id") == run_id), f"snapshot of run {run_id!r}")
 
     def as_of_version(self, version: int) -> DataFrame:
-        return self._read(self._newest(F.col("version") == version), f"version {version}")
+        entry = self._written.get(version) or self._newest(F.col("version") == version)
+        return self._read(entry, f"version {version}")
 
     def expire(self, keep: int) -> int:
         """Delete the folders of all but the newest ``keep`` versions; returns how many."""

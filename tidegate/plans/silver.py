@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import storage
@@ -20,7 +20,6 @@ from tidegate.operators.ledger import (
 )
 from tidegate.operators.quarantine import write_quarantine
 from tidegate.operators.route import (
-    OUT_OF_SCOPE,
     QUARANTINED,
     ROUTE,
     SURVIVOR,
@@ -67,58 +66,47 @@ def transform(
     """Write silver and quarantine of one run and return its ledger.
 
     ``stage=True`` suits expensive sources such as page documents: they are parsed once, and the
-    flat rows worth keeping go to a table in the shared scratch folder, one folder per route, with
-    the counts taken on the way. Silver and quarantine read only their own route, and a lost
-    executor never causes a page to be parsed again. The counts are observed in stages that write
-    files, whose tasks count once however often they are attempted.
-
-    ``stage=False`` suits columnar tables, where three pruned scans cost less than an extra copy.
-
-    ``rows_landed`` is the number of records the audit counted; reading any other number fails
-    before silver or quarantine is touched.
+    flat rows go to a table in the shared scratch folder, one folder per route. Silver and
+    quarantine read only their own route, and a lost executor never causes a page to be parsed
+    again. ``stage=False`` suits columnar tables, where three pruned scans cost less than an extra
+    copy.
+
+    Staged and published rows are counted from the committed files, where a count needs file
+    footers or a single column, and not with accumulators, which a repeated stage or a lost event
+    would distort. ``rows_landed`` is the number of records the audit counted; reading any other
+    number fails before silver or quarantine is touched.
     """
     silver_table = SnapshotTable(spark, lake.silver)
 
     def publish_silver(surviving: DataFrame) -> dict[str, int]:
-        statuses = Observation("statuses")
-        silver = _silver_from_survivors(surviving, spec, lineage)
-        silver_table.publish(silver.observe(statuses, *status_counts()), run_id)
-        return statuses.get
+        version = silver_table.publish(_silver_from_survivors(surviving, spec, lineage), run_id)
+        return silver_table.as_of_version(version).agg(*status_counts()).first().asDict()
 
     def keep_rejected(rejected: DataFrame) -> None:
         complete = rejected.withColumns(dict(lineage or {}))
         write_quarantine(complete.select(*spec.quarantine_columns), lake, run_id)
 
-    def write_both(rejected: DataFrame, surviving: DataFrame) -> dict[str, int]:
+    def write_both(
+        routes: DataFrame, rejected: DataFrame, surviving: DataFrame
+    ) -> dict[str, int]:
+        before = routes.agg(*route_counts()).first().asDict()
+        require_all_read(before["rows_in"], rows_landed)
         writes = (lambda: keep_rejected(rejected), lambda: publish_silver(surviving))
-        return run_together(spark, *writes)[1]
+        ledger = ledger_from_counts(before, run_together(spark, *writes)[1])
+        require_balanced(ledger)
+        return ledger
 
     if not stage:
-        before = flat.select(route(spec).alias(ROUTE)).agg(*route_counts()).first().asDict()
-        require_all_read(before["rows_in"], rows_landed)
-        return _ledger(before, write_both(quarantine_split(flat, spec), survivors(flat, spec)))
+        routes = flat.select(route(spec).alias(ROUTE))
+        return write_both(routes, quarantine_split(flat, spec), survivors(flat, spec))
 
     staged = scratch_path(spark, "routed")
     rows = routed(flat, spec)
-    seen = Observation("routes")
     try:
-        (
-            rows.observe(seen, *route_counts())
-            .filter(F.col(ROUTE) != OUT_OF_SCOPE)
-            .write.partitionBy(ROUTE)
-            .parquet(staged)
-        )
-        require_all_read(seen.get["rows_in"], rows_landed)
+        rows.write.partitionBy(ROUTE).parquet(staged)
         kept = spark.read.schema(rows.schema).parquet(staged)
         rejected = kept.filter(F.col(ROUTE) == QUARANTINED).drop(ROUTE)
         surviving = kept.filter(F.col(ROUTE) == SURVIVOR).drop(ROUTE, REASON, PAYLOAD)
-        after = write_both(rejected, surviving)
+        return write_both(kept.select(ROUTE), rejected, surviving)
     finally:
         storage.delete(spark, staged)
-    return _ledger(seen.get, after)
-
-
-def _ledger(before: Mapping[str, int], after: Mapping[str, int]) -> dict[str, int]:
-    ledger = ledger_from_counts(before, after)
-    require_balanced(ledger)
-    return ledger
