@@ -41,7 +41,7 @@ def require_unique_key(df: DataFrame, key: Sequence[str]) -> None:
     """Raise when a key repeats: several source rows cannot update one target row."""
     repeated = repeated_keys(df, key).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     if repeated:
-        raise ContractError(f"{repeated} key(s) occur more than once in the merge source")
+        raise ContractError(f"{repeated} key(s) occur more than once")
 
 
 def merge_snapshot(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -61,13 +61,22 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> Da
 
 
 def change_report(
-    old: DataFrame, new: DataFrame, key: Sequence[str], compare: Sequence[str] | None = None
+    old: DataFrame,
+    new: DataFrame,
+    key: Sequence[str],
+    compare: Sequence[str] | None = None,
+    assume_unique: bool = False,
 ) -> DataFrame:
     """One row per key of either snapshot: INSERT, UPDATE, DELETE or UNCHANGED.
 
-    ``compare`` are the columns whose change makes an UPDATE; all non-key columns by default.
-    Both snapshots must have unique keys; rows whose key has a NULL match nothing.
+    ``compare`` are the columns whose change makes an UPDATE; all non-key columns by default. A
+    key that repeats in both snapshots would pair all its rows, so both are checked first, by a
+    count that combines map-side; ``assume_unique`` skips that for frames that were deduplicated
+    by the key. Rows whose key has a NULL match nothing.
     """
+    if not assume_unique:
+        require_unique_key(old, key)
+        require_unique_key(new, key)
     compared = list(compare) if compare is not None else [c for c in old.columns if c not in key]
 
     old_complete, old_keyless = _split_by_key(old, key)

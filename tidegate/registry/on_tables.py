@@ -518,12 +518,12 @@ def extracts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @register(f"{REPORT_SQL} SELECT order_key, line, action FROM report")
 def merge_change_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return change_report(*extracts(spark, sf_dir), LINES.key)
+    return change_report(*extracts(spark, sf_dir), LINES.key, assume_unique=True)
 
 
 @register(f"{REPORT_SQL} SELECT action, count(*) AS n_rows FROM report GROUP BY action")
 def merge_change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return change_counts(change_report(*extracts(spark, sf_dir), LINES.key))
+    return change_counts(merge_change_report(spark, sf_dir))
 
 
 @register(f"WITH {EXTRACT_SQL} SELECT * FROM new")
