@@ -6,7 +6,10 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidegate.operators.ledger import route_counts
+from tidegate.operators.route import OUT_OF_SCOPE, ROUTE, SURVIVOR, routed
 from tidegate.registry import QUERIES, on_pages, on_tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -65,3 +68,17 @@ def test_merge_report_reuses_the_partitioning_of_its_inputs(spark):
     plan = plan_of(spark, "merge_change_report")
     join = plan[plan.index("FullOuter") :]
     assert join.index("Window [") < join.index("Exchange")
+
+
+def test_staged_rows_are_counted_from_footers_and_read_by_route(spark, tmp_path):
+    flat = on_tables.flat_lines(spark, SF_DIR)
+    rows = routed(flat, on_tables.LINES)
+    rows.write.partitionBy(ROUTE).parquet(str(tmp_path / "staged"))
+    staged = spark.read.schema(rows.schema).parquet(str(tmp_path / "staged"))
+    counts = staged.select(ROUTE).agg(*route_counts())
+    assert "ReadSchema: struct<>" in counts._jdf.queryExecution().executedPlan().toString()
+    surviving = staged.filter(F.col(ROUTE) == SURVIVOR).drop(ROUTE)
+    plan = surviving._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(route" in plan and "PushedFilters: []" in plan
+    ignored = staged.filter(F.col(ROUTE) == OUT_OF_SCOPE).drop(ROUTE)
+    assert ignored.count() > 0 and ignored.dropna("all").count() == 0
