@@ -134,8 +134,8 @@ def hashed_runs(unit: list[tuple], rolling: Rolling) -> Iterator[tuple]:
     other = np.concatenate(([True], doc[1:] != doc[:-1]))
     for a, b in zip(*runs_of(goes, other)):
         doc_id, tag, _ = unit[doc[a]]
-        # any key will do, but not one for all
-        yield int(key[a]), doc_id, tag, int(place[a]), int(place[b - 1]) + WINDOW, None
+        # any key will do, but not one for all rows of a passage
+        yield int(key[a]) ^ tag, doc_id, tag, int(place[a]), int(place[b - 1]) + WINDOW, None
     other[1:] |= key[1:] != key[:-1]
     raw = value.tobytes()
     for a, b in zip(*runs_of(~goes, other)):
