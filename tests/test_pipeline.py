@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pyarrow.parquet as pq
@@ -11,6 +12,7 @@ from samples import LEDGER, PAGES, documents, flat_rows, page, record
 from tidegate import storage
 from tidegate.errors import ContractError, GateError, LandingError, TidegateError
 from tidegate.lake import Lake
+from tidegate.operators.flatten import flatten_table
 from tidegate.operators.landing import land_documents
 from tidegate.operators.quarantine import quarantined_by_run, read_quarantine, write_quarantine
 from tidegate.operators.route import quarantine_split
@@ -157,11 +159,12 @@ def test_a_retried_task_is_counted_once(spark, lake, stage, tmp_path):
 
 
 def test_verified_publish_refuses_a_broken_silver(spark, lake):
-    silver = silver_of(flat_rows(spark), CHAPTERS)
+    silver = silver_of(flat_rows(spark, run_id="run_1"), CHAPTERS)
     table = SnapshotTable(spark, lake.silver)
     table.publish(silver, "run_1")
     publish_gold(spark, CHAPTERS, lake, "run_1", verify=True)
-    table.publish(silver.union(silver), "run_2")
+    again = silver_of(flat_rows(spark, run_id="run_2"), CHAPTERS)
+    table.publish(again.union(again), "run_2")
     with pytest.raises(ContractError, match="repeated_key"):
         publish_gold(spark, CHAPTERS, lake, "run_2", verify=True)
     with pytest.raises(ContractError, match="more than once"):
@@ -273,10 +276,31 @@ def test_run_kept_as_page_files(spark, lake, tmp_path):
     assert at.first()[0] == "2026-01-01 05:00"
     described["rows_in"] = 9
     (folder / "_ingest_metadata.json").write_text(json.dumps(described))
-    with pytest.raises(ContractError):
+    with pytest.raises(LandingError):
         run_folder(spark, CHAPTERS, lake, str(tmp_path / "bronze"), "r1")
 
 
+@pytest.mark.parametrize(
+    ("pages", "rows_in"),
+    [
+        ({1: page(record(1, "CA-1", "CA"), more=True), 3: {"error": {"code": 500}}}, 1),
+        ({1: {"error": {"code": 500}}}, 0),
+    ],
+)
+def test_a_bad_folder_leaves_silver_as_it_is(spark, lake, tmp_path, pages, rows_in):
+    run_pages(spark, CHAPTERS, lake, documents(spark), "before")
+    folder = tmp_path / "bronze" / "ingest_date=2026-01-01" / "run_id=r1"
+    folder.mkdir(parents=True)
+    for number, body in pages.items():
+        (folder / f"page_{number:04d}.json").write_text(json.dumps(body))
+    described = dict(run_id="r1", ingest_date="2026-01-01", ingested_at_utc="2026-01-01T05:00:00+00:00",
+                     source="live", pages=len(pages), rows_in=rows_in)
+    (folder / "_ingest_metadata.json").write_text(json.dumps(described))
+    with pytest.raises(LandingError):
+        run_folder(spark, CHAPTERS, lake, str(tmp_path / "bronze"), "r1")
+    assert {r["run_id"] for r in SnapshotTable(spark, lake.silver).history().collect()} == {"before"}
+
+
 def test_stream_lands_each_file_once(spark, lake, tmp_path):
     incoming = tmp_path / "incoming"
     incoming.mkdir()
@@ -324,5 +348,44 @@ def test_a_short_read_is_noticed_before_anything_is_published(spark, lake):
 def test_landing_records_the_scope_as_where_clause(spark, lake):
     land_documents(spark, documents(spark), lake, CHAPTERS, "run_1")
     land_documents(spark, documents(spark), lake, CHAPTERS, "run_2", where_clause="State = 'CA'")
-    assert find_run(spark, lake, "run_1").where_clause == "State IN ('CA','OR','WA')"
+    assert find_run(spark, lake, "run_1").where_clause is None
     assert find_run(spark, lake, "run_2").where_clause == "State = 'CA'"
+
+
+def test_publishing_reads_the_silver_of_the_run_it_names(spark, lake):
+    run_pages(spark, CHAPTERS, lake, documents(spark), "run_1")
+    with pytest.raises(TidegateError):
+        publish_gold(spark, CHAPTERS, lake, "run_never_existed")
+    silver = SnapshotTable(spark, lake.silver)
+    silver.publish(silver.read(), "run_2")  # rows of another run under this run's name
+    with pytest.raises(GateError):
+        publish_gold(spark, CHAPTERS, lake, "run_2")
+    assert {r["run_id"] for r in SnapshotTable(spark, lake.gold).history().collect()} == {"run_1"}
+
+
+def test_a_repeated_run_is_one_row_of_the_run_table(spark, lake):
+    run_pages(spark, CHAPTERS, lake, documents(spark), "run_1")
+    run_landed(spark, CHAPTERS, lake, "run_1")
+    assert [r["run_id"] for r in read_runs(spark, lake).collect()] == ["run_1"]
+
+
+def test_of_two_writers_the_later_is_refused(spark, lake):
+    first, second = SnapshotTable(spark, lake.gold), SnapshotTable(spark, lake.gold)
+    a, b = first.write(spark.range(5), "a"), second.write(spark.range(2), "b")
+    first.commit(a)
+    with pytest.raises(TidegateError):
+        second.commit(b)
+    assert SnapshotTable(spark, lake.gold).read().count() == 5
+
+
+def test_forbidden_and_redacted_columns_of_a_table_stay_out_of_the_payload(spark):
+    spec = CHAPTERS.with_changes(redact=("nest.secret",))
+    nest = F.struct(F.lit("s3").alias("secret"), F.lit("ok").alias("open"))
+    paths = {field.path.split(".")[0] for field in spec.fields}
+    columns = {name: F.lit(None).cast("string") for name in paths}
+    table = spark.range(1).select(*(c.alias(n) for n, c in columns.items()), nest.alias("nest"), F.lit("a person").alias("MEVR_RD"))
+    spec = spec.with_changes(
+        fields=tuple(replace(f, path=f.path.split(".")[0]) for f in spec.fields), payload_paths=()
+    )
+    text = flatten_table(table, spec).first()["raw_payload"]
+    assert "person" not in text and "s3" not in text and '"open":"ok"' in text

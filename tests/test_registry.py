@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from tidegate.registry import ORACLES, QUERIES
 from tools.check_oracle import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 def test_entry(spark):
@@ -30,7 +31,7 @@ def test_entry(spark):
     )
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, connection, name):
     assert difference(spark, connection, SF_DIR, name) is None
 

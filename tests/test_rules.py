@@ -1,77 +1,57 @@
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.functions import annotate, blank_or_literal, outside_range, run_id_of, new_run_id
+from tidegate.functions import annotate, blank_or_literal, outside_range, run_id_at, run_id_of
 from tidegate.functions.rules import any_failed, quarantine_reason, warnings_array
 from tidegate.operators.route import quarantine_split, routed, survivors
-from tidegate.plans.chapters import CHAPTERS, INVALID_COORDINATES, MISSING_OR_UNKNOWN_CITY
+from tidegate.plans.chapters import CHAPTERS
 from tidegate.spec import BlankOrLiteral, Field, OrderBy, OutsideRange, ProductSpec, Rule
 
 
-@pytest.mark.parametrize(
-    ("lon", "lat", "bad"),
-    [
-        ("-118.2", "34.1", False),
-        ("-180", "-90", False),
-        ("180.0", "90.0", False),
-        (None, "34.1", True),
-        ("-118.2", None, True),
-        ("abc", "34.1", True),
-        ("", "34.1", True),
-        ("-180.001", "34.1", True),
-        ("-118.2", "90.5", True),
-        ("-118.2", "-91", True),
-        ("NaN", "34.1", True),
-    ],
-)
-def test_hard_rule(spark, lon, lat, bad):
-    df = spark.createDataFrame([(lon, lat)], "lon string, lat string").select(
-        F.col("lon").try_cast("double").alias("lon"), F.col("lat").try_cast("double").alias("lat")
-    )
-    failed = outside_range(F.col("lon"), -180, 180) | outside_range(F.col("lat"), -90, 90)
-    assert df.select(failed.alias("bad")).first()["bad"] is bad
-
-
-@pytest.mark.parametrize(
-    ("city", "bad"),
-    [
-        ("Fresno", False),
-        ("Unknown Falls", False),
-        (None, True),
-        ("", True),
-        ("    ", True),
-        ("UNKNOWN", True),
-        ("unknown", True),
-        ("  UnKnown ", True),
-        ("\t", False),  # trim removes spaces only
-        (" ", False),
-    ],
-)
-def test_soft_rule(spark, city, bad):
-    df = spark.createDataFrame([(city,)], "city string")
-    assert df.select(blank_or_literal(F.col("city")).alias("bad")).first()["bad"] is bad
-
-
-def test_annotate(spark):
-    df = spark.createDataFrame(
-        [("a", "Fresno", -119.7, 36.8), ("b", "UNKNOWN", -118.2, 34.0), ("c", "Bend", -190.5, 45.5)],
-        "chapter_id string, city string, longitude double, latitude double",
-    )
-    rows = {
-        r["chapter_id"]: r
-        for r in annotate(df, CHAPTERS.hard_rules, CHAPTERS.soft_rules).collect()
-    }
-    assert (rows["a"]["dq_status"], rows["a"]["dq_warnings"]) == ("OK", [])
-    assert rows["a"]["is_quarantined"] is False and rows["a"]["quarantine_reason"] is None
-    assert (rows["b"]["dq_status"], rows["b"]["dq_warnings"]) == (
-        "WARNING",
-        [MISSING_OR_UNKNOWN_CITY],
-    )
-    assert rows["b"]["is_quarantined"] is False
-    assert rows["c"]["is_quarantined"] is True
-    assert rows["c"]["quarantine_reason"] == INVALID_COORDINATES
+BOUNDS = [(0.0, 1.0), (-180.0, 180.0), (2.5, 2.5)]
+
+
+@pytest.mark.parametrize(("low", "high"), BOUNDS)
+def test_a_range_includes_its_ends_and_nothing_beyond(spark, low, high):
+    middle = (low + high) / 2
+    inside = [low, high, middle]
+    outside = [low - 0.25, high + 0.25, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(x,) for x in inside + outside], "reading double")
+    verdicts = df.select(outside_range(F.col("reading"), low, high).alias("bad")).collect()
+    assert [row["bad"] for row in verdicts] == [False] * len(inside) + [True] * len(outside)
+
+
+def test_text_that_is_no_number_is_out_of_every_range(spark):
+    df = spark.createDataFrame([("7",), ("seven",), (" ",)], "raw string")
+    typed = df.select(outside_range(F.col("raw").try_cast("double"), 0, 10).alias("bad"))
+    assert [row["bad"] for row in typed.collect()] == [False, True, True]
+
+
+def test_only_blank_text_and_the_literal_itself_are_blank(spark):
+    literal = "unknown"
+    padded = [pad + word + pad for word in (literal, literal.title(), literal.upper()) for pad in ("", "  ")]
+    kept = [literal + "s", "not " + literal, "\t", "0"]
+    df = spark.createDataFrame([(x,) for x in [None, "", " " * 7, *padded, *kept]], "label string")
+    verdicts = [row["bad"] for row in df.select(blank_or_literal(F.col("label")).alias("bad")).collect()]
+    assert verdicts == [True] * (3 + len(padded)) + [False] * len(kept)
+
+
+def test_annotations_follow_the_rules_of_any_spec(spark):
+    hard = (Rule("TOO_COLD", lambda: F.col("kelvin") < 0),)
+    soft = (BlankOrLiteral("NO_LABEL", "label"),)
+    rows = [(i, kelvin, label) for i, (kelvin, label) in enumerate(
+        (kelvin, label) for kelvin in (-1, 0, 300) for label in ("probe", None)
+    )]
+    df = spark.createDataFrame(rows, "id int, kelvin int, label string")
+    for row in annotate(df, hard, soft).collect():
+        assert row["is_quarantined"] is (row["kelvin"] < 0)
+        assert row["quarantine_reason"] == ("TOO_COLD" if row["kelvin"] < 0 else None)
+        assert row["dq_warnings"] == ([] if row["label"] else ["NO_LABEL"])
+        assert row["dq_status"] == ("OK" if row["label"] else "WARNING")
 
 
 def test_several_rules_keep_their_order(spark):
@@ -118,7 +98,10 @@ def test_rules_stay_in_generated_code(spark):
 def test_run_ids(spark):
     row = spark.sql("select timestamp'2026-01-02 03:04:05' t").select(run_id_of(F.col("t")).alias("r"))
     assert row.first()["r"] == "run_20260102T030405Z"
-    assert new_run_id().startswith("run_2")
+    east = timezone(timedelta(hours=9))
+    assert run_id_at(datetime(2026, 1, 2, 12, 4, 5, tzinfo=east)) == "run_20260102T030405Z"
+    with pytest.raises(ValueError):
+        run_id_at(datetime(2026, 1, 2))
 
 
 def test_spec_refuses_contradictions():
@@ -130,6 +113,9 @@ def test_spec_refuses_contradictions():
         {"required_groups": ("x",)},
         {"expected_groups": ("x",)},
         {"forbidden_columns": ("a",)},
+        {"group": "a", "expected_groups": ("CA", "ca")},
+        {"payload_paths": ("person.name",), "forbidden_columns": ("name",)},
+        {"payload_paths": ("a.b",)},
         {"contract": (("a", "string"), ("b", "string"))},
         {"order": (OrderBy("b"),)},
         {"key": ("b",)},

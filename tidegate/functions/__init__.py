@@ -8,12 +8,12 @@ from tidegate.functions.rules import (
     warnings_array,
 )
 from tidegate.functions.text import normalised, typed
-from tidegate.functions.runs import run_id_of, new_run_id
+from tidegate.functions.runs import run_id_at, run_id_of
 
 __all__ = [
     "annotate",
     "blank_or_literal",
-    "new_run_id",
+    "run_id_at",
     "normalised",
     "outside_range",
     "quarantine_reason",

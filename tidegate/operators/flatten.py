@@ -59,9 +59,17 @@ def flatten(
 def flatten_table(
     df: DataFrame, spec: ProductSpec, lineage: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """The same flat rows from a table whose columns are addressed by the field paths."""
+    """The same flat rows from a table whose columns are addressed by the field paths.
+
+    Forbidden columns and redacted paths, nested ones too, never enter the payload.
+    """
+    hidden = {*spec.redact, *spec.forbidden_columns}
+    kept = F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in hidden))
+    nested = tuple(
+        path for path in spec.redact if "." in path and path.split(".")[0] in set(df.columns) - hidden
+    )
     return df.select(
         *(_field_column(f) for f in spec.fields),
-        payload(F.struct(*(c for c in df.columns if c not in spec.redact))).alias(PAYLOAD),
+        payload(kept, nested).alias(PAYLOAD),
         *(column.alias(name) for name, column in (lineage or {}).items()),
     )

@@ -44,15 +44,24 @@ def require_unique_key(df: DataFrame, key: Sequence[str]) -> None:
         raise ContractError(f"{repeated} key(s) occur more than once")
 
 
-def merge_snapshot(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Content of ``target`` after merging the full extract ``source`` into it."""
-    require_unique_key(source, key)
+def merge_snapshot(
+    target: DataFrame, source: DataFrame, key: Sequence[str], assume_unique: bool = False
+) -> DataFrame:
+    """Content of ``target`` after merging the full extract ``source`` into it.
+
+    ``assume_unique`` skips the check of a source that was deduplicated by the key.
+    """
+    if not assume_unique:
+        require_unique_key(source, key)
     return source.select(*target.columns)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, key: Sequence[str], assume_unique: bool = False
+) -> DataFrame:
     """Content of ``target`` after an upsert without the delete branch."""
-    require_unique_key(source, key)
+    if not assume_unique:
+        require_unique_key(source, key)
     columns = target.columns
     complete, keyless = _split_by_key(target, key)
     incoming = source.filter(~_has_null(key)).select(*key)

@@ -1,4 +1,7 @@
-"""The run table: one row per finished run, columns may be added over time."""
+"""The run table: one row per finished run, columns may be added over time.
+
+Summaries are appended, so a repeated run writes a second row; readers keep the newest of a run id.
+"""
 
 from __future__ import annotations
 
@@ -14,9 +17,14 @@ from tidegate.session import single_row
 
 
 def summary_frame(spark: SparkSession, summary: Mapping[str, object]) -> DataFrame:
-    """A run summary as a one-row frame; counts are long, everything else is text."""
+    """A run summary as a one-row frame; counts are long, everything else is text.
+
+    A column's name alone decides the type of ``rows_`` counts, so a missing count cannot turn the
+    column into text for the whole table.
+    """
     types = {
-        name: "long" if isinstance(value, int) else "string" for name, value in summary.items()
+        name: "long" if name.startswith("rows_") or isinstance(value, int) else "string"
+        for name, value in summary.items()
     }
     return single_row(spark, summary, types)
 
@@ -26,10 +34,14 @@ def append_run(spark: SparkSession, lake: Lake, summary: Mapping[str, object]) -
 
 
 def read_runs(spark: SparkSession, lake: Lake) -> DataFrame:
-    """All run summaries; columns a run did not have are NULL."""
+    """The newest summary of each run; columns a run did not have are NULL."""
     if not storage.exists(spark, lake.runs):
         return spark.createDataFrame([], "run_id string, finished_at_utc string")
-    return spark.read.option("mergeSchema", True).parquet(lake.runs)
+    rows = spark.read.option("mergeSchema", True).parquet(lake.runs)
+    if "finished_at_utc" not in rows.columns:
+        return rows
+    newest = F.max_by(F.struct(*rows.columns), F.coalesce("finished_at_utc", F.lit("")))
+    return rows.groupBy("run_id").agg(newest.alias("_newest")).select("_newest.*")
 
 
 def newest_first(runs: DataFrame, limit: int | None = None) -> DataFrame:

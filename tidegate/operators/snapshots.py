@@ -3,12 +3,15 @@
 A snapshot is written to a folder of its own and becomes visible by one more row in the table's
 publication log, written last. Readers resolve the newest row, so they never see a half-written
 snapshot, a failed publish leaves the previous one live, and older runs stay readable. Nothing is
-renamed or overwritten in place. A table has one writer at a time.
+renamed or overwritten in place: each attempt writes a folder of its own. A table has one writer at a
+time; of two writers that start from the same version, the second to finish is refused.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
@@ -54,18 +57,23 @@ class SnapshotTable:
 
     def publish(self, df: DataFrame, run_id: str) -> int:
         """Write ``df`` as the next version, make it current, and return the version."""
+        return self.commit(self.write(df, run_id))
+
+    def write(self, df: DataFrame, run_id: str) -> dict[str, object]:
+        """Write the next version's data without making it current; ``commit`` takes the result."""
         newest = self._newest()
         version = newest["version"] + 1 if newest else 1
-        folder = f"data/version={version:06d}-{run_id}"
-        # The version is not in the log yet, so an existing folder is a failed attempt's rest.
-        df.write.mode("overwrite").parquet(f"{self.root}/{folder}")
-        entry = {
-            "version": version,
-            "run_id": run_id,
-            "folder": folder,
-            "schema": df.schema.json(),
-            "published_at_utc": datetime.now(timezone.utc).isoformat(),
-        }
+        folder = f"data/version={version:06d}-{run_id}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(f"{self.root}/{folder}")
+        return {"version": version, "run_id": run_id, "folder": folder, "schema": df.schema.json()}
+
+    def commit(self, written: Mapping[str, object]) -> int:
+        """Make written data the current version. Refused if another writer took the version."""
+        version = int(written["version"])
+        newest = self._newest()
+        if (newest["version"] if newest else 0) >= version:
+            raise TidegateError(f"version {version} of {self.root} was published by another writer")
+        entry = {**written, "published_at_utc": datetime.now(timezone.utc).isoformat()}
         single_row(self.spark, entry, LOG_TYPES).write.mode("append").parquet(self._log)
         self._written[version] = entry
         return version
@@ -95,9 +103,11 @@ class SnapshotTable:
         newest = self._newest()
         if newest is None:
             return 0
-        old = self.history().filter(F.col("version") <= newest["version"] - keep)
-        folders = [f"{self.root}/{row['folder']}" for row in old.select("folder").collect()]
-        gone = [folder for folder in folders if storage.exists(self.spark, folder)]
+        # folders that are still there, not the log of all there ever were
+        folders = storage.glob(self.spark, f"{self.root}/data/version=*")
+        numbers = [int(re.search(r"/version=(\d+)-[^/]*$", folder)[1]) for folder in folders]
+        last_gone = newest["version"] - keep
+        gone = [folder for folder, version in zip(folders, numbers) if version <= last_gone]
         for folder in gone:
             storage.delete(self.spark, folder)
         return len(gone)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidegate.errors import LandingError
 from tidegate.lake import Lake
 from tidegate.operators.flatten import flatten
 from tidegate.operators.landing import land_documents
 from tidegate.operators.runs import append_run
 from tidegate.plans.publish import publish_gold
 from tidegate.plans.silver import transform
-from tidegate.sources.pages import parse_documents, read_page_files
+from tidegate.sources.pages import page_audit, parse_documents, read_page_files, require_complete
 from tidegate.sources.runs import (
     LandedRun,
     find_run,
@@ -99,6 +101,16 @@ def run_pages(
     return _finish_landed(spark, spec, lake, run, started_at, merge)
 
 
+def audit_page_files(pages: DataFrame, run: LandedRun) -> None:
+    """Refuse page files that are incomplete, malformed, or not what the run's sidecar describes."""
+    counted = F.when(F.col("records").isNotNull(), F.size("records").cast("long"))
+    audit = page_audit(pages.select("page_no", counted.alias("n_records"), "more", "error")).first()
+    require_complete(audit)
+    for name, described in (("pages", run.pages), ("rows_in", run.rows_in)):
+        if audit[name] != described:
+            raise LandingError(f"{name}: the sidecar says {described}, the files hold {audit[name]}")
+
+
 def run_folder(
     spark: SparkSession,
     spec: ProductSpec,
@@ -107,9 +119,13 @@ def run_folder(
     run_id: str,
     merge: bool = False,
 ) -> dict[str, object]:
-    """Transform and publish a run kept as page files with a JSON sidecar."""
+    """Transform and publish a run kept as page files with a JSON sidecar.
+
+    The files are audited before anything is written, so a bad folder leaves silver as it is.
+    """
     started_at = datetime.now(timezone.utc)
     folder = find_run_folder(spark, bronze_root, run_id)
     run = read_sidecar(spark, folder)
     pages = read_page_files(spark, folder, spec)
+    audit_page_files(pages, run)
     return _finish(spark, pages, spec, lake, run, folder, started_at, merge)

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.errors import GateError
 from tidegate.lake import Lake
 from tidegate.operators.contract import (
     contract_projection,
@@ -39,6 +40,16 @@ def published_counts(gold: DataFrame, spec: ProductSpec) -> dict[str, int]:
     return gold.agg(F.count(F.lit(1)).alias("rows_gold"), *per_group).first().asDict()
 
 
+def require_single_run(silver: DataFrame, spec: ProductSpec, run_id: str) -> None:
+    """Raise unless every row of the snapshot belongs to the run that is to be published."""
+    if "ingest_run_id" not in spec.lineage:
+        return
+    foreign = ~F.col("ingest_run_id").eqNullSafe(F.lit(run_id))
+    rows = silver.agg(F.count_if(foreign).alias("n")).first()["n"]
+    if rows:
+        raise GateError(f"{rows} row(s) of the silver snapshot are not of run {run_id!r}")
+
+
 def publish_gold(
     spark: SparkSession,
     spec: ProductSpec,
@@ -47,15 +58,17 @@ def publish_gold(
     merge: bool = False,
     verify: bool = False,
 ) -> dict[str, object]:
-    """Gate the current silver and publish its contract columns.
+    """Gate the silver snapshot of ``run_id`` and publish its contract columns.
 
-    The gates run before anything is written, so a refusal leaves the live snapshot alone. With
+    Silver is read by its run, never as whatever is newest: an unknown run and a snapshot with
+    rows of another run are refused. The gates run before anything is written, so a refusal leaves the live snapshot alone. With
     ``merge=True`` the publish has MERGE semantics: the key must be unique, and rows inserted,
     updated, deleted and unchanged against the live snapshot are counted. ``verify=True`` also checks
     every contract guarantee first, for one shuffle of the keys; silver of this library has them by
     construction. The counts of rows are read back from what was published.
     """
-    silver = SnapshotTable(spark, lake.silver).read()
+    silver = SnapshotTable(spark, lake.silver).as_of_run(run_id)
+    require_single_run(silver, spec, run_id)
     require_publishable(gate_metrics(silver, spec).first(), spec)
 
     published_at = datetime.now(timezone.utc).isoformat()
@@ -67,7 +80,8 @@ def publish_gold(
     changes: dict[str, int] = {}
     if merge and table.exists():
         live = table.read()
-        gold = merge_snapshot(live, gold, spec.key)
+        # `verify` has just checked the key
+        gold = merge_snapshot(live, gold, spec.key, assume_unique=verify)
         business = [c for c in spec.contract_columns if c not in (*spec.key, *spec.lineage)]
         # Every published snapshot was deduplicated by the key, and the new one was just checked.
         report = change_report(live, gold, spec.key, business, assume_unique=True)

@@ -78,9 +78,8 @@ def transform(
     """
     silver_table = SnapshotTable(spark, lake.silver)
 
-    def publish_silver(surviving: DataFrame) -> dict[str, int]:
-        version = silver_table.publish(_silver_from_survivors(surviving, spec, lineage), run_id)
-        return silver_table.as_of_version(version).agg(*status_counts()).first().asDict()
+    def write_silver(surviving: DataFrame) -> dict[str, object]:
+        return silver_table.write(_silver_from_survivors(surviving, spec, lineage), run_id)
 
     def keep_rejected(rejected: DataFrame) -> None:
         complete = rejected.withColumns(dict(lineage or {}))
@@ -91,8 +90,11 @@ def transform(
     ) -> dict[str, int]:
         before = routes.agg(*route_counts()).first().asDict()
         require_all_read(before["rows_in"], rows_landed)
-        writes = (lambda: keep_rejected(rejected), lambda: publish_silver(surviving))
-        ledger = ledger_from_counts(before, run_together(spark, *writes)[1])
+        writes = (lambda: keep_rejected(rejected), lambda: write_silver(surviving))
+        # silver goes live once both are written
+        version = silver_table.commit(run_together(spark, *writes)[1])
+        kept = silver_table.as_of_version(version).agg(*status_counts()).first().asDict()
+        ledger = ledger_from_counts(before, kept)
         require_balanced(ledger)
         return ledger
 

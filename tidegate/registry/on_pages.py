@@ -11,7 +11,14 @@ from tidegate.operators.route import quarantine_split, routed
 from tidegate.plans.chapters import CHAPTERS
 from tidegate.plans.silver import silver_of
 from tidegate.registry.base import register, table
-from tidegate.sources.pages import page_audit, page_statistics, parse_documents
+from tidegate.session import scratch_path
+from tidegate.sources.pages import (
+    page_audit,
+    page_statistics,
+    parse_documents,
+    read_documents,
+    read_page_files,
+)
 
 PAGE_SIZE = 1000
 RUN_ID = "run_20260102T030405Z"
@@ -178,17 +185,16 @@ def page_audit_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_audit(page_statistics(documents.withColumn("document", text), CHAPTERS), ["run_id"])
 
 
-@register(
-    f"""WITH {POINTS_SQL}
+SILVER_OF_PAGES_SQL = f"""WITH {POINTS_SQL}
 SELECT chapter_id, chapter_name, city, state, longitude, latitude, source_object_id,
        CASE WHEN no_city THEN 'WARNING' ELSE 'OK' END AS dq_status,
        CASE WHEN no_city THEN 'MISSING_OR_UNKNOWN_CITY' ELSE '' END AS warnings,
        '{RUN_ID}' AS ingest_run_id, TIMESTAMP '2026-01-02 03:04:05' AS ingested_at
 FROM silver"""
-)
-def pages_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_of(flat_points(spark, sf_dir), CHAPTERS, lineage())
-    return silver.withColumns(
+
+
+def _silver_of(flat: DataFrame) -> DataFrame:
+    return silver_of(flat, CHAPTERS, lineage()).withColumns(
         {
             "warnings": F.array_join("dq_warnings", ","),
             "ingested_at": F.col("ingested_at_utc").cast("timestamp_ntz"),
@@ -196,6 +202,46 @@ def pages_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("dq_warnings", "ingested_at_utc")
 
 
+@register(SILVER_OF_PAGES_SQL)
+def pages_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver_of(flat_points(spark, sf_dir))
+
+
+def _page_files(spark: SparkSession, sf_dir: str) -> str:
+    """All pages as files, one document a file, in folders named after the page."""
+    folder = scratch_path(spark, "page-files")
+    documents = page_documents(point_records(spark, sf_dir)).select("page_no", "document")
+    documents.write.partitionBy("page_no").text(folder)
+    return folder
+
+
+@register(SILVER_OF_PAGES_SQL)
+def page_files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page-file source, audited and transformed."""
+    pages = read_page_files(spark, _page_files(spark, sf_dir), CHAPTERS, "*.txt")
+    return _silver_of(flatten(pages, CHAPTERS))
+
+
+@register(
+    """SELECT o_orderkey // 1000 + 1 AS page_no, count(*) AS n_records FROM orders
+GROUP BY o_orderkey // 1000"""
+)
+def page_files_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page file with its number and the size of its record array."""
+    pages = read_page_files(spark, _page_files(spark, sf_dir), CHAPTERS, "*.txt")
+    return pages.select("page_no", F.size("records").cast("long").alias("n_records"))
+
+
+@register(
+    """SELECT o_orderkey // 1000 + 1 AS page_no, count(*) AS n_records FROM orders
+GROUP BY o_orderkey // 1000"""
+)
+def whole_document_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files read as whole documents, counted without building their records."""
+    documents = read_documents(spark, _page_files(spark, sf_dir), "*.txt")
+    return page_statistics(documents, CHAPTERS).select("page_no", "n_records")
+
+
 @register(
     f"""WITH {POINTS_SQL}
 SELECT chapter_id, state, longitude, latitude, source_object_id,

@@ -16,8 +16,9 @@ from tidegate.operators.route import quarantine_split
 from tidegate.operators.runs import append_run, read_runs, summary_frame, union_ledgers
 from tidegate.operators.snapshots import SnapshotTable
 from tidegate.plans.chapters import CHAPTERS
-from tidegate.plans.pipeline import run_pages
-from tidegate.plans.publish import derived_ledger, publish_gold
+from tidegate.operators.flatten import flatten
+from tidegate.plans.pipeline import run_landed, run_pages
+from tidegate.plans.publish import derived_ledger, publish_gold, register_views
 from tidegate.plans.silver import transform
 from tidegate.registry.base import register, table
 from tidegate.registry.on_pages import (
@@ -38,7 +39,7 @@ from tidegate.registry.on_tables import (
     silver_lines,
 )
 from tidegate.session import scratch_path
-from tidegate.sources.pages import page_statistics
+from tidegate.sources.pages import page_statistics, parse_documents
 from tidegate.sources.runs import find_run, landed_runs, read_landed_documents
 from tidegate.streaming import land_stream
 
@@ -155,13 +156,14 @@ def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.as_of_run("run_1").drop("flag")
 
 
-@register(
-    f"""SELECT l.*, s.* FROM ({POINTS_LEDGER_SQL}) l, (
+WHOLE_RUN_SQL = f"""SELECT l.*, s.* FROM ({POINTS_LEDGER_SQL}) l, (
   WITH {POINTS_SQL}
   SELECT count(*) AS rows_gold, count(*) FILTER (state = 'CA') AS rows_gold_ca,
     count(*) FILTER (state = 'OR') AS rows_gold_or, count(*) FILTER (state = 'WA') AS rows_gold_wa
   FROM silver) s"""
-)
+
+
+@register(WHOLE_RUN_SQL)
 def whole_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages landed, audited, transformed, gated and published; the recorded run."""
     lake = _lake(spark)
@@ -170,6 +172,32 @@ def whole_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select(*(name for name in runs.columns if name.startswith("rows_")))
 
 
+@register(WHOLE_RUN_SQL)
+def run_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, and the same run again from its landed pages: still one row in the run table."""
+    lake = _lake(spark)
+    run_pages(spark, CHAPTERS, lake, page_documents(point_records(spark, sf_dir)), RUN_ID)
+    run_landed(spark, CHAPTERS, lake, RUN_ID)
+    runs = read_runs(spark, lake)
+    return runs.select(*(name for name in runs.columns if name.startswith("rows_")))
+
+
+@register(
+    f"""WITH {POINTS_SQL}
+SELECT state, count(*) AS n_chapters, max(source_object_id) AS newest FROM silver GROUP BY state"""
+)
+def consumer_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A consumer's SQL over the registered views of a published run."""
+    lake = _lake(spark)
+    run_pages(spark, CHAPTERS, lake, page_documents(point_records(spark, sf_dir)), RUN_ID)
+    register_views(spark, CHAPTERS, lake, "consumer_")
+    return spark.sql(
+        """SELECT g.state, count(*) AS n_chapters, max(s.source_object_id) AS newest
+        FROM consumer_gold g JOIN consumer_silver s ON g.chapter_id = s.chapter_id
+        GROUP BY g.state"""
+    )
+
+
 @register(
     f"""WITH {POINTS_SQL}
 SELECT (SELECT count(*) FROM flat) AS rows_in,
@@ -182,7 +210,9 @@ def ledger_derived_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark)
     documents = page_documents(point_records(spark, sf_dir))
     land_documents(spark, documents, lake, CHAPTERS, RUN_ID, STARTED_AT)
-    transform(spark, flat_points(spark, sf_dir), CHAPTERS, lake, RUN_ID, lineage())
+    landed = read_landed_documents(spark, lake, find_run(spark, lake, RUN_ID))
+    flat = flatten(parse_documents(landed, CHAPTERS), CHAPTERS)
+    transform(spark, flat, CHAPTERS, lake, RUN_ID, lineage())
     derived = derived_ledger(spark, CHAPTERS, lake, RUN_ID)
     return summary_frame(spark, derived)
 

@@ -21,18 +21,28 @@ PAGE_FILE_GLOB = "page_*.json"
 PAGE_FILE_NUMBER = r"page_(\d+)\.json$"
 
 
+# Spark names files itself: a page it has written has its number in the folder.
+PAGE_FOLDER_NUMBER = r"/page_no=(\d+)/[^/]*$"
+
+
 def _page_number() -> Column:
-    number = F.regexp_extract(F.col("_metadata.file_name"), PAGE_FILE_NUMBER, 1)
-    return number.try_cast("long").alias("page_no")
+    in_name = F.regexp_extract(F.col("_metadata.file_name"), PAGE_FILE_NUMBER, 1)
+    in_folder = F.regexp_extract(F.col("_metadata.file_path"), PAGE_FOLDER_NUMBER, 1)
+    return F.coalesce(in_name.try_cast("long"), in_folder.try_cast("long")).alias("page_no")
 
 
-def read_page_files(spark: SparkSession, folder: str, spec: ProductSpec) -> DataFrame:
-    """Read a run folder of page files: ``page_no``, the record array, ``more`` and ``error``."""
+def read_page_files(
+    spark: SparkSession, folder: str, spec: ProductSpec, name_filter: str = PAGE_FILE_GLOB
+) -> DataFrame:
+    """Read a run folder of page files: ``page_no``, the record array, ``more`` and ``error``.
+
+    The number is in the file's name, or in a ``page_no=`` folder around it.
+    """
     # A name filter lists the folder once; a glob in the path would list every match by itself.
     pages = (
         spark.read.schema(spec.page_schema())
         .option("multiLine", True)
-        .option("pathGlobFilter", PAGE_FILE_GLOB)
+        .option("pathGlobFilter", name_filter)
         .json(folder)
     )
     return pages.select(_page_number(), *_page_columns(spec, lambda name: F.col(name)))

@@ -9,7 +9,9 @@ next to the page files.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from tidegate.lake import Lake
 # Fixed name and shape of the run description.
 DOCUMENT_SCHEMA = "page_no long, document string"
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+RUN_FOLDER_DATE = re.compile(r"/ingest_date=(\d{4}-\d{2}-\d{2})/run_id=[^/]*$")
 SIDECAR_NAME = "_ingest_metadata.json"
 LANDING_TYPES = {
     "run_id": "string",
@@ -97,10 +100,15 @@ def read_landed_documents(spark: SparkSession, lake: Lake, run: LandedRun) -> Da
 
 def find_run_folder(spark: SparkSession, bronze_root: str, run_id: str) -> str:
     """Locate a folder ``ingest_date=*/run_id=<run_id>`` of page files; the newest date wins."""
-    folders = storage.glob(spark, f"{bronze_root.rstrip('/')}/ingest_date=*/run_id={run_id}")
-    if not folders:
-        raise LandingError(f"no run folder for {run_id!r} under {bronze_root}")
-    return folders[-1]
+    pattern = f"{bronze_root}/ingest_date=*/run_id={run_id}"
+    dated = {
+        date.fromisoformat(match[1]): folder
+        for folder in storage.glob(spark, pattern)
+        if (match := RUN_FOLDER_DATE.search(folder))
+    }
+    if not dated:
+        raise LandingError(f"{bronze_root} holds no dated folder of run {run_id!r}")
+    return dated[max(dated)]
 
 
 def read_sidecar(spark: SparkSession, run_folder: str) -> LandedRun:

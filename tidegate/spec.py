@@ -144,6 +144,14 @@ class ProductSpec:
             raise ValueError("every required group must be an expected group")
         if self.expected_groups and not self.group:
             raise ValueError("expected_groups need a group column")
+        if len({group.lower() for group in self.expected_groups}) < len(self.expected_groups):
+            raise ValueError("expected groups must differ by more than case")
+        paths = sorted([*(f.path for f in self.fields), *self.payload_paths])
+        if any(longer.startswith(f"{path}.") for path in paths for longer in paths):
+            raise ValueError("a field path cannot be the beginning of another")
+        named = {part for path in self.payload_paths for part in path.split(".")}
+        if leaked := named & set(self.forbidden_columns):
+            raise ValueError(f"forbidden columns in the payload: {sorted(leaked)}")
         exposed = set(self.forbidden_columns) & set(self.contract_columns)
         if exposed:
             raise ValueError(f"forbidden columns in the contract: {sorted(exposed)}")
@@ -197,11 +205,15 @@ class ProductSpec:
 
     def where_clause(self) -> str | None:
         """The scope in terms of the source's own field, for whoever fetches the pages to push to
-        the source. The pipeline applies the scope again in any case."""
+        the source. The field's normalisers are part of it, so a source that applies it loses no
+        row of the scope; the pipeline applies the scope again in any case."""
         if self.scope is None:
             return None
         column, values = self.scope
-        source = next(f.path.rsplit(".", 1)[-1] for f in self.fields if f.name == column)
+        scoped = next(f for f in self.fields if f.name == column)
+        source = scoped.path.rsplit(".", 1)[-1]
+        for step in scoped.normalise:
+            source = f"{step.upper()}({source})"
         quoted = ("'" + value.replace("'", "''") + "'" for value in values)
         return f"{source} IN ({','.join(quoted)})"
 
