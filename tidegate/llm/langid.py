@@ -191,9 +191,13 @@ def train(spark: SparkSession, docs: DataFrame) -> Model:
     return fit(sample, idf)
 
 
-def predictions(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` and lang_pred, score of every row."""
-    model = spark.sparkContext.broadcast(train(spark, docs))
+#: The column predictions are added as; documents keep any other names.
+PREDICTED = "_predicted_language"
+
+
+def predictions(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents with PREDICTED: lang_pred and score."""
+    model = spark.sparkContext.broadcast(train(spark, docs.select("doc_id", "text", "lang")))
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts):
@@ -201,8 +205,7 @@ def predictions(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFr
 
         return pd.DataFrame([model.value.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    found = docs.withColumn("_predicted", predict(F.col("text")))
-    return found.select(*(F.col(f"`{k}`") for k in keep), "_predicted.lang_pred", "_predicted.score")
+    return docs.withColumn(PREDICTED, predict(F.col("text")))
 
 
 def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -212,16 +215,14 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts and texts without a letter are ``und`` with score 0, and so is every text if nothing is
     labelled. Repeated rows count each time. No rows give no rows.
     """
-    return (
-        predictions(spark, docs.select("doc_id", "text", "lang"), ["doc_id"])
-        .withColumn("held_out", fold("doc_id", 5) == 0)
-        .select("doc_id", "held_out", "lang_pred", "score")
+    return predictions(spark, docs.select("doc_id", "text", "lang")).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), f"{PREDICTED}.lang_pred", f"{PREDICTED}.score"
     )
 
 
 def known_language(spark: SparkSession, docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """The documents whose language is known: not ``und`` and at least ``least_score``."""
-    found = predictions(spark, docs, docs.columns).filter(
-        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)
+    found = predictions(spark, docs).filter(
+        (F.col(f"{PREDICTED}.lang_pred") != UNKNOWN) & (F.col(f"{PREDICTED}.score") >= least_score)
     )
-    return found.select(*(F.col(f"`{name}`") for name in docs.columns))
+    return found.drop(PREDICTED)

@@ -81,10 +81,10 @@ ORACLES: dict[str, str] = {
     "op6_exact_top_k": """
 WITH usable AS (
     SELECT vec_id,
-           list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
     SELECT a.vec_id AS query_id, b.vec_id,
@@ -105,28 +105,28 @@ WITH split AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ),
 placed AS (
-    SELECT doc_id, words, unnest(range(0, len(words) - 49)) AS at FROM split WHERE len(words) >= 50
+    SELECT doc_id, words, unnest(range(0, len(words) - 49)) AS spot FROM split WHERE len(words) >= 50
 ),
 windows AS (
-    SELECT doc_id, at, array_to_string(words[at + 1 : at + 50], ' ') AS window_text FROM placed
+    SELECT doc_id, spot, array_to_string(list_slice(words, spot + 1, spot + 50), ' ') AS window_text FROM placed
 ),
 gone AS (
-    SELECT doc_id, at
-    FROM (SELECT doc_id, at, min(doc_id) OVER (PARTITION BY window_text) AS first_id FROM windows)
+    SELECT doc_id, spot
+    FROM (SELECT doc_id, spot, min(doc_id) OVER (PARTITION BY window_text) AS first_id FROM windows)
     WHERE first_id < doc_id
 ),
 removed AS (
-    SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS i FROM gone
+    SELECT DISTINCT doc_id, unnest(range(spot, spot + 50)) AS i FROM gone
 ),
-lists AS (SELECT doc_id, list(i) AS places FROM removed GROUP BY doc_id),
-joined AS (
-    SELECT s.doc_id, s.words, coalesce(l.places, []) AS places
-    FROM split s LEFT JOIN lists l USING (doc_id)
+placed_words AS (SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS i FROM split),
+kept AS (
+    SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS kept_text, count(*) AS n
+    FROM placed_words w ANTI JOIN removed r ON w.doc_id = r.doc_id AND w.i = r.i
+    GROUP BY w.doc_id
 )
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_removed,
-       sha256(array_to_string(
-           [words[i + 1] for i in range(0, len(words)) if NOT list_contains(places, i)], ' '
-       )) AS kept_sha256
-FROM joined
+SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words,
+       CAST(len(s.words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept_text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
 """,
 }
