@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidegate.llm import ctw, mixing, packing, simhash, substrings
 from tidegate.llm.queries import tokenizer_path
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, code long, tag long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, code long, size long, taken string"
 
 
 def word(rng):
@@ -44,7 +44,7 @@ def corpus():
         (204, "ä\x00\x85b " * 3, "de", "é"), (205, "w " * 9000, "en", "s2"), (205, "w " * 9000, "en", "s2"),
         (206, "x", "en", "s2"), (206, "y", "en", "s2"), (None, passage, "en", "s3"), (None, None, None, None),
     ]
-    return [(*row, 1, "clash", 2, 3) for row in rows]
+    return [(*row, 1, "clash", 2, 3, "clash") for row in rows]
 
 
 @pytest.fixture(scope="module")

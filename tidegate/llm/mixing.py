@@ -182,12 +182,12 @@ def _part_before(place: Column) -> Column:
     return _chosen(block) * F.col("block_words") + F.when(in_part(place), inside).otherwise(0)
 
 
-#: Names the plan adds; a column of the input by one of them is set aside and put back.
+#: What a kept column's name begins with, so that it cannot clash with the plan's own.
 _OWN = "_mix_"
 
 
 def mixed(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
-    """doc_id, source, size and ``keep`` of every row, with what the mix takes of it.
+    """doc_id, source, size and ``keep`` (their names prefixed) of every row, and what the mix takes.
 
     Adds source_size, target, taken, and for partly taken rows passes, place, block_words, blocks,
     part and offset. Sources are ordered by code point, NULL last, with weights 1, 2, 3, repeating.
@@ -221,11 +221,7 @@ def mixed(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
     )
     end = F.col("place") + F.col("size")
     taken = F.col("passes") * F.col("size") + _part_before(end) - _part_before(F.col("place"))
-    return (
-        lined.join(cut, "shard_key")
-        .withColumn("taken", taken.cast("long"))
-        .withColumnsRenamed({_OWN + name: name for name in keep if name not in ("doc_id", "source")})
-    )
+    return lined.join(cut, "shard_key").withColumn("taken", taken.cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -238,16 +234,20 @@ def mixed_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     with just the words the partial pass takes of it, joined by spaces. Documents of which nothing
     is taken go. The columns are those of ``docs``."""
     names = docs.columns
-    rows = mixed(spark, docs, [n for n in names if n not in ("doc_id", "source")])
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = mixed(spark, docs, names)
+    text = F.col(_OWN + "text")
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     part = F.filter(words, lambda word, i: in_part(F.col("place") + i))
     rest = F.col("taken") - F.col("passes") * F.col("size")
     whole = F.col("passes") + F.when(rest == F.col("size"), 1).otherwise(0)
-    copies = F.array_repeat(F.col("text"), F.when(F.col("size") > 0, whole).otherwise(0).cast("int"))
+    copies = F.array_repeat(text, F.when(F.col("size") > 0, whole).otherwise(0).cast("int"))
     cut = F.when(
         (rest > 0) & (rest < F.col("size")), F.array(F.concat_ws(" ", part))
     ).otherwise(F.array().cast("array<string>"))
-    out = rows.withColumn("text", F.explode(F.concat(copies, cut)))
+    made = "_mix made"
+    columns = {name: F.col(f"`{_OWN}{name}`") for name in names}
+    out = rows.withColumn(made, F.explode(F.concat(copies, cut)))
+    columns["text"] = F.col(f"`{made}`")
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*names)
+        columns["n_chars"] = F.char_length(f"`{made}`").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(column.alias(name) for name, column in columns.items()))
