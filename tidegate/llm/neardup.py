@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.llm.common import saved
 from tidegate.llm.graph import components
@@ -30,7 +31,7 @@ from tidegate.llm.vectors import matrix, usable
 
 COSINE = 0.93
 #: Filters a vector passes on average. More find more pairs and cost more comparisons.
-PASSED = 72
+PASSED = 48
 #: Classes of a block within a filter.
 BLOCK = 1024
 SEED = 8
@@ -113,7 +114,7 @@ def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(ids) < 2:
                 continue
             copies = members.field("copies").to_numpy()
-            x = normed(matrix(members.field("x"), "<f8"))
+            x = normed(matrix(members.field("x"), batch.column("kind")[row].as_py()).astype(float))
             tree = members.field("in_tree").to_numpy(zero_copy_only=False)
             query = members.field("in_query").to_numpy(zero_copy_only=False)
             lists = members.field("filters").to_pylist()
@@ -150,6 +151,9 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
     non-finite components link with nothing, nor do rows without an id; a row without links is its
     own component. Equal rows link with each other. An empty table gives no rows.
     """
+    # single-precision components are kept as such until they are compared, which loses nothing
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    kind = "<f4" if single else "<f8"
     wide = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("label").cast("long").alias("label"),
@@ -160,7 +164,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
         schema = pa.schema([("vec_id", pa.int64()), ("label", pa.int64()), ("x", pa.binary())])
         for batch in batches:
             packed = [
-                (np.asarray(x, "<f8") + 0.0).tobytes() if x is not None and any(x) else None
+                (np.asarray(x, kind) + np.zeros(1, kind)).tobytes() if x is not None and any(x) else None
                 for x in batch.column("x").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
@@ -200,8 +204,9 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
                 for width in {len(value) for value in values}:
                     own = [i for i, value in enumerate(values) if len(value) == width]
                     if width not in codes:
-                        codes[width] = Code(width // 8, words)
-                    row, found = codes[width].decode(normed(matrix([values[i] for i in own], "<f8")))
+                        codes[width] = Code(width // np.dtype(kind).itemsize, words)
+                    x = matrix([values[i] for i in own], kind).astype(float)
+                    row, found = codes[width].decode(normed(x))
                     for i, filters in zip(own, np.split(found, np.searchsorted(row, np.arange(1, len(own))))):
                         lists[i] = np.sort(filters).astype("<i4").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(lists, pa.binary())], schema=schema)
@@ -256,7 +261,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
     )
     found = saved(
         spark,
-        cells.select("filter", "members").mapInArrow(solve, "node long, links long, least long"),
+        cells.select("filter", "members", F.lit(kind).alias("kind")).mapInArrow(solve, "node long, links long, least long"),
         "found",
     )
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
