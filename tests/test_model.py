@@ -170,6 +170,12 @@ def test_merge_equals_the_model(spark, old, new, old_keyless, new_keyless):
     expected = rows(kept, old_keyless) + rows(new, new_keyless)
     upserted = merge_upsert(target, source, key).collect()
     assert sorted(map(repr, map(tuple, upserted))) == sorted(map(repr, expected))
+    # one evaluation per side gives the same rows
+    once = merge_upsert(target, source, key, assume_unique=True).collect()
+    assert sorted(map(repr, map(tuple, once))) == sorted(map(repr, expected))
+    assert sorted(map(repr, change_report(target, source, key, assume_unique=True).collect())) == sorted(
+        map(repr, report)
+    )
 
 
 RUN_PAGES = st.lists(

@@ -282,6 +282,12 @@ def test_null_keys_do_not_enter_the_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_ties_on_a_map_column(spark):
+    rows = spark.sql("SELECT 1 AS k, 1 AS v, map('a', n) AS m FROM VALUES (2), (1), (3) AS t(n)")
+    found = {latest_wins(rows.repartition(n), ["k"], (OrderBy("v"),)).first()["m"]["a"] for n in (1, 3)}
+    assert found == {1}
+
+
 def test_ledgers_with_different_columns(spark):
     a = summary_frame(spark, {"run_id": "r1", "rows_in": 5, "finished_at_utc": "2026-01-01"})
     b = summary_frame(spark, {"run_id": "r2", "rows_gold": 4, "finished_at_utc": "2026-01-02"})

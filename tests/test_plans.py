@@ -70,6 +70,13 @@ def test_merge_report_reuses_the_partitioning_of_its_inputs(spark):
     assert join.index("Window [") < join.index("Exchange")
 
 
+@pytest.mark.parametrize("query", ["merge_change_report", "merge_upsert_lines"])
+def test_merges_evaluate_each_side_once(spark, query):
+    plan = plan_of(spark, query)
+    assert plan.count("FileScan parquet") == 2
+    assert len(re.findall(r"\bWindow \[", plan)) == 2
+
+
 def test_staged_rows_are_counted_from_footers_and_read_by_route(spark, tmp_path):
     flat = on_tables.flat_lines(spark, SF_DIR)
     rows = routed(flat, on_tables.LINES)

@@ -59,16 +59,34 @@ def merge_snapshot(
 def merge_upsert(
     target: DataFrame, source: DataFrame, key: Sequence[str], assume_unique: bool = False
 ) -> DataFrame:
-    """Content of ``target`` after an upsert without the delete branch."""
-    if not assume_unique:
-        require_unique_key(source, key)
+    """Content of ``target`` after an upsert without the delete branch.
+
+    ``assume_unique`` is for two frames that were deduplicated by the key, the NULL key included:
+    each is evaluated once, by one full join. Otherwise the source is read for its check, its keys
+    and its rows, the target's rows may repeat, and a small source can be broadcast.
+    """
     columns = target.columns
+    if assume_unique:
+        joined = _full_join(_rows(target, key, columns, "old"), _rows(source, key, columns, "new"), key)
+        return joined.select(F.coalesce("new", "old").alias("row")).select("row.*").select(*columns)
+    require_unique_key(source, key)
     complete, keyless = _split_by_key(target, key)
     incoming = source.filter(~_has_null(key)).select(*key)
     untouched = complete.join(incoming, list(key), "left_anti").select(*columns)
     return untouched.unionByName(keyless).unionByName(source.select(*columns))
 
 
+def _rows(
+    df: DataFrame, key: Sequence[str], content: Sequence[str | Column], name: str
+) -> DataFrame:
+    return df.select(*key, F.struct(*content).alias(name))
+
+
+def _full_join(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Every row of both sides, paired where the key is equal; a key with a NULL pairs with none."""
+    return old.join(new, list(key), "full_outer")
+
+
 def change_report(
     old: DataFrame,
     new: DataFrame,
@@ -81,33 +99,36 @@ def change_report(
     ``compare`` are the columns whose change makes an UPDATE; all non-key columns by default. A
     key that repeats in both snapshots would pair all its rows, so both are checked first, by a
     count that combines map-side; ``assume_unique`` skips that for frames that were deduplicated
-    by the key. Rows whose key has a NULL match nothing.
+    by the key, the NULL key included. Each of those is evaluated once and joined as it is: of rows
+    without a key it has one, which cannot crowd a reducer. Rows whose key has a NULL match nothing.
     """
-    if not assume_unique:
-        require_unique_key(old, key)
-        require_unique_key(new, key)
     compared = list(compare) if compare is not None else [c for c in old.columns if c not in key]
-
+    if assume_unique:
+        return _actions(old, new, key, compared)
+    require_unique_key(old, key)
+    require_unique_key(new, key)
     old_complete, old_keyless = _split_by_key(old, key)
     new_complete, new_keyless = _split_by_key(new, key)
+    return (
+        _actions(old_complete, new_complete, key, compared)
+        .unionByName(old_keyless.select(*key, F.lit("DELETE").alias("action")))
+        .unionByName(new_keyless.select(*key, F.lit("INSERT").alias("action")))
+    )
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        # A field that is never NULL tells a row's absence from NULL values in it.
-        content = F.struct(F.lit(True).alias("present"), *compared)
-        return df.select(*key, content.alias(name))
 
-    joined = side(old_complete, "old").join(side(new_complete, "new"), list(key), "full_outer")
+def _actions(
+    old: DataFrame, new: DataFrame, key: Sequence[str], compared: Sequence[str]
+) -> DataFrame:
+    # A field that is never NULL tells a row's absence from NULL values in it.
+    content = [F.lit(True).alias("present"), *compared]
+    joined = _full_join(_rows(old, key, content, "old"), _rows(new, key, content, "new"), key)
     action = (
         F.when(F.col("old.present").isNull(), F.lit("INSERT"))
         .when(F.col("new.present").isNull(), F.lit("DELETE"))
         .when(F.col("old").eqNullSafe(F.col("new")), F.lit("UNCHANGED"))
         .otherwise(F.lit("UPDATE"))
     )
-    return (
-        joined.select(*key, action.alias("action"))
-        .unionByName(old_keyless.select(*key, F.lit("DELETE").alias("action")))
-        .unionByName(new_keyless.select(*key, F.lit("INSERT").alias("action")))
-    )
+    return joined.select(*key, action.alias("action"))
 
 
 def change_counts(report: DataFrame) -> DataFrame:

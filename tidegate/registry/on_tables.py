@@ -528,7 +528,7 @@ def merge_change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"WITH {EXTRACT_SQL} SELECT * FROM new")
 def merge_snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_snapshot(*extracts(spark, sf_dir), LINES.key)
+    return merge_snapshot(*extracts(spark, sf_dir), LINES.key, assume_unique=True)
 
 
 @register(
@@ -538,7 +538,7 @@ WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.order_key = o.order_key AND n.line
 UNION ALL SELECT * FROM new"""
 )
 def merge_upsert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_upsert(*extracts(spark, sf_dir), LINES.key)
+    return merge_upsert(*extracts(spark, sf_dir), LINES.key, assume_unique=True)
 
 
 @register(
