@@ -144,6 +144,14 @@ def test_near_vectors(spark, vectors):
     assert neardup.near_duplicates(spark, frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [10_000, 100_000, 1_000_000])
+def test_recall_does_not_fall_with_the_table(n):
+    code = neardup.Code(64, neardup.code_words(n))
+    x, y = neardup.pairs_at(neardup.COSINE, 64, 400, seed=77)
+    a, b = (set(zip(*(part.tolist() for part in code.decode(z)))) for z in (x, y))
+    assert len({row for row, _ in a & b}) >= 0.94 * len(x)
+
+
 def test_list_decoding_finds_all_directions_in_reach():
     code = neardup.Code(8, 16)
     x = neardup.normed(np.random.default_rng(1).standard_normal((40, 8)))

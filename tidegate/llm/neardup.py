@@ -6,8 +6,10 @@ A vector passes the filters whose direction has an inner product of at least a t
 List decoding finds them all without trying each: a word of one half leaves a least value for the
 other half, whose words are sorted. Vectors of a label that pass a common filter are compared.
 
-The number of filters follows from the number of vectors and the threshold from the number of
-filters, so that a vector passes about PASSED of them and few vectors share one. Equal vectors are
+The number of filters follows from the number of vectors, so that few vectors share one. The
+threshold is so low that a vector passes about PASSED filters, and lower where that is needed for a
+share RECALL of pairs at just COSINE to pass a common one, as random pairs show for the very code:
+with more words a vector passes more of them, and recall does not fall with the table. Equal vectors are
 one class that links within itself. Classes that share a filter are compared in blocks; a pair
 counts in the first filter both pass, so no pair leaves a task: a task returns link counts and, for
 each class, one link to the least one it is connected to there.
@@ -16,7 +18,7 @@ each class, one link to the least one it is connected to there.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from statistics import NormalDist
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,13 @@ from tidegate.llm.simhash import join_labels
 from tidegate.llm.vectors import matrix, usable
 
 COSINE = 0.93
-#: Filters a vector passes on average. More find more pairs and cost more comparisons.
-PASSED = 48
+#: Filters a vector passes on average at least. More find more pairs and cost more comparisons.
+PASSED = 72
+#: Share of pairs at just COSINE that are to pass a common filter, PAIRS the random pairs it is
+#: measured on, and BEST the words of each half that are tried for a pair.
+RECALL = 0.97
+PAIRS = 1000
+BEST = 160
 #: Classes of a block within a filter.
 BLOCK = 1024
 SEED = 8
@@ -51,15 +58,37 @@ class Code:
             return w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-300)
 
         self.left, self.right = unit(max(1, self.half)), unit(width - self.half)
-        share = min(0.5, PASSED / words**2)
-        # a random direction's inner product is close to normal with variance 1 / width
-        self.least = NormalDist().inv_cdf(1 - share) / np.sqrt(width) * np.sqrt(2)
+        self.least = self.threshold(width)
 
-    def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of all directions that reach the threshold, rows ascending."""
+    def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products with the words of the left and of the right half."""
         y = x @ self.turn
         a = y[:, : self.half] @ self.left.T if self.half else np.zeros((len(x), self.words))
-        b = y[:, self.half :] @ self.right.T
+        return a, y[:, self.half :] @ self.right.T
+
+    def threshold(self, width: int) -> float:
+        """So low that random vectors pass PASSED filters on average and a share RECALL of random
+        pairs a common one. Only the BEST words a half are tried, so it is never too high."""
+        x, y = pairs_at(COSINE, width, PAIRS, SEED)
+        n = min(BEST, self.words)
+
+        def best(v: np.ndarray) -> np.ndarray:
+            return np.argpartition(-v, n - 1, axis=1)[:, :n]
+
+        common, highest = [], []
+        for at in range(0, PAIRS, 100):
+            (a, b), (c, d) = (self.halves(v[at : at + 100]) for v in (x, y))
+            for i, (p, q) in enumerate(zip(best(np.minimum(a, c)), best(np.minimum(b, d)))):
+                common.append(np.minimum(a[i, p][:, None] + b[i, q], c[i, p][:, None] + d[i, q]).max())
+            if at < 200:
+                left, right = (np.take_along_axis(v, best(v), 1) for v in (a, b))
+                highest.append((left[:, :, None] + right[:, None, :]).ravel())
+        passed = np.sort(np.concatenate(highest))[-PASSED * min(PAIRS, 200)]
+        return float(min(passed, np.quantile(common, 1 - RECALL, method="lower"))) - 1e-9
+
+    def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter) of all directions that reach the threshold, rows ascending."""
+        a, b = self.halves(x)
         order = np.argsort(-b, axis=1)
         falling = np.take_along_axis(b, order, 1)
         row, word = np.nonzero(a + falling[:, :1] >= self.least)  # words with any partner
@@ -74,6 +103,12 @@ class Code:
         return row, word * self.words + order[row, at]
 
 
+@cache
+def code_of(width: int, words: int) -> Code:
+    """One code for all tasks of a worker."""
+    return Code(width, words)
+
+
 def code_words(n: int) -> int:
     """Words of a half: so many that n vectors share their filters with few others."""
     words = 16
@@ -86,6 +121,16 @@ def normed(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def pairs_at(cosine: float, width: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """n random pairs of unit vectors at this cosine; of one component, pairs of equal ones."""
+    rng = np.random.default_rng([seed, width, n])
+    x, y = normed(rng.standard_normal((n, width))), rng.standard_normal((n, width))
+    if width == 1:
+        return x, x
+    y = normed(y - (x * y).sum(axis=1, keepdims=True) * x)
+    return x, cosine * x + np.sqrt(1 - cosine**2) * y
+
+
 def compare(ids, x, passed, here, first, second):
     """(a, b) positions of pairs at least COSINE alike whose first common filter is this one."""
     for at in range(0, len(first), 256):
@@ -118,14 +163,15 @@ def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree = members.field("in_tree").to_numpy(zero_copy_only=False)
             query = members.field("in_query").to_numpy(zero_copy_only=False)
             lists = members.field("filters").to_pylist()
-            # filters as positions among those of this block, in order
-            values = np.unique(np.concatenate([np.frombuffer(f, "<i4") for f in lists]))
-            sizes = [len(f) // 4 for f in lists]
+            # filters up to this one that some of this block share, as positions in order
+            listed = np.frombuffer(b"".join(lists), "<i4")
+            owner = np.repeat(np.arange(len(ids)), [len(f) // 4 for f in lists])
+            values, n = np.unique(listed, return_counts=True)
+            values = values[(n > 1) & (values <= here)]
+            at = np.minimum(np.searchsorted(values, listed), len(values) - 1)
+            own = values[at] == listed
             bits = np.zeros((len(ids), len(values)), bool)
-            bits[
-                np.repeat(np.arange(len(ids)), sizes),
-                np.searchsorted(values, np.frombuffer(b"".join(lists), "<i4")),
-            ] = True
+            bits[owner[own], at[own]] = True
             passed = np.packbits(bits, axis=1)
             place = int(np.searchsorted(values, here))
             links = np.zeros(len(ids), np.int64)
@@ -195,7 +241,6 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("node", pa.int64()), ("filters", pa.binary())])
-        codes: dict[int, Code] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -203,10 +248,8 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
                 nodes, lists = part.column("node").to_pylist(), [b""] * len(values)
                 for width in {len(value) for value in values}:
                     own = [i for i, value in enumerate(values) if len(value) == width]
-                    if width not in codes:
-                        codes[width] = Code(width // np.dtype(kind).itemsize, words)
                     x = matrix([values[i] for i in own], kind).astype(float)
-                    row, found = codes[width].decode(normed(x))
+                    row, found = code_of(x.shape[1], words).decode(normed(x))
                     for i, filters in zip(own, np.split(found, np.searchsorted(row, np.arange(1, len(own))))):
                         lists[i] = np.sort(filters).astype("<i4").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(lists, pa.binary())], schema=schema)
