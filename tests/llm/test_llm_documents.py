@@ -162,6 +162,23 @@ def test_mix(spark, docs):
     assert Counter(map(tuple, rows)) == Counter(map(tuple, again))
 
 
+def test_small_sources_reach_their_target(spark):
+    def texts(source, first, n, size):
+        return spark.range(first, first + n).select(
+            F.col("id").alias("doc_id"), F.expr(f"repeat('w ', {size})").alias("text"), F.lit(source).alias("source")
+        )
+
+    parts = [texts("a", 0, 300, 30_000), texts("b", 1000, 4, 5), texts("c", 2000, 10, 50), texts(None, 3000, 9, 700)]
+    docs = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    found = {}
+    for r in mixing.mix(spark, docs).collect():
+        target, taken = found.get(r["source_size"], (0, 0))
+        found[r["source_size"]] = (r["target"], taken + r["taken"])
+    assert set(found) == {9_000_000, 20, 500, 6300}
+    for target, taken in found.values():
+        assert taken == pytest.approx(target, rel=0.01)
+
+
 def test_mix_uses_no_python(spark, docs):
     plan = mixing.mixed_documents(spark, docs)._jdf.queryExecution().toString()
     assert not any(name in plan for name in ("Python", "Arrow", "Pandas"))

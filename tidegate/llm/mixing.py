@@ -2,7 +2,8 @@
 
 1. A source's target is its weight's share of all words, at most ``MAX_REPEAT`` times its size,
    the excess shared out again by weight.
-2. Blocks of equal size go to sources by highest quotients target / (2k + 1): integer quotas.
+2. Units of equal size, at most a FINEST of the smallest target, go to sources by highest quotients
+   target / (2k + 1): integer quotas, turned into blocks of the source's own size.
 3. A source's blocks go to its shards (documents dealt by a seeded hash) in the same way.
 4. In a shard the documents form a line in seeded order, cut into equal blocks. A quota takes
    whole passes over the line, and the rest as evenly spaced blocks from a seeded offset.
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import WORD, saved
 
 MAX_REPEAT = 3
-#: About so many blocks are given out in all, whatever the size of the corpus.
+#: About so many blocks are given out in all, whatever the size of the corpus, and more of sources
+#: whose target would otherwise be under FINEST of them.
 BLOCKS = 1 << 16
+FINEST = 100
 #: Documents of a shard on average; a source has up to SHARDS shards, which hold more beyond that.
 SHARD_DOCS = 128
 SHARDS = 4096
@@ -110,34 +113,39 @@ def _shards(spark: SparkSession, sized: DataFrame) -> DataFrame:
     )
     totals = parts.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = saved(spark, source_targets(totals), "targets")
-    total = int(targets.agg(F.sum("source_size")).first()[0] or 0)
-    block = max(1, total // BLOCKS)
+    total, smallest = targets.agg(
+        F.sum("source_size"), F.min(F.when(F.col("target") > 0, F.col("target")))
+    ).first()
+    largest_block = max(1, int(total or 0) // BLOCKS)
+    unit = max(1, min(largest_block, int(smallest or 0) // FINEST))
     quotas = sainte_lague(
-        targets.select("source", F.col("target").alias("claim"), F.lit(round(total / block)).alias("seats")),
+        targets.select(
+            "source", F.col("target").alias("claim"), F.lit(round(int(total or 0) / unit)).alias("seats")
+        ),
         [],
         ["source"],
     ).select("source", F.col("quota").alias("source_quota"))
 
+    same = F.col("a.source").eqNullSafe(F.col("b.source"))
+    block = F.floor(F.col("b.target") / FINEST).cast("long")
+    block = F.greatest(F.lit(1), F.least(F.lit(largest_block), block))
     wanted = F.ceil(F.sum("docs").over(source) / SHARD_DOCS).cast("long")
-    pieces = F.greatest(F.lit(1), F.round(F.col("line") / block).cast("long"))
+    pieces = F.greatest(F.lit(1), F.round(F.col("line") / F.col("block")).cast("long"))
     cut = (
         parts.withColumn("shards", F.least(F.lit(SHARDS).cast("long"), wanted))
         .groupBy("source", "shards", (F.col("h") % F.col("shards")).alias("shard"))
         .agg(F.sum("size").alias("line"))
+        .alias("a")
+        .join(targets.alias("b"), same)
+        .select("a.*", "b.target", "b.source_size", block.alias("block"))
         .withColumn("block_words", F.greatest(F.lit(1), F.ceil(F.col("line") / pieces).cast("long")))
         .withColumn("blocks", F.ceil(F.col("line") / F.col("block_words")).cast("long"))
     )
     blocks_of_source = F.sum(F.col("line") / F.col("block_words")).over(source)
-    same = F.col("a.source").eqNullSafe(F.col("b.source"))
-    cut = (
-        cut.withColumn("source_blocks", blocks_of_source)
-        .alias("a")
-        .join(targets.alias("b"), same)
-        .select("a.*", "b.target", "b.source_size")
-    )
+    cut = cut.withColumn("source_blocks", blocks_of_source)
     cut = cut.alias("a").join(quotas.alias("b"), same, "left").select("a.*", "b.source_quota")
     # the source's quota in blocks as long as its shards' blocks are on average
-    seats = F.round(F.col("source_quota") * block * F.col("source_blocks") / F.col("source_size"))
+    seats = F.round(F.col("source_quota") * unit * F.col("source_blocks") / F.col("source_size"))
     claims = cut.withColumn("claim", F.col("line") / F.col("block_words")).withColumn(
         "seats", F.coalesce(seats, F.lit(0)).cast("long")
     )
@@ -146,12 +154,17 @@ def _shards(spark: SparkSession, sized: DataFrame) -> DataFrame:
     joined = claims.alias("a").join(
         shard_quotas.alias("b"), same & (F.col("a.shard") == F.col("b.shard")), "left"
     )
-    quota = F.least(F.coalesce("b.quota", F.lit(0)), MAX_REPEAT * F.col("a.blocks"))
+    # passes are counted in words, as a line's last block may be short
+    quota = F.coalesce("b.quota", F.lit(0))
+    wanted = F.least(F.col("quota") * F.col("block_words"), MAX_REPEAT * F.col("line"))
+    line = F.greatest(F.col("line"), F.lit(1))
     some = F.greatest(F.col("blocks"), F.lit(1))
+    left = (F.col("wanted") - F.col("passes") * F.col("line")) / F.col("block_words")
     plan = (
         joined.select("a.*", quota.alias("quota"))
-        .withColumn("passes", F.floor(F.col("quota") / some).cast("long"))
-        .withColumn("part", F.col("quota") - F.col("passes") * some)
+        .withColumn("wanted", wanted)
+        .withColumn("passes", F.floor(F.col("wanted") / line).cast("long"))
+        .withColumn("part", F.least(F.round(left).cast("long"), F.col("blocks")))
         .withColumn("offset", F.pmod(F.xxhash64(F.lit(SEED), "source", "shard"), some))
         .withColumn("shard_key", shard_key())
     )
