@@ -218,6 +218,21 @@ def test_substrings(spark, docs, monkeypatch, unit):
     assert Counter(map(tuple, found)) == Counter(brute_substrings(corpus()))
 
 
+def test_a_common_line_gathers_under_no_key(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "KEY_WINDOWS", 200)
+    rng = random.Random(5)
+    line = " ".join(word(rng) for _ in range(30))
+    other = lambda n: " ".join(word(rng) for _ in range(n))
+    texts = [f"{other(60)} {line} {other(60)}" for _ in range(150)]
+    texts += [texts[3], f"{other(9)} {texts[5]}", None]
+    rows = [(i, text, "en", "s", 1) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sizes = substrings.keyed_runs(docs).groupBy("key").agg(F.sum(F.octet_length("hashes") / 8).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 200
+    found = substrings.remove_repeats(spark, docs).collect()
+    assert Counter(map(tuple, found)) == Counter(brute_substrings(rows))
+
+
 def test_documents_without_repeats(spark, docs):
     rows = substrings.without_repeats(spark, docs).collect()
     digests = Counter((r["doc_id"], hashlib.sha256(b" ".join(words(r["text"]))).hexdigest()) for r in rows)

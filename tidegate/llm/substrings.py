@@ -1,7 +1,7 @@
 """Substring deduplication: Rabin-Karp hashes of every window of WINDOW words.
 
 A word goes if a window over it also starts in a document with a smaller doc_id, so all a window's
-hash needs is its least doc_id. Three steps keep that to one shuffle of hashes:
+hash needs is its least doc_id. Four steps keep that to one shuffle of hashes:
 
 * A task hashes whole documents by the million words. Of windows that repeat within the task only
   those of the least document are sent on; the others are known to go. So a window that a third of
@@ -9,6 +9,8 @@ hash needs is its least doc_id. Three steps keep that to one shuffle of hashes:
 * Each window is keyed by the least hash of the 8-word runs in it. Equal windows have equal keys,
   and neighbouring windows mostly share theirs, so a row holds a run of some twenty windows: eight
   bytes each and one key.
+* A phrase of many texts would gather all windows around it under one key. So windows are counted by
+  key first, and those of keys with more than KEY_WINDOWS go on one by one, keyed by their own hash.
 * Each key's windows meet, sorted, in one task, which answers with intervals of words. Overlapping
   intervals of a document merge into maximal ones when the text is cut.
 
@@ -23,17 +25,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import emitted, rows
+from tidegate.llm.common import emitted, rows, saved
 
 WINDOW = 50
 KEY_WORDS = 8
 #: Words a task hashes together, and windows it compares together, to the end of a document or key.
 UNIT_WORDS = 600_000
 UNIT_WINDOWS = 600_000
+#: Windows of a key that may meet in one task as runs.
+KEY_WINDOWS = 100_000
 #: An odd multiplier, so that its powers can be undone modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
 LAST_ID = np.iinfo(np.int64).max
@@ -163,6 +168,29 @@ def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emitted(RUNS, found())
 
 
+def count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, n: windows to be sent on under a key."""
+    for batch in send(batches):
+        sizes = pc.divide(pc.binary_length(batch.column("hashes")), 8).cast(pa.int64())
+        found = pa.RecordBatch.from_arrays([batch.column("key"), sizes], names=["key", "n"])
+        yield found.filter(pc.is_valid(sizes))
+
+
+def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of a hot key become runs of one window, keyed by its hash."""
+
+    def found() -> Iterator[tuple]:
+        for *run, hot in rows(batches, *RUNS.names, "hot"):
+            key, doc_id, tag, start, stop, hashes = run
+            if not hot or hashes is None:
+                yield tuple(run)
+                continue
+            for i, value in enumerate(np.frombuffer(hashes, np.int64).tolist()):
+                yield value, doc_id, tag, start + i, start + i + WINDOW, hashes[8 * i : 8 * i + 8]
+
+    yield from emitted(RUNS, found())
+
+
 def compare(unit: list[tuple]) -> Iterator[tuple]:
     value = np.frombuffer(b"".join(run[3] for run in unit), np.uint64)
     sizes = np.array([len(run[3]) // 8 for run in unit])
@@ -203,12 +231,22 @@ def text_tag() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")), F.col("doc_id"))
 
 
+def keyed_runs(docs: DataFrame) -> DataFrame:
+    """Runs of windows by key, of which no key has many more than KEY_WINDOWS different ones."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), "text")
+    schema = "key long, doc_id long, tag long, start int, stop int, hashes binary"
+    counts = texts.mapInArrow(count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    hot = counts.filter(F.col("n") > KEY_WINDOWS).select("key", F.lit(True).alias("hot"))
+    hot = saved(docs.sparkSession, hot, "hot-keys")
+    runs = texts.mapInArrow(send, schema)
+    if hot.isEmpty():
+        return runs
+    return runs.join(hot, "key", "left").mapInArrow(spread, schema)
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, tag, spans: word intervals to remove, for each document that has any."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), "text")
-    runs = texts.mapInArrow(
-        send, "key long, doc_id long, tag long, start int, stop int, hashes binary"
-    )
+    runs = keyed_runs(docs)
     dealt = runs.repartition("key").sortWithinPartitions("key")
     spans = dealt.mapInArrow(answer, "doc_id long, tag long, start int, stop int")
     return spans.groupBy("doc_id", "tag").agg(
