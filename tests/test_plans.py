@@ -39,7 +39,11 @@ def test_no_nested_loops_and_no_python(spark, name):
         assert operator not in plan
 
 
-@pytest.mark.parametrize("name", LAZY)
+# lags over page numbers need every page; parts of a fixed size bound what a task holds
+EVERY_ROW = {"page_gaps_by_run"}
+
+
+@pytest.mark.parametrize("name", sorted({*LAZY} - EVERY_ROW))
 def test_windows_are_limited_before_their_exchange(spark, name):
     plan = plan_of(spark, name)
     windows = len(re.findall(r"- Window \[", plan))

@@ -6,7 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidegate.functions.evidence import Shown
 from tidegate.functions.text import normalised, typed
 from tidegate.spec import PAYLOAD, Field, ProductSpec
 
@@ -28,17 +30,15 @@ def explode_records(pages: DataFrame) -> DataFrame:
     )
 
 
-def _field_column(field: Field, prefix: str = "") -> Column:
-    source = F.col(prefix + field.path)
+def _typed_field(field: Field, source: Column) -> Column:
     if field.type == "string":
         return normalised(source, field.normalise).alias(field.name)
     return typed(source, field.type).alias(field.name)
 
 
-def payload(record: Column, redact: tuple[str, ...] = ()) -> Column:
-    """The record as JSON, empty fields included, without the redacted paths."""
-    kept = record.dropFields(*redact) if redact else record
-    return F.to_json(kept, {"ignoreNullFields": "false"})
+def payload(record: Column, kind: T.DataType, shown: Shown) -> Column:
+    """A value as JSON, empty fields included, without what may not be shown."""
+    return F.to_json(shown.typed(record, kind), {"ignoreNullFields": "false"})
 
 
 def flatten(
@@ -46,12 +46,17 @@ def flatten(
 ) -> DataFrame:
     """Pages to flat rows: the spec's fields, the payload and, when given, the lineage columns.
 
-    The payload is a plain projection: where only some rows keep it, the optimizer evaluates it
-    after their filter, and where no row keeps it, it is pruned.
+    Fields are read as text and typed afterwards. The payload is all of the record, whether the spec
+    names it or not, with numbers as numbers; of a record that repeats a name, which no variant can
+    hold, it is the fields. It is a plain projection of the record's text: where only some rows keep
+    it, it is worked out after their filter, and where no row keeps it, it is pruned.
     """
-    return explode_records(pages).select(
-        *(_field_column(f, f"{RECORD}.") for f in spec.fields),
-        payload(F.col(RECORD), spec.redact).alias(PAYLOAD),
+    read = explode_records(pages).withColumn("_fields", F.from_json(RECORD, spec.record_schema()))
+    whole = payload(F.try_parse_json(RECORD), T.VariantType(), spec.shown())
+    fields = payload(F.col("_fields"), spec.record_schema(), spec.shown())
+    return read.select(
+        *(_typed_field(f, F.col(f"_fields.{f.path}")) for f in spec.fields),
+        F.coalesce(whole, fields).alias(PAYLOAD),
         *(column.alias(name) for name, column in (lineage or {}).items()),
     )
 
@@ -61,15 +66,15 @@ def flatten_table(
 ) -> DataFrame:
     """The same flat rows from a table whose columns are addressed by the field paths.
 
-    Forbidden columns and redacted paths, nested ones too, never enter the payload.
+    Forbidden names and redacted paths, nested ones too, never enter the payload.
     """
-    hidden = {*spec.redact, *spec.forbidden_columns}
-    kept = F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in hidden))
-    nested = tuple(
-        path for path in spec.redact if "." in path and path.split(".")[0] in set(df.columns) - hidden
-    )
+    row = F.struct(*(F.col(_quoted(c)) for c in df.columns))
     return df.select(
-        *(_field_column(f) for f in spec.fields),
-        payload(kept, nested).alias(PAYLOAD),
+        *(_typed_field(f, F.col(f.path)) for f in spec.fields),
+        payload(row, df.schema, spec.shown()).alias(PAYLOAD),
         *(column.alias(name) for name, column in (lineage or {}).items()),
     )
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

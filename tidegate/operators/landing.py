@@ -13,14 +13,22 @@ from tidegate.errors import LandingError
 from tidegate.functions.runs import run_id_at
 from tidegate.lake import Lake
 from tidegate.session import single_row
-from tidegate.sources.pages import page_audit, page_statistics, require_complete
-from tidegate.sources.runs import LANDING_TYPES, LandedRun, landed_runs
+from tidegate.sources.pages import (
+    is_acceptable,
+    missing_ranges,
+    page_audit,
+    page_statistics,
+    require_complete,
+    sound_page,
+)
+from tidegate.sources.runs import DOCUMENT_SCHEMA, LANDING_TYPES, LandedRun, landed_runs
 from tidegate.spec import ProductSpec
 
 # Readers decode up to 4,096 rows of a row group at a time, which for documents of some 100 KB is
 # gigabytes of text. The number of documents in a row group bounds that batch; its size in bytes,
 # counted after compression, would not.
 DOCUMENTS_PER_ROW_GROUP = 200
+COUNTED_SCHEMA = f"{DOCUMENT_SCHEMA}, n_records long, error string"
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
@@ -42,6 +50,8 @@ def land_documents(
     source: str | None = None,
     source_detail: str | None = None,
     where_clause: str | None = None,
+    keep_refused: bool = False,
+    completes: str | None = None,
 ) -> LandedRun:
     """Land ``documents`` (``page_no``, ``document``) as one run and register it.
 
@@ -49,6 +59,11 @@ def land_documents(
     reads small columns instead of parsing the pages again. A run becomes findable only by its row
     in the landings table, added after the audit has passed: a refused batch leaves an earlier
     landing of the same run untouched. Landing a run again replaces it.
+
+    A refusal names the ranges of pages that are lacking. With ``keep_refused`` the refused documents
+    stay, in the folder the error names as ``attempt``; giving it as ``completes`` lands them together
+    with ``documents``, so only the lacking pages need fetching. A page in both is taken from
+    ``documents``, and pages that were errors are left behind.
     """
     if started_at is None:
         started_at = datetime.now(timezone.utc)
@@ -58,14 +73,21 @@ def land_documents(
     path = lake.landing(run_id, ingest_date.isoformat(), f"a{uuid.uuid4().hex}")
 
     numbered = documents.select(F.col("page_no").cast("long"), "document")
-    statistics = page_statistics(numbered, spec)
+    if completes:
+        earlier = spark.read.schema(COUNTED_SCHEMA).parquet(f"{lake.bronze}/{completes}").filter(sound_page())
+        kept = earlier.join(numbered.select("page_no"), "page_no", "left_anti")
+        numbered = numbered.unionByName(kept.select("page_no", "document"))
+    statistics = page_statistics(numbered, spec, scope=True)
     write_documents(statistics, path)
     landed = spark.read.schema(statistics.schema).parquet(path)
     audit = page_audit(landed).first()
     try:
-        require_complete(audit)
-    except LandingError:
-        storage.delete(spark, path)
+        require_complete(audit, () if is_acceptable(audit) else missing_ranges(landed))
+    except LandingError as refusal:
+        if keep_refused and refusal.missing:
+            refusal.attempt = path.removeprefix(f"{lake.bronze}/")
+        else:
+            storage.delete(spark, path)
         raise
 
     replaced = (
@@ -87,6 +109,6 @@ def land_documents(
     )
     entry = {**run.__dict__, "landed_at_utc": datetime.now(timezone.utc).isoformat()}
     single_row(spark, entry, LANDING_TYPES).write.mode("append").parquet(lake.landings)
-    for old in replaced:
-        storage.delete(spark, f"{lake.bronze}/{old['folder']}")
+    for old in {row["folder"] for row in replaced} | ({completes} if completes else set()):
+        storage.delete(spark, f"{lake.bronze}/{old}")
     return run

@@ -46,7 +46,7 @@ CHAPTERS = ProductSpec(
     group="state",
     expected_groups=STATES,
     required_groups=("CA",),
-    # The director's name is personal data. It stays in the landed pages: no field or payload path
-    # reads it, so the parser skips it, and the contract refuses it.
+    # The director's name is personal data. It stays in the landed pages: no field reads it, the payload
+    # leaves it out wherever it occurs, and the contract refuses it.
     forbidden_columns=("MEVR_RD",),
 )

@@ -5,21 +5,28 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tidegate import storage
 from tidegate.errors import LandingError
 from tidegate.lake import Lake
 from tidegate.operators.flatten import flatten
-from tidegate.operators.landing import land_documents
+from tidegate.operators.landing import land_documents, write_documents
 from tidegate.operators.runs import append_run
 from tidegate.plans.publish import publish_gold
 from tidegate.plans.silver import transform
-from tidegate.sources.pages import page_audit, parse_documents, read_page_files, require_complete
+from tidegate.session import scratch_path
+from tidegate.sources.pages import (
+    page_audit,
+    page_statistics,
+    parse_documents,
+    read_numbered,
+    require_complete,
+)
 from tidegate.sources.runs import (
     LandedRun,
     find_run,
     find_run_folder,
-    read_landed_documents,
+    read_landed_in_scope,
     read_sidecar,
 )
 from tidegate.spec import ProductSpec
@@ -34,10 +41,18 @@ def _finish(
     folder: str,
     started_at: datetime,
     merge: bool,
+    rows_skipped: int = 0,
 ) -> dict[str, object]:
     flat = flatten(pages, spec)
     ledger = transform(
-        spark, flat, spec, lake, run.run_id, run.lineage(), rows_landed=run.rows_in
+        spark,
+        flat,
+        spec,
+        lake,
+        run.run_id,
+        run.lineage(),
+        rows_landed=run.rows_in,
+        rows_skipped=rows_skipped,
     )
     published = publish_gold(spark, spec, lake, run.run_id, merge)
     summary = {
@@ -61,9 +76,10 @@ def _finish_landed(
     started_at: datetime,
     merge: bool,
 ) -> dict[str, object]:
-    pages = parse_documents(read_landed_documents(spark, lake, run), spec)
+    documents, skipped = read_landed_in_scope(spark, lake, run, spec)
     folder = f"{lake.bronze}/{run.folder}"
-    return _finish(spark, pages, spec, lake, run, folder, started_at, merge)
+    pages = parse_documents(documents, spec)
+    return _finish(spark, pages, spec, lake, run, folder, started_at, merge, skipped)
 
 
 def run_landed(
@@ -101,10 +117,9 @@ def run_pages(
     return _finish_landed(spark, spec, lake, run, started_at, merge)
 
 
-def audit_page_files(pages: DataFrame, run: LandedRun) -> None:
+def audit_page_files(statistics: DataFrame, run: LandedRun) -> None:
     """Refuse page files that are incomplete, malformed, or not what the run's sidecar describes."""
-    counted = F.when(F.col("records").isNotNull(), F.size("records").cast("long"))
-    audit = page_audit(pages.select("page_no", counted.alias("n_records"), "more", "error")).first()
+    audit = page_audit(statistics).first()
     require_complete(audit)
     for name, described in (("pages", run.pages), ("rows_in", run.rows_in)):
         if audit[name] != described:
@@ -121,11 +136,19 @@ def run_folder(
 ) -> dict[str, object]:
     """Transform and publish a run kept as page files with a JSON sidecar.
 
-    The files are audited before anything is written, so a bad folder leaves silver as it is.
+    The files are read once, into the shared scratch folder with the counts the audit needs, and
+    audited before anything is written, so a bad folder leaves silver as it is.
     """
     started_at = datetime.now(timezone.utc)
     folder = find_run_folder(spark, bronze_root, run_id)
     run = read_sidecar(spark, folder)
-    pages = read_page_files(spark, folder, spec)
-    audit_page_files(pages, run)
-    return _finish(spark, pages, spec, lake, run, folder, started_at, merge)
+    counted = page_statistics(read_numbered(spark, folder), spec)
+    staged = scratch_path(spark, "page-files")
+    try:
+        write_documents(counted, staged)
+        pages = spark.read.schema(counted.schema).parquet(staged)
+        audit_page_files(pages, run)
+        parsed = parse_documents(pages.select("page_no", "document"), spec)
+        return _finish(spark, parsed, spec, lake, run, folder, started_at, merge)
+    finally:
+        storage.delete(spark, staged)

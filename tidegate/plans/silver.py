@@ -62,6 +62,7 @@ def transform(
     lineage: Mapping[str, Column] | None = None,
     stage: bool = True,
     rows_landed: int | None = None,
+    rows_skipped: int = 0,
 ) -> dict[str, int]:
     """Write silver and quarantine of one run and return its ledger.
 
@@ -74,7 +75,8 @@ def transform(
     Staged and published rows are counted from the committed files, where a count needs file
     footers or a single column, and not with accumulators, which a repeated stage or a lost event
     would distort. ``rows_landed`` is the number of records the audit counted; reading any other
-    number fails before silver or quarantine is touched.
+    number fails before silver or quarantine is touched. ``rows_skipped`` are records on pages that
+    were left out because none of them is in scope.
     """
     silver_table = SnapshotTable(spark, lake.silver)
 
@@ -89,6 +91,8 @@ def transform(
         routes: DataFrame, rejected: DataFrame, surviving: DataFrame
     ) -> dict[str, int]:
         before = routes.agg(*route_counts()).first().asDict()
+        for name in ("rows_in", "rows_out_of_scope"):
+            before[name] += rows_skipped
         require_all_read(before["rows_in"], rows_landed)
         writes = (lambda: keep_rejected(rejected), lambda: write_silver(surviving))
         # silver goes live once both are written

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.operators.flatten import flatten
+from tidegate.operators.flatten import flatten, flatten_table
 from tidegate.operators.ledger import run_ledger
 from tidegate.operators.route import quarantine_split, routed
 from tidegate.plans.chapters import CHAPTERS
@@ -13,12 +13,14 @@ from tidegate.plans.silver import silver_of
 from tidegate.registry.base import register, table
 from tidegate.session import scratch_path
 from tidegate.sources.pages import (
+    missing_pages,
     page_audit,
     page_statistics,
     parse_documents,
     read_documents,
     read_page_files,
 )
+from tidegate.spec import Field, OrderBy, ProductSpec
 
 PAGE_SIZE = 1000
 RUN_ID = "run_20260102T030405Z"
@@ -104,8 +106,23 @@ def page_documents(records: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def flat_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = page_documents(point_records(spark, sf_dir))
+def detailed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records with attributes the spec does not name: a number, and a person's name under
+    a forbidden name in other case, nested in an array and next to something that may be shown."""
+    person = F.struct(F.lit("a person's name").alias("mevr_rd"), F.lit("by mail").alias("reached"))
+    records = point_records(spark, sf_dir)
+    rank = F.expr("feature.attributes.OBJECTID % 7")
+    return records.withColumn(
+        "feature",
+        F.col("feature")
+        .withField("attributes.Rank", rank)
+        .withField("attributes.Contacts", F.array(F.struct(F.array(person).alias("people")))),
+    )
+
+
+def flat_points(spark: SparkSession, sf_dir: str, detailed: bool = False) -> DataFrame:
+    records = detailed_records(spark, sf_dir) if detailed else point_records(spark, sf_dir)
+    documents = page_documents(records)
     return flatten(parse_documents(documents, CHAPTERS), CHAPTERS)
 
 
@@ -185,6 +202,34 @@ def page_audit_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_audit(page_statistics(documents.withColumn("document", text), CHAPTERS), ["run_id"])
 
 
+@register(
+    """WITH pages AS (
+  SELECT o_orderpriority AS run_id, o_orderkey // 20 + 1 AS page_no,
+    o_orderkey // 20 < (SELECT max(o_orderkey) // 20 FROM orders) OR o_orderpriority = '3-MEDIUM' AS more
+  FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderkey // 20 % 50 = 7)
+    AND NOT (o_orderpriority = '2-HIGH' AND o_orderkey // 20 < 3) GROUP BY ALL),
+stepped AS (
+  SELECT run_id, page_no, more, coalesce(lag(page_no) OVER w, 0) AS before, lead(page_no) OVER w AS next_page
+  FROM pages WINDOW w AS (PARTITION BY run_id ORDER BY page_no))
+SELECT run_id, before + 1 AS first_missing, page_no - 1 AS last_missing FROM stepped WHERE page_no > before + 1
+UNION ALL SELECT run_id, page_no + 1, NULL FROM stepped WHERE next_page IS NULL AND more"""
+)
+def page_gaps_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page ranges each of five runs lacks: one has holes all over, one begins late, and the last
+    page of one says there is more. Small pages make some runs lack others by themselves."""
+    records = point_records(spark, sf_dir).withColumn(
+        "page_no", F.expr("feature.attributes.OBJECTID div 20") + 1
+    )
+    run, number = F.col("run_id"), F.col("page_no") - 1
+    lost = ((run == "5-LOW") & (number % 50 == 7)) | ((run == "2-HIGH") & (number < 3))
+    documents = page_documents(records, "run_id").filter(~lost)
+    endless = F.replace(
+        "document", F.lit('"exceededTransferLimit":false'), F.lit('"exceededTransferLimit":true')
+    )
+    text = F.when(run == "3-MEDIUM", endless).otherwise(F.col("document"))
+    return missing_pages(page_statistics(documents.withColumn("document", text), CHAPTERS), ["run_id"])
+
+
 SILVER_OF_PAGES_SQL = f"""WITH {POINTS_SQL}
 SELECT chapter_id, chapter_name, city, state, longitude, latitude, source_object_id,
        CASE WHEN no_city THEN 'WARNING' ELSE 'OK' END AS dq_status,
@@ -249,12 +294,17 @@ SELECT chapter_id, state, longitude, latitude, source_object_id,
        CAST(source_object_id AS VARCHAR) AS payload_id,
        CASE WHEN latitude IS NULL THEN 'not measured'
             ELSE CAST(CAST(latitude AS BIGINT) AS VARCHAR) END AS payload_y,
+       source_object_id % 7 AS payload_rank, 'BIGINT' AS payload_rank_type, 'by mail' AS payload_reached,
        false AS has_personal_data
 FROM routed WHERE route = 'QUARANTINED'"""
 )
 def pages_to_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = quarantine_split(flat_points(spark, sf_dir), CHAPTERS)
-    return rejected.select(
+    """The evidence is the whole record, attributes the spec does not name included, with numbers as
+    numbers, but for what it must not hold."""
+    rejected = quarantine_split(flat_points(spark, sf_dir, detailed=True), CHAPTERS)
+    seen = rejected.withColumn("_seen", F.parse_json("raw_payload"))
+    rank = F.variant_get("_seen", "$.attributes.Rank", "variant")
+    return seen.select(
         "chapter_id",
         "state",
         "longitude",
@@ -263,10 +313,62 @@ def pages_to_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quarantine_reason",
         F.get_json_object("raw_payload", "$.attributes.OBJECTID").alias("payload_id"),
         F.get_json_object("raw_payload", "$.geometry.y").alias("payload_y"),
+        F.variant_get(rank, "$", "long").alias("payload_rank"),
+        F.schema_of_variant(rank).alias("payload_rank_type"),
+        F.variant_get("_seen", "$.attributes.Contacts[0].people[0].reached", "string").alias(
+            "payload_reached"
+        ),
         F.col("raw_payload").contains("person").alias("has_personal_data"),
     )
 
 
+NESTED = ProductSpec(
+    fields=(Field("order_key", "o_orderkey", "bigint"),),
+    key=("order_key",),
+    order=(OrderBy("order_key"),),
+    contract=(("order_key", "bigint"),),
+    redact=("held.by_region.north.clerk",),
+    forbidden_columns=("SECRET",),
+    lineage={},
+)
+
+
+@register(
+    f"""WITH {POINTS_SQL}
+SELECT 'pages' AS source, count(*) AS n_payloads, 0::BIGINT AS n_leaking, count(*) AS n_with_siblings
+FROM routed WHERE route = 'QUARANTINED'
+UNION ALL SELECT 'table', count(*), 0, count(*) FROM orders"""
+)
+def hidden_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forbidden names in structs, arrays, maps and variants, in other case than declared: no payload
+    of pages or of a table shows their values, and all show what is next to them."""
+    secret, open_ = F.lit("a person's name").alias("Secret"), F.lit("by mail").alias("reached")
+    clerk = F.struct(F.lit("a person's name").alias("clerk"), F.col("o_orderstatus").alias("status"))
+    nested = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.lit("a person's name").alias("secret"),
+        F.struct(
+            F.array(F.struct(secret, open_)).alias("people"),
+            F.create_map(F.lit("SECRET"), F.lit("a person's name"), F.lit("kept"), F.lit("x")).alias("pairs"),
+            F.create_map(F.lit("north"), clerk).alias("by_region"),
+            F.parse_json(F.lit('{"list": [{"sEcret": "a person\'s name", "kept": 1}]}')).alias("loose"),
+        ).alias("held"),
+    )
+    of_table = flatten_table(nested, NESTED, {}).select(F.lit("table").alias("source"), "raw_payload")
+    rejected = quarantine_split(flat_points(spark, sf_dir, detailed=True), CHAPTERS)
+    payloads = of_table.unionByName(rejected.select(F.lit("pages").alias("source"), "raw_payload"))
+    text = F.col("raw_payload")
+    kept = text.contains('"reached":"by mail"') & (
+        (F.col("source") == "pages")
+        | (text.contains('"kept":1') & text.contains('"kept":"x"') & text.contains('"status":'))
+    )
+    return payloads.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_payloads"),
+        F.count_if(text.contains("person")).alias("n_leaking"),
+        F.count_if(kept).alias("n_with_siblings"),
+    )
+
+
 POINTS_LEDGER_SQL = f"""WITH {POINTS_SQL}
 SELECT (SELECT count(*) FROM routed) AS rows_in,
   (SELECT count(*) FROM routed WHERE route = 'OUT_OF_SCOPE') AS rows_out_of_scope,

@@ -4,10 +4,13 @@ it reads back."""
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.errors import LandingError
 from tidegate.lake import Lake
 from tidegate.operators.contract import contract_projection
 from tidegate.operators.landing import land_documents, write_documents
@@ -19,7 +22,7 @@ from tidegate.plans.chapters import CHAPTERS
 from tidegate.operators.flatten import flatten
 from tidegate.plans.pipeline import run_landed, run_pages
 from tidegate.plans.publish import derived_ledger, publish_gold, register_views
-from tidegate.plans.silver import transform
+from tidegate.plans.silver import silver_of, transform
 from tidegate.registry.base import register, table
 from tidegate.registry.on_pages import (
     POINTS_LEDGER_SQL,
@@ -40,7 +43,13 @@ from tidegate.registry.on_tables import (
 )
 from tidegate.session import scratch_path
 from tidegate.sources.pages import page_statistics, parse_documents
-from tidegate.sources.runs import find_run, landed_runs, read_landed_documents
+from tidegate.sources.runs import (
+    LandedRun,
+    find_run,
+    landed_runs,
+    read_landed_documents,
+    read_landed_in_scope,
+)
 from tidegate.streaming import land_stream
 
 LINES_BY_RUN = LINES.with_changes(lineage={"ingest_run_id": "string"})
@@ -65,6 +74,75 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_statistics(landed, CHAPTERS).select("page_no", "n_records")
 
 
+@register(
+    """SELECT o_orderkey // 1000 + 1 AS page_no, count(*) AS n_records,
+  (SELECT count(DISTINCT o_orderkey // 1000) FROM orders WHERE o_orderkey // 1000 % 3 <> 1) AS pages_kept
+FROM orders GROUP BY o_orderkey // 1000"""
+)
+def landing_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch without every third page is refused and kept; landing the pages the refusals name, as
+    often as there are more of them, completes it."""
+    lake = _lake(spark)
+    documents = page_documents(point_records(spark, sf_dir))
+    fetched = documents.filter((F.col("page_no") - 1) % 3 != 1)
+    attempt, pages_kept = None, None
+    while True:
+        try:
+            run = land_documents(
+                spark, fetched, lake, CHAPTERS, RUN_ID, STARTED_AT, keep_refused=True, completes=attempt
+            )
+            break
+        except LandingError as refusal:
+            attempt = refusal.attempt
+            if pages_kept is None:
+                pages_kept = spark.read.parquet(f"{lake.bronze}/{attempt}").count()
+            number = F.col("page_no")
+            wanted = [
+                number >= first if last is None else number.between(first, last)
+                for first, last in refusal.missing
+            ]
+            fetched = documents.filter(reduce(or_, wanted))
+    landed = page_statistics(read_landed_documents(spark, lake, run), CHAPTERS)
+    return landed.select("page_no", "n_records", F.lit(pages_kept).cast("long").alias("pages_kept"))
+
+
+PAGE_BY_STATE = "o_orderkey // 1000 * 3 + CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END"
+
+
+@register(
+    f"""WITH {POINTS_SQL}, pages AS (
+  SELECT {PAGE_BY_STATE} AS page_no, any_value(o_orderstatus) AS status FROM orders GROUP BY 1)
+SELECT s.*, (SELECT count(*) FROM pages) AS pages_landed,
+  (SELECT count(*) FROM pages WHERE status IN ('F', 'O')) AS pages_parsed,
+  (SELECT count(*) FROM routed WHERE route = 'OUT_OF_SCOPE') AS rows_skipped
+FROM (SELECT chapter_id, chapter_name, state, longitude, latitude, source_object_id FROM silver) s"""
+)
+def scope_skipped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of one state each: those out of scope are known from what landing noted of them and are
+    not parsed. Silver is that of all pages."""
+    lake = _lake(spark)
+    state = F.trim("feature.attributes.State")
+    place = F.when(state == "ca", 1).when(state == "OR", 2).otherwise(3)
+    records = point_records(spark, sf_dir).withColumn("page_no", (F.col("page_no") - 1) * 3 + place)
+    # landed as they are: pages of a state may be lacking, which the audit would refuse
+    counted = page_statistics(page_documents(records).select("page_no", "document"), CHAPTERS, scope=True)
+    write_documents(counted, f"{lake.bronze}/pages")
+    run = LandedRun(RUN_ID, "2026-01-02", STARTED_AT.isoformat(), None, None, None, 0, 0, "pages")
+    documents, rows_skipped = read_landed_in_scope(spark, lake, run, CHAPTERS)
+    silver = silver_of(flatten(parse_documents(documents, CHAPTERS), CHAPTERS), CHAPTERS, lineage())
+    return silver.select(
+        "chapter_id",
+        "chapter_name",
+        "state",
+        "longitude",
+        "latitude",
+        "source_object_id",
+        F.lit(read_landed_documents(spark, lake, run).count()).cast("long").alias("pages_landed"),
+        F.lit(documents.count()).cast("long").alias("pages_parsed"),
+        F.lit(rows_skipped).cast("long").alias("rows_skipped"),
+    )
+
+
 @register(
     """SELECT o_orderkey // 1000 + 1 AS page_no, count(*) AS n_records, 'stream_00000000' AS run_id
 FROM orders GROUP BY o_orderkey // 1000"""

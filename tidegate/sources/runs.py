@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from tidegate import storage
 from tidegate.errors import LandingError
 from tidegate.lake import Lake
+from tidegate.sources.pages import out_of_scope
+from tidegate.spec import ProductSpec
 
 # Fixed name and shape of the run description.
 DOCUMENT_SCHEMA = "page_no long, document string"
+SUMMARY_SCHEMA = f"{DOCUMENT_SCHEMA}, n_records long, scope_path string, scope_values array<string>"
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 RUN_FOLDER_DATE = re.compile(r"/ingest_date=(\d{4}-\d{2}-\d{2})/run_id=[^/]*$")
 SIDECAR_NAME = "_ingest_metadata.json"
@@ -98,6 +101,19 @@ def read_landed_documents(spark: SparkSession, lake: Lake, run: LandedRun) -> Da
     return spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{lake.bronze}/{run.folder}")
 
 
+def read_landed_in_scope(
+    spark: SparkSession, lake: Lake, run: LandedRun, spec: ProductSpec
+) -> tuple[DataFrame, int]:
+    """The documents of a run that can have records in scope, and the number of records on the others.
+
+    Pages are judged by what was noted of them at landing, so those that are left out are not
+    parsed. Counting their records reads the small columns only.
+    """
+    pages = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{lake.bronze}/{run.folder}")
+    skipped = pages.filter(out_of_scope(spec)).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("n"))
+    return pages.filter(~out_of_scope(spec)).select("page_no", "document"), skipped.first()["n"]
+
+
 def find_run_folder(spark: SparkSession, bronze_root: str, run_id: str) -> str:
     """Locate a folder ``ingest_date=*/run_id=<run_id>`` of page files; the newest date wins."""
     pattern = f"{bronze_root}/ingest_date=*/run_id={run_id}"

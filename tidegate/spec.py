@@ -6,7 +6,7 @@ before a session exists and shipped or compared like any value.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import or_
@@ -15,7 +15,9 @@ from typing import ClassVar, Protocol
 from pyspark.sql import Column, types as T
 from pyspark.sql import functions as F
 
+from tidegate.functions.evidence import Shown
 from tidegate.functions.rules import blank_or_literal, outside_range
+from tidegate.functions.text import normalised, typed
 
 # Columns the library adds itself.
 PAYLOAD = "raw_payload"
@@ -107,6 +109,9 @@ class ProductSpec:
     ``expected_groups`` may be empty but are always reported. ``null_key`` says what happens to
     records without a business key: ``"collapse"`` keeps the latest one of them, as for any other
     key value; ``"quarantine"`` treats a missing key as a failed hard rule.
+
+    The payload is the whole record. ``redact`` leaves out paths, ``forbidden_columns`` names at any
+    depth, both in any case; ``payload_paths``, when given, limit the payload to them and the fields.
     """
 
     fields: tuple[Field, ...]
@@ -149,12 +154,23 @@ class ProductSpec:
         paths = sorted([*(f.path for f in self.fields), *self.payload_paths])
         if any(longer.startswith(f"{path}.") for path in paths for longer in paths):
             raise ValueError("a field path cannot be the beginning of another")
-        named = {part for path in self.payload_paths for part in path.split(".")}
-        if leaked := named & set(self.forbidden_columns):
-            raise ValueError(f"forbidden columns in the payload: {sorted(leaked)}")
-        exposed = set(self.forbidden_columns) & set(self.contract_columns)
-        if exposed:
-            raise ValueError(f"forbidden columns in the contract: {sorted(exposed)}")
+        redacted = {path.lower() for path in self.redact}
+        shown = [path for path in self.payload_paths if path.lower() not in redacted]
+        read = [part for path in (*shown, *(f.path for f in self.fields)) for part in path.split(".")]
+        if leaked := self.forbidden_among(read):
+            raise ValueError(f"forbidden columns in the fields or the payload: {leaked}")
+        if exposed := self.forbidden_among(self.contract_columns):
+            raise ValueError(f"forbidden columns in the contract: {exposed}")
+
+    def forbidden_among(self, names: Iterable[str]) -> list[str]:
+        """The forbidden ones of some column names, compared without regard to case."""
+        forbidden = {name.lower() for name in self.forbidden_columns}
+        return sorted(name for name in names if name.lower() in forbidden)
+
+    def shown(self) -> Shown:
+        """What of a record the payload may hold."""
+        only = (*(f.path for f in self.fields), *self.payload_paths) if self.payload_paths else None
+        return Shown.of(self.forbidden_columns, self.redact, only)
 
     def with_changes(self, **changes) -> ProductSpec:
         return replace(self, **changes)
@@ -217,14 +233,25 @@ class ProductSpec:
         quoted = ("'" + value.replace("'", "''") + "'" for value in values)
         return f"{source} IN ({','.join(quoted)})"
 
+    @property
+    def scope_path(self) -> str | None:
+        """Where the scoped field sits in a record."""
+        return next((f.path for f in self.fields if f.name == self._scoped), None)
+
+    def text_in_scope(self, text: Column) -> Column:
+        """Whether the scoped field's text, as it is in a record, is in scope; never NULL."""
+        scoped = next(f for f in self.fields if f.name == self._scoped)
+        column = normalised(text, scoped.normalise) if scoped.type == "string" else typed(text, scoped.type)
+        return F.coalesce(column.isin(*self.scope[1]), F.lit(False))
+
     def record_schema(self) -> T.StructType:
-        """Schema of one page record with every leaf read as text.
+        """Schema of the fields of one page record, with every leaf read as text.
 
-        Text leaves keep a wrong value visible in the payload and never depend on what other
-        records of the run look like; typing happens afterwards with ``try_cast``.
+        Text leaves never depend on what other records of the run look like; typing happens
+        afterwards with ``try_cast``.
         """
         tree: dict = {}
-        for path in (*(f.path for f in self.fields), *self.payload_paths):
+        for path in (f.path for f in self.fields):
             node = tree
             *parents, leaf = path.split(".")
             for parent in parents:
@@ -232,16 +259,6 @@ class ProductSpec:
             node.setdefault(leaf, None)
         return _struct(tree)
 
-    def page_schema(self) -> T.StructType:
-        """Schema of one page document."""
-        return T.StructType(
-            [
-                T.StructField(self.records_field, T.ArrayType(self.record_schema())),
-                T.StructField(self.more_flag, T.StringType()),
-                T.StructField("error", T.StringType()),
-            ]
-        )
-
 
 def _struct(tree: dict) -> T.StructType:
     return T.StructType(
