@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,7 +13,13 @@ from samples import documents, page
 from tidegate.lake import Lake
 from tidegate.operators.flatten import flatten
 from tidegate.operators.ledger import run_ledger
-from tidegate.operators.merge import change_report, merge_upsert
+from tidegate.operators.merge import (
+    change_report,
+    change_totals,
+    changes_by_bucket,
+    compared_buckets,
+    merge_upsert,
+)
 from tidegate.operators.quarantine import read_quarantine
 from tidegate.operators.route import routed
 from tidegate.operators.snapshots import SnapshotTable
@@ -166,6 +173,13 @@ def test_merge_equals_the_model(spark, old, new, old_keyless, new_keyless):
     report = change_report(target, source, key).collect()
     assert sorted(map(repr, map(tuple, report))) == sorted(map(repr, expected))
 
+    known = compared_buckets(target, source, key, 5)
+    by_bucket = changes_by_bucket(target, source, key, 5, known)
+    totals = {r["action"]: r["n_rows"] for r in change_totals(by_bucket, known).collect()}
+    assert totals == Counter(action for *_, action in expected)
+    changed = lambda rows: sorted(repr(tuple(r)) for r in rows if r[2] != "UNCHANGED")
+    assert changed(by_bucket.collect()) == changed(report)
+
     kept = {k: v for k, v in old.items() if k not in new}
     expected = rows(kept, old_keyless) + rows(new, new_keyless)
     upserted = merge_upsert(target, source, key).collect()

@@ -30,6 +30,10 @@ class Lake:
     def quarantine(self) -> str:
         return self._layer("quarantine")
 
+    @property
+    def quarantine_log(self) -> str:
+        return self._layer("_quarantine")
+
     @property
     def landings(self) -> str:
         return self._layer("_landings")

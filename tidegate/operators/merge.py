@@ -13,6 +13,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.errors import ContractError
 
@@ -131,5 +132,112 @@ def _actions(
     return joined.select(*key, action.alias("action"))
 
 
+#: Rows in a bucket, about, and the least and greatest number of buckets.
+ROWS_PER_BUCKET = 10_000
+BUCKETS = (64, 1 << 20)
+
+
+def buckets_for(rows: int) -> int:
+    """A number of buckets that keeps a bucket small and the table of their digests bounded."""
+    return min(max(BUCKETS[0], -(-rows // ROWS_PER_BUCKET)), BUCKETS[1])
+
+
+def _hashable(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Columns for a hash that passes over NULLs and takes no maps: each with whether it is there."""
+    parts: list[Column] = []
+    for field in (df.schema[name] for name in names):
+        kind = field.dataType.simpleString()
+        unordered = any(part in kind for part in ("map<", "variant"))
+        nested = unordered or isinstance(field.dataType, (T.ArrayType, T.StructType))
+        value = F.to_json(F.struct(F.col(field.name)), {"ignoreNullFields": "false"}) if nested else F.col(field.name)
+        parts += [value, F.col(field.name).isNull()]
+    return parts
+
+
+def with_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """Add ``bucket``, a function of the key; equal keys, also ones with NULLs, share a bucket."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*_hashable(df, key)), F.lit(buckets)))
+
+
+def bucket_digests(
+    df: DataFrame, key: Sequence[str], compare: Sequence[str], buckets: int
+) -> DataFrame:
+    """bucket, n_rows, has_null_key and two sums of row hashes, for each bucket that has rows.
+
+    Sums do not depend on order, combine map-side and count every copy of a row, so the exchange
+    carries one row per task and bucket whatever the size of the table.
+    """
+    row = _hashable(df, [*key, *compare])
+    hashes = {
+        f"digest_{seed}": F.sum(F.xxhash64(F.lit(seed), *row).cast("decimal(38,0)")) for seed in (1, 2)
+    }
+    return with_bucket(df, key, buckets).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_or(_has_null(key)).alias("has_null_key"),
+        *(total.alias(name) for name, total in hashes.items()),
+    )
+
+
+def compared_buckets(
+    old: DataFrame,
+    new: DataFrame,
+    key: Sequence[str],
+    buckets: int,
+    compare: Sequence[str] | None = None,
+) -> DataFrame:
+    """bucket, is_changed and n_rows of ``new``, for the buckets either side has.
+
+    Each side is read once, for an aggregate that shuffles one row per task and bucket. Rows of equal
+    buckets are equal but for the chance that two sums of 64-bit hashes agree at once. A NULL in the
+    key makes a bucket count as changed, since such rows pair with none. There are at most
+    ``buckets`` rows, and they are needed more than once: write them.
+    """
+    compared = list(compare) if compare is not None else [c for c in old.columns if c not in key]
+    ends = [
+        bucket_digests(side, key, compared, buckets).select(
+            "bucket", F.struct("n_rows", "has_null_key", "digest_1", "digest_2").alias(name)
+        )
+        for side, name in ((old, "old"), (new, "new"))
+    ]
+    differ = ~F.col("old").eqNullSafe(F.col("new")) | F.col("old.has_null_key")
+    return ends[0].join(ends[1], "bucket", "full_outer").select(
+        "bucket", differ.alias("is_changed"), F.col("new.n_rows").alias("n_rows")
+    )
+
+
+def rows_of_changed(
+    df: DataFrame, key: Sequence[str], buckets: int, known: DataFrame
+) -> DataFrame:
+    """The rows whose bucket is changed in ``known``, of either side of the comparison."""
+    wanted = known.filter("is_changed").select("bucket")
+    return with_bucket(df, key, buckets).join(wanted, "bucket", "left_semi").drop("bucket")
+
+
+def changes_by_bucket(
+    old: DataFrame,
+    new: DataFrame,
+    key: Sequence[str],
+    buckets: int,
+    known: DataFrame,
+    compare: Sequence[str] | None = None,
+) -> DataFrame:
+    """The change report of the buckets that differ; keys of the others are unchanged and left out.
+
+    Both sides must be unique by the key, the NULL key included. Only rows of changed buckets are
+    joined on the key; ``known`` is what ``compared_buckets`` found.
+    """
+    compared = list(compare) if compare is not None else [c for c in old.columns if c not in key]
+    sides = [
+        rows_of_changed(side.select(*key, *compared), key, buckets, known) for side in (old, new)
+    ]
+    return _actions(*sides, key, compared)
+
+
+def change_totals(report: DataFrame, known: DataFrame) -> DataFrame:
+    """action and n_rows of a report by buckets, with the unchanged rows of the buckets it left out."""
+    same = known.filter(~F.col("is_changed")).select(F.lit("UNCHANGED").alias("action"), "n_rows")
+    return change_counts(report).unionByName(same).groupBy("action").agg(F.sum("n_rows").alias("n_rows"))
+
+
 def change_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))

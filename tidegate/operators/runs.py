@@ -16,17 +16,22 @@ from tidegate.lake import Lake
 from tidegate.session import single_row
 
 
-def summary_frame(spark: SparkSession, summary: Mapping[str, object]) -> DataFrame:
-    """A run summary as a one-row frame; counts are long, everything else is text.
+#: Numbers of a summary that are not counts of rows.
+NUMBERS = frozenset({"pages", "version"})
+
+
+def summary_type(name: str) -> str:
+    """Counts, and what is known to be a number, are long; everything else is text.
 
-    A column's name alone decides the type of ``rows_`` counts, so a missing count cannot turn the
-    column into text for the whole table.
+    A column's name alone decides: a value would decide differently in different runs, and a column
+    of two types cannot be read back.
     """
-    types = {
-        name: "long" if name.startswith("rows_") or isinstance(value, int) else "string"
-        for name, value in summary.items()
-    }
-    return single_row(spark, summary, types)
+    return "long" if name.startswith("rows_") or name in NUMBERS else "string"
+
+
+def summary_frame(spark: SparkSession, summary: Mapping[str, object]) -> DataFrame:
+    """A run summary as a one-row frame."""
+    return single_row(spark, summary, {name: summary_type(name) for name in summary})
 
 
 def append_run(spark: SparkSession, lake: Lake, summary: Mapping[str, object]) -> None:
@@ -38,9 +43,14 @@ def read_runs(spark: SparkSession, lake: Lake) -> DataFrame:
     if not storage.exists(spark, lake.runs):
         return spark.createDataFrame([], "run_id string, finished_at_utc string")
     rows = spark.read.option("mergeSchema", True).parquet(lake.runs)
-    if "finished_at_utc" not in rows.columns:
-        return rows
-    newest = F.max_by(F.struct(*rows.columns), F.coalesce("finished_at_utc", F.lit("")))
+    finished = F.col("finished_at_utc") if "finished_at_utc" in rows.columns else F.lit(None)
+    # of summaries without a time the file written last counts
+    order = F.struct(
+        F.coalesce(finished.cast("string"), F.lit("")),
+        F.col("_metadata.file_modification_time"),
+        F.col("_metadata.file_name"),
+    )
+    newest = F.max_by(F.struct(*rows.columns), order)
     return rows.groupBy("run_id").agg(newest.alias("_newest")).select("_newest.*")
 
 

@@ -3,8 +3,9 @@
 A snapshot is written to a folder of its own and becomes visible by one more row in the table's
 publication log, written last. Readers resolve the newest row, so they never see a half-written
 snapshot, a failed publish leaves the previous one live, and older runs stay readable. Nothing is
-renamed or overwritten in place: each attempt writes a folder of its own. A table has one writer at a
-time; of two writers that start from the same version, the second to finish is refused.
+renamed or overwritten in place: each attempt writes a folder of its own. Of writers that start from
+the same version one alone can finish: it claims the next version by creating a file that must not
+exist, before it adds the log row, and the others are refused.
 """
 
 from __future__ import annotations
@@ -68,16 +69,38 @@ class SnapshotTable:
         return {"version": version, "run_id": run_id, "folder": folder, "schema": df.schema.json()}
 
     def commit(self, written: Mapping[str, object]) -> int:
-        """Make written data the current version. Refused if another writer took the version."""
+        """Make written data the current version. Refused if another writer took the version.
+
+        The claim is made by one atomic call of the file system, so two writers cannot both pass. A
+        writer that dies between claim and log row leaves the version claimed: nobody can publish
+        until ``release`` is called.
+        """
         version = int(written["version"])
         newest = self._newest()
-        if (newest["version"] if newest else 0) >= version:
-            raise TidegateError(f"version {version} of {self.root} was published by another writer")
+        if (newest["version"] if newest else 0) >= version or not storage.claim(self.spark, self._claim(version)):
+            raise TidegateError(f"version {version} of {self.root} was claimed by another writer")
         entry = {**written, "published_at_utc": datetime.now(timezone.utc).isoformat()}
         single_row(self.spark, entry, LOG_TYPES).write.mode("append").parquet(self._log)
         self._written[version] = entry
         return version
 
+    def _claim(self, version: int) -> str:
+        return f"{self.root}/claims/version={version:06d}"
+
+    def release(self) -> bool:
+        """Give up the claim of a writer that died before its version was logged; True if there was
+        one. Not to be called while a writer may still be at work."""
+        newest = self._newest()
+        claim = self._claim((newest["version"] if newest else 0) + 1)
+        found = storage.exists(self.spark, claim)
+        if found:
+            storage.delete(self.spark, claim)
+        return found
+
+    def is_kept(self, folder: str) -> bool:
+        """Whether the data of a publication was not expired."""
+        return storage.exists(self.spark, f"{self.root}/{folder}")
+
     def _read(self, entry: Row | Mapping[str, object] | None, what: str) -> DataFrame:
         if entry is None:
             raise TidegateError(f"no {what} in {self.root}")
@@ -96,6 +119,13 @@ class SnapshotTable:
         entry = self._written.get(version) or self._newest(F.col("version") == version)
         return self._read(entry, f"version {version}")
 
+    def as_of_time(self, moment: datetime) -> DataFrame:
+        """The snapshot that was current at a moment; a moment without a zone is refused."""
+        if moment.tzinfo is None:
+            raise ValueError("as of a time needs a time with a zone")
+        at = F.lit(moment.astimezone(timezone.utc).isoformat()).cast("timestamp")
+        return self._read(self._newest(F.col("published_at_utc") <= at), f"snapshot at {moment.isoformat()}")
+
     def expire(self, keep: int) -> int:
         """Delete the folders of all but the newest ``keep`` versions; returns how many."""
         if keep < 1:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate import storage
 from tidegate.errors import GateError
 from tidegate.lake import Lake
 from tidegate.operators.contract import (
@@ -14,12 +15,20 @@ from tidegate.operators.contract import (
     require_contract,
     require_contract_schema,
 )
-from tidegate.operators.gates import gate_metrics, require_publishable
+from tidegate.operators.gates import gate_columns, require_publishable
 from tidegate.operators.ledger import status_counts
-from tidegate.operators.merge import change_counts, change_report, merge_snapshot
+from tidegate.operators.merge import (
+    buckets_for,
+    change_totals,
+    changes_by_bucket,
+    compared_buckets,
+    require_unique_key,
+    rows_of_changed,
+)
 from tidegate.operators.quarantine import read_quarantine
 from tidegate.operators.runs import read_runs
 from tidegate.operators.snapshots import SnapshotTable
+from tidegate.session import scratch_path
 from tidegate.sources.runs import find_run
 from tidegate.spec import ProductSpec
 
@@ -40,14 +49,46 @@ def published_counts(gold: DataFrame, spec: ProductSpec) -> dict[str, int]:
     return gold.agg(F.count(F.lit(1)).alias("rows_gold"), *per_group).first().asDict()
 
 
-def require_single_run(silver: DataFrame, spec: ProductSpec, run_id: str) -> None:
+FOREIGN_ROWS = "rows_of_other_runs"
+
+
+def publish_metrics(silver: DataFrame, spec: ProductSpec, run_id: str) -> Row:
+    """What the gates need, and the number of rows of other runs, in one aggregate."""
+    foreign = F.lit(False)
+    if "ingest_run_id" in spec.lineage:
+        foreign = ~F.col("ingest_run_id").eqNullSafe(F.lit(run_id))
+    return silver.agg(*gate_columns(spec), F.count_if(foreign).alias(FOREIGN_ROWS)).first()
+
+
+def require_single_run(metrics: Row, run_id: str) -> None:
     """Raise unless every row of the snapshot belongs to the run that is to be published."""
-    if "ingest_run_id" not in spec.lineage:
-        return
-    foreign = ~F.col("ingest_run_id").eqNullSafe(F.lit(run_id))
-    rows = silver.agg(F.count_if(foreign).alias("n")).first()["n"]
-    if rows:
-        raise GateError(f"{rows} row(s) of the silver snapshot are not of run {run_id!r}")
+    if metrics[FOREIGN_ROWS]:
+        raise GateError(f"{metrics[FOREIGN_ROWS]} row(s) of the silver snapshot are not of run {run_id!r}")
+
+
+def merge_changes(
+    spark: SparkSession, live: DataFrame, gold: DataFrame, spec: ProductSpec, rows: int
+) -> dict[str, int]:
+    """Rows inserted, updated, deleted and unchanged against the live snapshot.
+
+    Both are read once for the digests of their buckets; only the buckets that differ are joined, and
+    only they are checked for repeated keys, as what equals the live snapshot has none.
+    """
+    business = [c for c in spec.contract_columns if c not in (*spec.key, *spec.lineage)]
+    buckets = buckets_for(rows)
+    path = scratch_path(spark, "buckets")
+    try:
+        found = compared_buckets(live, gold, spec.key, buckets, business)
+        found.write.parquet(path)
+        known = spark.read.schema(found.schema).parquet(path)
+        require_unique_key(rows_of_changed(gold.select(*spec.key), spec.key, buckets, known), spec.key)
+        report = changes_by_bucket(live, gold, spec.key, buckets, known, business)
+        counted = change_totals(report, known).collect()  # a row for each kind of change
+    finally:
+        storage.delete(spark, path)
+    changes = {name: 0 for name in CHANGE_METRICS.values()}
+    changes.update({CHANGE_METRICS[row["action"]]: row["n_rows"] for row in counted})
+    return changes
 
 
 def publish_gold(
@@ -68,8 +109,9 @@ def publish_gold(
     construction. The counts of rows are read back from what was published.
     """
     silver = SnapshotTable(spark, lake.silver).as_of_run(run_id)
-    require_single_run(silver, spec, run_id)
-    require_publishable(gate_metrics(silver, spec).first(), spec)
+    metrics = publish_metrics(silver, spec, run_id)
+    require_single_run(metrics, run_id)
+    require_publishable(metrics, spec)
 
     published_at = datetime.now(timezone.utc).isoformat()
     gold = contract_projection(silver, spec)
@@ -79,15 +121,7 @@ def publish_gold(
     table = SnapshotTable(spark, lake.gold)
     changes: dict[str, int] = {}
     if merge and table.exists():
-        live = table.read()
-        # `verify` has just checked the key
-        gold = merge_snapshot(live, gold, spec.key, assume_unique=verify)
-        business = [c for c in spec.contract_columns if c not in (*spec.key, *spec.lineage)]
-        # Every published snapshot was deduplicated by the key, and the new one was just checked.
-        report = change_report(live, gold, spec.key, business, assume_unique=True)
-        counted = change_counts(report).collect()
-        changes = {name: 0 for name in CHANGE_METRICS.values()}
-        changes.update({CHANGE_METRICS[row["action"]]: row["n_rows"] for row in counted})
+        changes = merge_changes(spark, table.read(), gold, spec, metrics["rows_silver"])
     version = table.publish(gold, run_id)
     return {
         "gold_published_at_utc": published_at,

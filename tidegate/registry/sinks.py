@@ -3,7 +3,7 @@ it reads back."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tidegate.errors import LandingError
 from tidegate.lake import Lake
 from tidegate.operators.contract import contract_projection
+from tidegate.operators.history import extend_history, first_history, publications, row_history
 from tidegate.operators.landing import land_documents, write_documents
+from tidegate.operators.merge import change_totals, changes_by_bucket, compared_buckets
 from tidegate.operators.quarantine import read_quarantine, write_quarantine
 from tidegate.operators.route import quarantine_split
 from tidegate.operators.runs import append_run, read_runs, summary_frame, union_ledgers
@@ -327,3 +329,102 @@ def merge_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = ("rows_inserted", "rows_updated", "rows_deleted", "rows_unchanged", "rows_gold")
     counts = {name: published[name] for name in wanted}
     return summary_frame(spark, counts)
+
+
+@register(
+    f"""WITH {SILVER_SQL}, second AS (
+  SELECT order_key, line, flag, port, CASE WHEN order_key BETWEEN 1000 AND 1020 THEN price + 1 ELSE price END
+    AS price, shipped_at, dq_status FROM silver WHERE order_key NOT BETWEEN 2000 AND 2010
+  UNION ALL SELECT -order_key, line, flag, port, price, shipped_at, dq_status FROM silver
+  WHERE order_key BETWEEN 3000 AND 3010),
+report AS (
+  SELECT CASE WHEN o.order_key IS NULL THEN 'INSERT' WHEN n.order_key IS NULL THEN 'DELETE'
+    WHEN o.price = n.price THEN 'UNCHANGED' ELSE 'UPDATE' END AS action
+  FROM silver o FULL JOIN second n ON o.order_key = n.order_key AND o.line = n.line)
+SELECT action, count(*) AS n_rows FROM report GROUP BY action"""
+)
+def merge_by_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots that differ in a few keys: rows of equal buckets are counted, not joined."""
+    columns = ("order_key", "line", "flag", "port", "price", "shipped_at", "dq_status")
+    old = silver_lines(spark, sf_dir).select(*columns)
+    key = F.col("order_key")
+    price = F.when(key.between(1000, 1020), F.col("price") + 1).otherwise(F.col("price"))
+    new = old.filter(~key.between(2000, 2010)).withColumn("price", price)
+    new = new.unionByName(old.filter(key.between(3000, 3010)).withColumn("order_key", -key))
+    tables = [SnapshotTable(spark, _lake(spark).gold) for _ in range(2)]
+    for snapshots, rows in zip(tables, (old, new)):
+        snapshots.publish(rows, "run")
+    old, new = (snapshots.read() for snapshots in tables)
+    buckets = 4096
+    path = scratch_path(spark, "buckets")
+    compared_buckets(old, new, LINES.key, buckets).write.parquet(path)
+    known = spark.read.parquet(path)
+    return change_totals(changes_by_bucket(old, new, LINES.key, buckets, known), known)
+
+
+HISTORY_SQL = f"""WITH {SILVER_SQL}, seen AS (
+  SELECT 1 AS step, order_key, line, price, dq_status FROM silver WHERE order_key % 5 <> 1
+  UNION ALL SELECT 2, order_key, line, CASE WHEN order_key % 7 = 2 THEN price + 1 ELSE price END, dq_status
+  FROM silver WHERE order_key % 5 <> 2
+  UNION ALL SELECT 3, order_key, line, price, dq_status FROM silver WHERE order_key % 11 <> 3),
+stepped AS (
+  SELECT *, CASE WHEN lag(step) OVER w = step - 1 AND lag(price) OVER w IS NOT DISTINCT FROM price
+    AND lag(dq_status) OVER w IS NOT DISTINCT FROM dq_status THEN 0 ELSE 1 END AS starts
+  FROM seen WINDOW w AS (PARTITION BY order_key, line ORDER BY step)),
+islands AS (
+  SELECT *, sum(starts) OVER (PARTITION BY order_key, line ORDER BY step) AS island FROM stepped),
+intervals AS (
+  SELECT order_key, line, any_value(price) AS price, any_value(dq_status) AS dq_status,
+    min(step) AS first, max(step) AS last FROM islands GROUP BY order_key, line, island)"""
+
+
+def three_publications(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    """Three publications of a product: keys are missing from each, and prices differ in the second."""
+    rows = silver_lines(spark, sf_dir).select("order_key", "line", "price", "dq_status")
+    key = F.col("order_key")
+    table = SnapshotTable(spark, _lake(spark).gold)
+    table.publish(rows.filter(key % 5 != 1), "run_1")
+    dearer = F.when(key % 7 == 2, F.col("price") + 1).otherwise(F.col("price"))
+    table.publish(rows.filter(key % 5 != 2).withColumn("price", dearer), "run_2")
+    table.publish(rows.filter(key % 11 != 3), "run_3")
+    return table
+
+
+@register(
+    f"""{HISTORY_SQL}
+SELECT order_key, line, price, dq_status, 'run_' || first AS from_run,
+  CASE WHEN last < 3 THEN 'run_' || (last + 1) END AS to_run FROM intervals"""
+)
+def row_history_of_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Since which publication each row has its values, and from which on it has not."""
+    return row_history(publications(three_publications(spark, sf_dir)), LINES.key)
+
+
+@register(
+    f"""{HISTORY_SQL}
+SELECT order_key, line, price, dq_status, 'run_' || first AS from_run,
+  CASE WHEN last < 3 THEN 'run_' || (last + 1) END AS to_run FROM intervals"""
+)
+def row_history_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history, kept as a table and extended by one publication at a time."""
+    kept = None
+    for run_id, rows in publications(three_publications(spark, sf_dir)):
+        if kept is None:
+            kept = first_history(rows, run_id, LINES.key)
+        else:
+            kept = extend_history(kept, rows, run_id, LINES.key)
+        path = scratch_path(spark, "history")
+        kept.write.parquet(path)
+        kept = spark.read.schema(kept.schema).parquet(path)
+    return kept
+
+
+@register(f"WITH {SILVER_SQL} SELECT order_key, line, price FROM silver WHERE flag = 'A'")
+def snapshot_as_of_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two publications, read as of a moment between them."""
+    table = SnapshotTable(spark, _lake(spark).gold)
+    gold = contract_projection(silver_lines(spark, sf_dir), LINES).select("order_key", "line", "price", "flag")
+    table.publish(gold.filter(F.col("flag") == "A"), "run_1")
+    between = datetime.now(timezone.utc)
+    table.publish(gold, "run_2")
+    return table.as_of_time(between).drop("flag")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -33,3 +34,22 @@ def read_text(spark: SparkSession, path: str) -> str:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. Of several callers one alone gets True."""
+    target, fs = _resolve(spark, path)
+    fs.mkdirs(target.getParent())
+    files = spark._jvm.java.nio.file
+    try:
+        if fs.getScheme() == "file":
+            # Hadoop's local file system looks first and creates then; Java's own call does both at once
+            local = spark._jvm.java.io.File(target.toUri().getPath()).toPath()
+            files.Files.createFile(local, spark.sparkContext._gateway.new_array(files.attribute.FileAttribute, 0))
+        else:
+            fs.create(target, False).close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
