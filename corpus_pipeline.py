@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import langid, mixing, packing, shingles, substrings
+from tidegate.llm import langid, mixing, packing, simhash, substrings
 from tidegate.llm.common import saved, table
 from tidegate.llm.queries import tokenizer_path
 
-#: Near-duplicates of the pipeline share four fifths of their five-word shingles.
-SHINGLE_WORDS = 5
+#: Near-duplicates have SimHash fingerprints of four-word shingles at most four bits apart.
+SHINGLE_WORDS, RADIUS = 4, 4
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of rows that share that doc_id one stays; rows without a doc_id stay.
     """
-    found = shingles.near_duplicates(spark, docs, SHINGLE_WORDS)
+    found = simhash.near_duplicates(spark, docs, SHINGLE_WORDS, RADIUS)
     kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = saved(spark, kept, "kept")
     named = docs.filter(F.col("doc_id").isNotNull())
