@@ -11,6 +11,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from tidegate.llm import html, langid, neardup, topk, toxicity
 from tidegate.llm.queries import ORACLES, QUERIES
 
@@ -144,9 +146,27 @@ def test_near_vectors(spark, vectors):
     assert neardup.near_duplicates(spark, frame.limit(0)).count() == 0
 
 
+def test_planted_near_vectors_are_found(spark):
+    """Pairs at just over the threshold among many others, in labels of text, one of them large."""
+    rng = np.random.default_rng(4)
+    x, y = neardup.pairs_at(neardup.COSINE + 1e-4, 32, 600, seed=9)
+    others = rng.standard_normal((3000, 32))
+    rows = [(i, v.tolist(), "1.2" if i % 3 else "1.9") for i, v in enumerate(x)]
+    rows += [(1000 + i, (3 * v).tolist(), "1.2" if i % 3 else "1.9") for i, v in enumerate(y)]
+    rows += [(2000 + i, v.tolist(), "1.2") for i, v in enumerate(others)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(4)
+    found = {r["vec_id"]: r for r in neardup.near_duplicates(spark, frame).collect()}
+    linked = [found[1000 + i]["component_id"] == i for i in range(len(x))]
+    assert np.mean(linked) >= 0.94
+    assert all(found[i]["component_id"] == i for i in found if i < 1000 or i >= 2000)
+    # labels that differ in their fraction only are different labels
+    other = frame.withColumn("label", F.when(F.col("vec_id") < 1000, 1.25).otherwise(1.5))
+    assert all(r["n_links"] == 0 for r in neardup.near_duplicates(spark, other).collect())
+
+
 @pytest.mark.parametrize("n", [10_000, 100_000, 1_000_000])
 def test_recall_does_not_fall_with_the_table(n):
-    code = neardup.Code(64, neardup.code_words(n))
+    code = neardup.code_for(64, n)
     x, y = neardup.pairs_at(neardup.COSINE, 64, 400, seed=77)
     a, b = (set(zip(*(part.tolist() for part in code.decode(z)))) for z in (x, y))
     assert len({row for row, _ in a & b}) >= 0.94 * len(x)

@@ -6,10 +6,11 @@ A vector passes the filters whose direction has an inner product of at least a t
 List decoding finds them all without trying each: a word of one half leaves a least value for the
 other half, whose words are sorted. Vectors of a label that pass a common filter are compared.
 
-The number of filters follows from the number of vectors, so that few vectors share one. The
-threshold is so low that a vector passes about PASSED filters, and lower where that is needed for a
-share RECALL of pairs at just COSINE to pass a common one, as random pairs show for the very code:
-with more words a vector passes more of them, and recall does not fall with the table. Equal vectors are
+The threshold is so low that a share RECALL of pairs at just COSINE pass a common filter, as random
+pairs show for the very code, once, on the driver. The number of filters follows from the vectors of
+the largest label, so that about SHARED of them pass each: with more words a vector passes more
+filters, and recall does not fall with the table. A comparison is a matrix product and a copy of a
+vector goes through the shuffle, so filters are as wide as a task can well compare. Equal vectors are
 one class that links within itself. Classes that share a filter are compared in blocks; a pair
 counts in the first filter both pass, so no pair leaves a task: a task returns link counts and, for
 each class, one link to the least one it is connected to there.
@@ -22,7 +23,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,22 +33,23 @@ from tidegate.llm.simhash import join_labels
 from tidegate.llm.vectors import matrix, usable
 
 COSINE = 0.93
-#: Filters a vector passes on average at least. More find more pairs and cost more comparisons.
-PASSED = 72
 #: Share of pairs at just COSINE that are to pass a common filter, PAIRS the random pairs it is
 #: measured on, and BEST the words of each half that are tried for a pair.
 RECALL = 0.97
 PAIRS = 1000
 BEST = 160
+#: Vectors that are to pass a filter, about, and the most words of a half.
+SHARED = 2048
+MOST_WORDS = 4096
 #: Classes of a block within a filter.
-BLOCK = 1024
+BLOCK = 4096
 SEED = 8
 
 
 class Code:
-    """The product code for vectors of ``width`` components."""
+    """The product code for vectors of ``width`` components; ``least`` is its threshold if known."""
 
-    def __init__(self, width: int, words: int):
+    def __init__(self, width: int, words: int, least: float | None = None):
         rng = np.random.default_rng([SEED, width, words])
         self.turn = np.linalg.qr(rng.standard_normal((width, width)))[0]
         self.half = width // 2
@@ -58,7 +60,7 @@ class Code:
             return w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-300)
 
         self.left, self.right = unit(max(1, self.half)), unit(width - self.half)
-        self.least = self.threshold(width)
+        self.least = self.threshold(width) if least is None else least
 
     def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Inner products with the words of the left and of the right half."""
@@ -67,24 +69,25 @@ class Code:
         return a, y[:, self.half :] @ self.right.T
 
     def threshold(self, width: int) -> float:
-        """So low that random vectors pass PASSED filters on average and a share RECALL of random
-        pairs a common one. Only the BEST words a half are tried, so it is never too high."""
+        """So low that a share RECALL of random pairs pass a common filter. Only the BEST words a half
+        are tried, so it is never too high."""
         x, y = pairs_at(COSINE, width, PAIRS, SEED)
         n = min(BEST, self.words)
 
         def best(v: np.ndarray) -> np.ndarray:
             return np.argpartition(-v, n - 1, axis=1)[:, :n]
 
-        common, highest = [], []
+        common = []
         for at in range(0, PAIRS, 100):
             (a, b), (c, d) = (self.halves(v[at : at + 100]) for v in (x, y))
             for i, (p, q) in enumerate(zip(best(np.minimum(a, c)), best(np.minimum(b, d)))):
                 common.append(np.minimum(a[i, p][:, None] + b[i, q], c[i, p][:, None] + d[i, q]).max())
-            if at < 200:
-                left, right = (np.take_along_axis(v, best(v), 1) for v in (a, b))
-                highest.append((left[:, :, None] + right[:, None, :]).ravel())
-        passed = np.sort(np.concatenate(highest))[-PASSED * min(PAIRS, 200)]
-        return float(min(passed, np.quantile(common, 1 - RECALL, method="lower"))) - 1e-9
+        return float(np.quantile(common, 1 - RECALL, method="lower")) - 1e-9
+
+    def passed(self) -> float:
+        """Filters that random vectors pass on average."""
+        x, _ = pairs_at(COSINE, self.turn.shape[0], PAIRS, SEED + 1)
+        return len(self.decode(x)[0]) / PAIRS
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of all directions that reach the threshold, rows ascending."""
@@ -104,17 +107,19 @@ class Code:
 
 
 @cache
-def code_of(width: int, words: int) -> Code:
+def code_of(width: int, words: int, least: float) -> Code:
     """One code for all tasks of a worker."""
-    return Code(width, words)
+    return Code(width, words, least)
 
 
-def code_words(n: int) -> int:
-    """Words of a half: so many that n vectors share their filters with few others."""
-    words = 16
-    while words < 4096 and n * PASSED / words**2 > 48:
+def code_for(width: int, n: int) -> Code:
+    """The code of the fewest words with which n vectors of a label share a filter with few others."""
+    words = 2
+    while True:
+        code = Code(width, words)
+        if words >= MOST_WORDS or n * code.passed() <= SHARED * words**2:
+            return code
         words *= 2
-    return words
 
 
 def normed(x: np.ndarray) -> np.ndarray:
@@ -189,11 +194,19 @@ def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _comparable(field: T.StructField) -> Column:
+    """A label as text that is equal where the labels are."""
+    label = F.col(field.name)
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        label = label + F.lit(0.0)  # both zeros are one
+    return label.cast("string")
+
+
 def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row.
 
     Rows link at a cosine of at least COSINE, in double precision, if their labels are equal and
-    not NULL and their vectors equally long. Vectors that are NULL, empty, zero, or hold NULL or
+    not NULL, compared as they are whatever their type, and their vectors equally long. Vectors that are NULL, empty, zero, or hold NULL or
     non-finite components link with nothing, nor do rows without an id; a row without links is its
     own component. Equal rows link with each other. An empty table gives no rows.
     """
@@ -202,12 +215,12 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
     kind = "<f4" if single else "<f8"
     wide = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("label").cast("long").alias("label"),
+        _comparable(vectors.schema["label"]).alias("label"),
         F.when(usable("embedding"), F.col("embedding").cast("array<double>")).alias("x"),
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("vec_id", pa.int64()), ("label", pa.int64()), ("x", pa.binary())])
+        schema = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("x", pa.binary())])
         for batch in batches:
             packed = [
                 (np.asarray(x, kind) + np.zeros(1, kind)).tobytes() if x is not None and any(x) else None
@@ -217,7 +230,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
                 [batch.column("vec_id"), batch.column("label"), pa.array(packed, pa.binary())], schema=schema
             )
 
-    packed = wide.mapInArrow(pack, "vec_id long, label long, x binary")
+    packed = wide.mapInArrow(pack, "vec_id long, label string, x binary")
     # equal vectors, whatever the sign of their zeros, are equal bytes after packing x + 0.0
     linkable = F.col("x").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     all_rows = saved(
@@ -237,7 +250,13 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    words = code_words(int(classes.count()))
+    by_label = classes.groupBy("label", F.octet_length("x").alias("bytes")).count()
+    # a row for each length of vectors
+    largest = by_label.groupBy("bytes").agg(F.max("count").alias("n")).collect()
+    codes = {}
+    for row in largest:
+        code = code_for(row["bytes"] // np.dtype(kind).itemsize, row["n"])
+        codes[row["bytes"]] = (code.turn.shape[0], code.words, code.least)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("node", pa.int64()), ("filters", pa.binary())])
@@ -249,7 +268,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame) -> DataFrame:
                 for width in {len(value) for value in values}:
                     own = [i for i, value in enumerate(values) if len(value) == width]
                     x = matrix([values[i] for i in own], kind).astype(float)
-                    row, found = code_of(x.shape[1], words).decode(normed(x))
+                    row, found = code_of(*codes[width]).decode(normed(x))
                     for i, filters in zip(own, np.split(found, np.searchsorted(row, np.arange(1, len(own))))):
                         lists[i] = np.sort(filters).astype("<i4").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(lists, pa.binary())], schema=schema)
