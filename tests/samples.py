@@ -1,4 +1,4 @@
-"""Synthetic pages in the shape of the source, with one record per outcome."""
+"""Synthetic pages in the shape of the source, with several records of each outcome."""
 
 from __future__ import annotations
 
@@ -27,31 +27,48 @@ def page(*records, more=None, **other):
     return document
 
 
-# 8 records on two pages: 1 out of scope, 2 quarantined, 1 duplicate, 1 warned, 3 clean.
+# What becomes of each record, next to the rule that decides it. Counts are taken from this list.
+CASES = [
+    ("OK", record(40, "W-40", "WA")),
+    ("OK", record(41, " O-41 ", " or ")),  # padded and in lower case
+    ("DUPLICATE", record(42, "C-50", "CA", name="First")),  # a later record of the key follows
+    ("OUT_OF_SCOPE", record(43, "T-43", "TX", x="far out")),  # scope comes before the coordinates
+    ("QUARANTINED", record(44, "W-44", "WA", y=90.5)),
+    ("DUPLICATE", record(49, "C-50", "CA", name="Second")),
+    ("QUARANTINED", record(45, "C-45", "CA", x="west")),
+    ("WARNING", record(46, "O-46", "OR", city="  ")),
+    ("QUARANTINED", record(47, "O-47", "OR", y=None)),  # half a point
+    ("OUT_OF_SCOPE", record(48, "N-48", None)),
+    ("WARNING", record(51, "W-51", "WA", city="Unknown")),
+    ("OK", record(52, "C-50", "CA", name="Third")),
+    ("DUPLICATE", record(39, "W-40", "WA", name="Earlier")),  # read last, but not the latest
+]
+FIRST_PAGE = 7
 PAGES = [
-    page(
-        record(1, "CA-1", "CA"),
-        record(2, "CA-2", "CA", name="Old name"),
-        record(3, " CA-3 ", " ca "),
-        record(11, "OR-11", "OR", x=-190.5),
-        record(12, "NV-12", "NV", x=None, y=None),
-        more=True,
-    ),
-    page(
-        record(13, "WA-13", "WA", x=None, y=None),
-        record(14, "CA-14", "CA", city=" unknown "),
-        record(15, "CA-2", "CA", name="New name"),
-    ),
+    page(*(r for _, r in CASES[:FIRST_PAGE]), more=True),
+    page(*(r for _, r in CASES[FIRST_PAGE:])),
 ]
+
+
+def ids(*outcomes):
+    """The keys of the records with one of these outcomes."""
+    return {r["attributes"]["ChapterID"].strip() for outcome, r in CASES if outcome in outcomes}
+
+
+def number_of(*outcomes):
+    return sum(outcome in outcomes for outcome, _ in CASES)
+
+
 LEDGER = {
-    "rows_in": 8,
-    "rows_out_of_scope": 1,
-    "rows_quarantined": 2,
-    "rows_deduped": 1,
-    "rows_warned": 1,
-    "rows_ok": 3,
-    "rows_silver": 4,
+    "rows_in": len(CASES),
+    "rows_out_of_scope": number_of("OUT_OF_SCOPE"),
+    "rows_quarantined": number_of("QUARANTINED"),
+    "rows_deduped": number_of("DUPLICATE"),
+    "rows_warned": number_of("WARNING"),
+    "rows_ok": number_of("OK"),
+    "rows_silver": number_of("OK", "WARNING"),
 }
+PUBLISHED = ids("OK", "WARNING")
 
 
 def documents(spark, pages=PAGES, first=1):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, time, timedelta, timezone
 from threading import Barrier
 
 import pytest
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from samples import flat_rows
 
 from tidegate import storage
-from tidegate.errors import TidegateError
+from tidegate.errors import GateError, TidegateError
+from tidegate.operators.freshness import publication_calendar, require_fresh
 from tidegate.operators.history import extend_history, first_history, publications, row_history
 from tidegate.operators.merge import buckets_for, compared_buckets, rows_of_changed
 from tidegate.operators.quarantine import read_quarantine, write_quarantine
@@ -182,3 +183,41 @@ def test_a_summary_column_has_one_type_whatever_its_values(spark, lake):
     append_run(spark, lake, {"run_id": "b", "attempt": 3, "rows_in": 9})
     found = {r["run_id"]: (r["attempt"], r["rows_in"], r["pages"]) for r in read_runs(spark, lake).collect()}
     assert found == {"a": (None, None, None), "b": ("3", 9, None), "c": ("true", 4, 5)}
+
+
+def test_a_key_lookup_skips_what_cannot_hold_the_key(spark, lake):
+    """Rows a scan hands on after it has looked at the statistics of sorted and of unsorted files."""
+    rows = spark.range(0, 40_000, 1, 8).select((F.col("id") * 7919 % 40_000).alias("id"), F.rand(1).alias("v"))
+    read = {}
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        for name, sort_by in (("sorted", ["id"]), ("unsorted", [])):
+            table = SnapshotTable(spark, f"{lake.gold}/{name}")
+            table.publish(rows, "run", sort_by=sort_by)
+            wanted = table.read().filter(F.col("id") == 12_345)
+            assert wanted.count() == 1 and len(wanted.collect()) == 1
+            scan = wanted._jdf.queryExecution().executedPlan().collectLeaves().head()
+            read[name] = scan.metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert read["unsorted"] == 40_000 and read["sorted"] <= 20_000
+
+
+def test_calendar_and_deadline(spark):
+    log = spark.createDataFrame(
+        [("2026-01-01 05:59:59",), ("2026-01-01 09:00:00",), ("2026-01-03 06:00:00",), ("2026-01-04 06:00:01",)],
+        "at string",
+    ).select(F.col("at").cast("timestamp").alias("published_at_utc"))
+    calendar = publication_calendar(log, date(2025, 12, 31), date(2026, 1, 5), time(6))
+    assert {r["day"].day: r["freshness"] for r in calendar.collect()} == {
+        31: "MISSING", 1: "ON_TIME", 2: "MISSING", 3: "ON_TIME", 4: "LATE", 5: "MISSING",
+    }
+    at = lambda *parts: datetime(*parts, tzinfo=timezone.utc)
+    require_fresh(log, at(2026, 1, 2, 5), time(6))  # yesterday's is still the newest due
+    require_fresh(log, at(2026, 1, 4, 7), time(6))  # late, but there
+    for moment in (at(2026, 1, 2, 6), at(2026, 1, 5, 7), at(2025, 12, 30)):
+        with pytest.raises(GateError, match="is due"):
+            require_fresh(log, moment, time(6))
+    with pytest.raises(ValueError):
+        require_fresh(log, datetime(2026, 1, 2), time(6))

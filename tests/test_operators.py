@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from samples import LEDGER, PAGES, documents, flat_rows, page, record
+from samples import LEDGER, PAGES, PUBLISHED, documents, flat_rows, ids, number_of, page, record
 
 from tidegate.errors import ContractError, GateError
 from tidegate.operators.contract import (
@@ -45,7 +45,7 @@ def plan_of(df) -> str:
 def test_scope_comes_before_quarantine(spark):
     flat = flat_rows(spark)
     assert {r["state"] for r in scope_filter(flat, CHAPTERS).collect()} == {"CA", "OR", "WA"}
-    assert {r["chapter_id"] for r in quarantine_split(flat, CHAPTERS).collect()} == {"OR-11", "WA-13"}
+    assert {r["chapter_id"] for r in quarantine_split(flat, CHAPTERS).collect()} == ids("QUARANTINED")
 
 
 def test_null_state_is_out_of_scope(spark):
@@ -127,21 +127,23 @@ def test_ledger_of_the_sample(spark):
     row = ledger.first().asDict()
     assert row == LEDGER
     require_balanced(row)
-    require_all_read(8, 8)
+    rows_in = LEDGER["rows_in"]
+    require_all_read(rows_in, rows_in)
     assert {r["disposition"]: r["n_rows"] for r in disposition_counts(ledger).collect()} == {
-        "OUT_OF_SCOPE": 1, "QUARANTINED": 2, "DUPLICATE": 1, "WARNING": 1, "OK": 3,
+        outcome: number_of(outcome) for outcome in ("OUT_OF_SCOPE", "QUARANTINED", "DUPLICATE", "WARNING", "OK")
     }
     with pytest.raises(ContractError):
-        require_all_read(8, 9)
+        require_all_read(rows_in, rows_in + 1)
     with pytest.raises(ContractError):
-        require_balanced(row | {"rows_ok": 4})
+        require_balanced(row | {"rows_ok": row["rows_ok"] + 1})
 
 
 def test_gates(spark):
     silver = silver_of(flat_rows(spark), CHAPTERS)
     row = gate_metrics(silver, CHAPTERS).first()
-    assert (row["rows_silver"], row["rows_bad_status"]) == (4, 0)
-    assert (row["rows_group_ca"], row["rows_group_or"]) == (4, 0)
+    assert (row["rows_silver"], row["rows_bad_status"]) == (len(PUBLISHED), 0)
+    states = [key[0] for key in PUBLISHED]
+    assert [row[f"rows_group_{g}"] for g in ("ca", "or", "wa")] == [states.count(s) for s in "COW"]
     require_publishable(row, CHAPTERS)
 
 
@@ -202,7 +204,7 @@ def test_contract_assertions_count_every_violation(spark):
         clean = one.withColumn("dq_warnings", F.array().cast("array<string>"))
         bad = bad.union(clean.withColumn(name, value))
     row = contract_assertions(bad, CHAPTERS).first().asDict()
-    assert row["rows_checked"] == 9
+    assert row["rows_checked"] == len(PUBLISHED) + 5
     assert row["hard_rule_broken"] == 1
     assert row["status_outside_domain"] == 1
     assert row["out_of_scope"] == 1
@@ -218,7 +220,7 @@ def test_freshness_and_overlap(spark):
     row = freshness(silver).first()
     assert (row["n_runs"], row["rows_without_run"]) == (1, 0)
     assert overlap(quarantine_split(flat, CHAPTERS), silver, ["chapter_id"]).first()[0] == 0
-    assert overlap(silver, silver, ["chapter_id"]).first()[0] == 4
+    assert overlap(silver, silver, ["chapter_id"]).first()[0] == len(PUBLISHED)
 
 
 OLD = [("a", 1), ("b", 2), ("c", None), ("d", 4), (None, 5)]

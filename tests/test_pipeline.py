@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
-from samples import LEDGER, PAGES, documents, flat_rows, page, record
+from samples import CASES, LEDGER, PAGES, PUBLISHED, documents, flat_rows, ids, page, record
 
 from tidegate import storage
 from tidegate.errors import ContractError, GateError, LandingError, TidegateError
@@ -40,29 +40,33 @@ def gold_rows(spark, lake):
 def test_summary_counts(finished):
     _, summary = finished
     assert {name: summary[name] for name in LEDGER} == LEDGER
-    assert (summary["rows_gold"], summary["rows_gold_ca"]) == (4, 4)
-    assert (summary["rows_gold_or"], summary["rows_gold_wa"]) == (0, 0)
+    by_state = {state: len([key for key in PUBLISHED if key[0] == state[0]]) for state in ("CA", "OR", "WA")}
+    assert summary["rows_gold"] == len(PUBLISHED) == sum(by_state.values())
+    assert {state: summary[f"rows_gold_{state.lower()}"] for state in by_state} == by_state
 
 
-def test_gold_content(spark, finished):
+def test_gold_has_the_contract_and_the_latest_of_each_key(spark, finished):
     lake, _ = finished
-    gold = SnapshotTable(spark, lake.gold).read()
-    assert gold.dtypes == list(CHAPTERS.contract)
+    assert SnapshotTable(spark, lake.gold).read().dtypes == list(CHAPTERS.contract)
     rows = gold_rows(spark, lake)
-    assert set(rows) == {"CA-1", "CA-2", "CA-3", "CA-14"}
-    assert rows["CA-2"]["chapter_name"] == "New name"
-    assert rows["CA-14"]["dq_status"] == "WARNING"
-    assert rows["CA-14"]["dq_warnings"] == ["MISSING_OR_UNKNOWN_CITY"]
-    assert all(r["dq_status"] == "OK" and r["dq_warnings"] == [] for k, r in rows.items() if k != "CA-14")
+    assert set(rows) == PUBLISHED
+    assert {rows[key]["chapter_name"] for key in ("C-50", "W-40")} == {"Third", "College 40"}
+    for key, row in rows.items():
+        warned = key in ids("WARNING")
+        assert row["dq_status"] == ("WARNING" if warned else "OK")
+        assert row["dq_warnings"] == ["MISSING_OR_UNKNOWN_CITY"] * warned
 
 
-def test_quarantine_is_apart_and_carries_evidence(spark, finished):
+def test_every_rejected_record_is_kept_whole(spark, finished):
     lake, _ = finished
     rows = {r["chapter_id"]: r for r in read_quarantine(spark, lake, CHAPTERS).collect()}
-    assert set(rows) == {"OR-11", "WA-13"} and not set(rows) & set(gold_rows(spark, lake))
-    for row in rows.values():
-        assert row["quarantine_reason"] == "INVALID_COORDINATES"
-        assert row["ingest_run_id"] == "run_1" and row["raw_payload"]
+    assert set(rows) == ids("QUARANTINED")
+    assert {(r["quarantine_reason"], r["ingest_run_id"]) for r in rows.values()} == {("INVALID_COORDINATES", "run_1")}
+    for outcome, rejected in CASES:
+        if outcome == "QUARANTINED":
+            shown = {k: v for k, v in rejected["attributes"].items() if k != "MEVR_RD"}
+            payload = json.loads(rows[rejected["attributes"]["ChapterID"]]["raw_payload"])
+            assert payload == {"attributes": shown, "geometry": rejected["geometry"]}
 
 
 def test_bronze_is_verbatim(spark, finished):
@@ -83,26 +87,24 @@ def test_landed_row_groups_hold_few_documents(spark, lake):
 def test_run_table_and_views(spark, finished):
     lake, _ = finished
     register_views(spark, CHAPTERS, lake, "t_")
-    assert spark.sql("select * from t_gold order by chapter_id limit 100").first()["chapter_id"] == "CA-1"
+    assert spark.sql("select * from t_gold order by chapter_id limit 100").first()["chapter_id"] == min(PUBLISHED)
     assert spark.sql("select run_id from t_runs order by finished_at_utc desc").first()[0] == "run_1"
-    assert spark.sql("select count(*) from t_quarantine where ingest_run_id = 'run_1'").first()[0] == 2
+    assert spark.sql("select count(*) from t_quarantine where ingest_run_id = 'run_1'").first()[0] == LEDGER["rows_quarantined"]
     assert newest_first(read_runs(spark, lake)).first()["source"] == "sample"
 
 
 def test_derived_ledger(spark, finished):
     lake, _ = finished
     derived = derived_ledger(spark, CHAPTERS, lake, "run_1")
-    assert derived == {
-        "rows_in": 8, "rows_quarantined": 2, "rows_warned": 1, "rows_ok": 3, "rows_silver": 4,
-    }
+    assert derived == {name: LEDGER[name] for name in derived} and len(derived) == 5
 
 
 def test_repeating_a_run_converges(spark, lake):
     first = run_pages(spark, CHAPTERS, lake, documents(spark), "run_1")
     again = run_landed(spark, CHAPTERS, lake, "run_1")
     assert {k: first[k] for k in LEDGER} == {k: again[k] for k in LEDGER}
-    assert read_quarantine(spark, lake, CHAPTERS).count() == 2
-    assert len(gold_rows(spark, lake)) == 4
+    assert read_quarantine(spark, lake, CHAPTERS).count() == LEDGER["rows_quarantined"]
+    assert len(gold_rows(spark, lake)) == len(PUBLISHED)
     assert landed_runs(spark, lake).count() == 1
 
 
@@ -154,8 +156,8 @@ def test_a_retried_task_is_counted_once(spark, lake, stage, tmp_path):
     flaky = flat.mapInPandas(fail_first_attempt, flat.schema)
     assert transform(spark, flaky, CHAPTERS, lake, "run_1", stage=stage) == LEDGER
     assert marker.exists()
-    assert SnapshotTable(spark, lake.silver).read().count() == 4
-    assert read_quarantine(spark, lake, CHAPTERS).count() == 2
+    assert SnapshotTable(spark, lake.silver).read().count() == len(PUBLISHED)
+    assert read_quarantine(spark, lake, CHAPTERS).count() == LEDGER["rows_quarantined"]
 
 
 def test_verified_publish_refuses_a_broken_silver(spark, lake):
@@ -169,7 +171,7 @@ def test_verified_publish_refuses_a_broken_silver(spark, lake):
         publish_gold(spark, CHAPTERS, lake, "run_2", verify=True)
     with pytest.raises(ContractError, match="more than once"):
         publish_gold(spark, CHAPTERS, lake, "run_2", merge=True)
-    assert len(gold_rows(spark, lake)) == 4
+    assert len(gold_rows(spark, lake)) == len(PUBLISHED)
 
 
 def test_a_clean_repeat_empties_the_runs_quarantine(spark, lake):
@@ -178,12 +180,12 @@ def test_a_clean_repeat_empties_the_runs_quarantine(spark, lake):
     clean = flat_rows(spark, [page(record(1, "CA-1", "CA"))], run_id="r2")
     write_quarantine(quarantine_split(clean, CHAPTERS), lake, "r2")
     rows = quarantined_by_run(read_quarantine(spark, lake, CHAPTERS)).collect()
-    assert [(r["ingest_run_id"], r["n_rows"]) for r in rows] == [("r1", 2)]
+    assert [(r["ingest_run_id"], r["n_rows"]) for r in rows] == [("r1", LEDGER["rows_quarantined"])]
 
 
 def test_quarantine_read_prunes_to_the_run(spark, lake):
     write_quarantine(quarantine_split(flat_rows(spark, run_id="r1"), CHAPTERS), lake, "r1")
-    assert read_quarantine(spark, lake, CHAPTERS, "r1").count() == 2
+    assert read_quarantine(spark, lake, CHAPTERS, "r1").count() == LEDGER["rows_quarantined"]
     assert read_quarantine(spark, lake, CHAPTERS, "r9").count() == 0
     mine = read_quarantine(spark, lake, CHAPTERS).filter(F.col("ingest_run_id") == "r1")
     plan = mine._jdf.queryExecution().executedPlan().toString()
@@ -192,12 +194,14 @@ def test_quarantine_read_prunes_to_the_run(spark, lake):
 
 def test_vanished_chapter_leaves_gold_and_merge_counts_changes(spark, lake):
     run_pages(spark, CHAPTERS, lake, documents(spark), "run_1")
-    pages = [page(record(1, "CA-1", "CA"), record(15, "CA-2", "CA", name="Newer"), record(20, "OR-20", "OR"))]
+    pages = [page(record(40, "W-40", "WA"), record(60, "C-50", "CA", name="Newer"), record(61, "O-61", "OR"))]
     summary = run_pages(spark, CHAPTERS, lake, documents(spark, pages), "run_2", merge=True)
-    assert set(gold_rows(spark, lake)) == {"CA-1", "CA-2", "OR-20"}
-    assert [summary[f"rows_{a}"] for a in ("inserted", "updated", "deleted", "unchanged")] == [1, 1, 2, 1]
+    assert set(gold_rows(spark, lake)) == {"W-40", "C-50", "O-61"}
+    assert [summary[f"rows_{a}"] for a in ("inserted", "updated", "deleted", "unchanged")] == [
+        1, 1, len(PUBLISHED) - 2, 1,
+    ]
     runs = read_runs(spark, lake)
-    assert {r["run_id"]: r["rows_deleted"] for r in runs.collect()} == {"run_1": None, "run_2": 2}
+    assert {r["run_id"]: r["rows_deleted"] for r in runs.collect()} == {"run_1": None, "run_2": len(PUBLISHED) - 2}
 
 
 def test_snapshots_stay_readable(spark, lake):
@@ -231,7 +235,7 @@ def test_refused_publish_keeps_gold_and_records_no_run(spark, lake):
     only_or = [page(record(1, "OR-1", "OR"))]
     with pytest.raises(GateError, match="CA"):
         run_pages(spark, CHAPTERS, lake, documents(spark, only_or), "run_2")
-    assert len(gold_rows(spark, lake)) == 4
+    assert len(gold_rows(spark, lake)) == len(PUBLISHED)
     assert [r["run_id"] for r in read_runs(spark, lake).collect()] == ["run_1"]
 
 
@@ -241,7 +245,7 @@ def test_refused_landing_keeps_the_earlier_one(spark, lake):
         with pytest.raises(LandingError):
             land_documents(spark, documents(spark, bad), lake, CHAPTERS, "run_1")
     run = find_run(spark, lake, "run_1")
-    assert run.rows_in == 8 and read_landed_documents(spark, lake, run).count() == 2
+    assert run.rows_in == len(CASES) and read_landed_documents(spark, lake, run).count() == 2
     with pytest.raises(LandingError):
         find_run(spark, lake, "run_9")
 
@@ -255,7 +259,7 @@ def test_landing_again_replaces_and_the_newest_date_wins(spark, lake):
     assert len(storage.glob(spark, f"{lake.bronze}/ingest_date=*/run_id=*/attempt=*")) == 1
     land_documents(spark, documents(spark), lake, CHAPTERS, "run_1", day[1])
     run = find_run(spark, lake, "run_1")
-    assert (run.ingest_date, run.rows_in) == ("2026-01-02", 8)
+    assert (run.ingest_date, run.rows_in) == ("2026-01-02", len(CASES))
     assert run.ingested_at_utc.startswith("2026-01-02T05:00:00")
     assert len(storage.glob(spark, f"{lake.bronze}/ingest_date=*/run_id=*/attempt=*")) == 2
 
@@ -266,15 +270,15 @@ def test_run_kept_as_page_files(spark, lake, tmp_path):
     for number, body in enumerate(PAGES, 1):
         (folder / f"page_{number:04d}.json").write_text(json.dumps(body))
     described = dict(run_id="r1", ingest_date="2026-01-01", ingested_at_utc="2026-01-01T05:00:00+00:00",
-                     source="live", pages=2, rows_in=8)
+                     source="live", pages=2, rows_in=len(CASES))
     (folder / "_ingest_metadata.json").write_text(json.dumps(described))
     summary = run_folder(spark, CHAPTERS, lake, str(tmp_path / "bronze"), "r1")
     assert {name: summary[name] for name in LEDGER} == LEDGER
-    row = gold_rows(spark, lake)["CA-1"]
+    row = gold_rows(spark, lake)["W-40"]
     assert row["ingest_run_id"] == "r1"
     at = SnapshotTable(spark, lake.gold).read().select(F.date_format("ingested_at_utc", "yyyy-MM-dd HH:mm"))
     assert at.first()[0] == "2026-01-01 05:00"
-    described["rows_in"] = 9
+    described["rows_in"] += 1
     (folder / "_ingest_metadata.json").write_text(json.dumps(described))
     with pytest.raises(LandingError):
         run_folder(spark, CHAPTERS, lake, str(tmp_path / "bronze"), "r1")
@@ -314,9 +318,9 @@ def test_stream_lands_each_file_once(spark, lake, tmp_path):
     trigger()
     trigger()
     runs = landed_runs(spark, lake).collect()
-    assert [(r["run_id"], r["rows_in"]) for r in runs] == [("stream_00000000", 8)]
+    assert [(r["run_id"], r["rows_in"]) for r in runs] == [("stream_00000000", len(CASES))]
     summary = run_landed(spark, CHAPTERS, lake, "stream_00000000")
-    assert summary["rows_gold"] == 4
+    assert summary["rows_gold"] == len(PUBLISHED)
 
 
 def test_silver_matches_the_lazy_plan(spark, finished):
@@ -339,8 +343,8 @@ def test_local_scratch_is_shared_where_named(spark):
 
 
 def test_a_short_read_is_noticed_before_anything_is_published(spark, lake):
-    with pytest.raises(ContractError, match="9 were landed"):
-        transform(spark, flat_rows(spark), CHAPTERS, lake, "run_1", rows_landed=9)
+    with pytest.raises(ContractError, match=f"{len(CASES) + 1} were landed"):
+        transform(spark, flat_rows(spark), CHAPTERS, lake, "run_1", rows_landed=len(CASES) + 1)
     assert not SnapshotTable(spark, lake.silver).exists()
     assert not storage.exists(spark, lake.quarantine)
 

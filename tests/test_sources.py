@@ -4,7 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from samples import PAGES, documents, flat_rows, page, record
+from samples import CASES, PAGES, documents, flat_rows, page, record
 
 from tidegate.errors import LandingError
 from tidegate.operators.flatten import explode_records, flatten_table
@@ -50,12 +50,12 @@ def test_single_fixture_document_is_page_one(spark, tmp_path):
 
 def test_flatten_types_and_normalises(spark):
     rows = {r["source_object_id"]: r for r in flat_rows(spark).collect()}
-    assert len(rows) == 8
-    assert rows[3]["chapter_id"] == "CA-3" and rows[3]["state"] == "CA"
-    assert (rows[1]["longitude"], rows[1]["latitude"]) == (-120.5, 38.25)
-    assert rows[13]["longitude"] is None
-    assert rows[14]["city"] == "unknown"
-    assert rows[1]["ingest_run_id"] == "run_test"
+    assert len(rows) == len(CASES)
+    assert (rows[41]["chapter_id"], rows[41]["state"]) == ("O-41", "OR")
+    assert (rows[40]["longitude"], rows[40]["latitude"]) == (-120.5, 38.25)
+    assert rows[45]["longitude"] is None and rows[44]["latitude"] == 90.5
+    assert (rows[46]["city"], rows[51]["city"]) == ("", "Unknown")
+    assert rows[40]["ingest_run_id"] == "run_test"
 
 
 def test_flat_columns(spark):
@@ -139,7 +139,7 @@ def audit(spark, pages, first=1):
 
 def test_audit_of_a_complete_run(spark):
     row = audit(spark, PAGES)
-    assert (row["pages"], row["rows_in"], row["is_complete"]) == (2, 8, True)
+    assert (row["pages"], row["rows_in"], row["is_complete"]) == (2, len(CASES), True)
     require_complete(row)
     require_complete(audit(spark, [PAGES[0], page(more=True)]))  # an empty page ends the paging
 
@@ -192,11 +192,11 @@ def test_find_run_folder_takes_the_newest_date(spark, tmp_path):
 def test_sidecar(spark, tmp_path):
     described = dict(
         run_id="r1", ingest_date="2026-01-01", ingested_at_utc="2026-01-01T05:00:00+00:00",
-        source="live", source_detail="x", where_clause="y", pages=2, rows_in=8,
+        source="live", source_detail="x", where_clause="y", pages=2, rows_in=len(CASES),
     )
     write_run(tmp_path / "run", PAGES, **described)
     run = read_sidecar(spark, str(tmp_path / "run"))
-    assert (run.run_id, run.rows_in, run.ingested_at_utc) == ("r1", 8, "2026-01-01T05:00:00+00:00")
+    assert (run.run_id, run.rows_in, run.ingested_at_utc) == ("r1", len(CASES), "2026-01-01T05:00:00+00:00")
     with pytest.raises(LandingError):
         read_sidecar(spark, str(tmp_path))
 

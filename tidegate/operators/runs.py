@@ -15,7 +15,6 @@ from tidegate import storage
 from tidegate.lake import Lake
 from tidegate.session import single_row
 
-
 #: Numbers of a summary that are not counts of rows.
 NUMBERS = frozenset({"pages", "version"})
 

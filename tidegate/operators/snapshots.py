@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -56,15 +56,21 @@ class SnapshotTable:
         entry = F.struct("version", "run_id", "folder", "schema")
         return log.agg(F.max_by(entry, "version").alias("entry")).first()["entry"]
 
-    def publish(self, df: DataFrame, run_id: str) -> int:
+    def publish(self, df: DataFrame, run_id: str, sort_by: Sequence[str] = ()) -> int:
         """Write ``df`` as the next version, make it current, and return the version."""
-        return self.commit(self.write(df, run_id))
+        return self.commit(self.write(df, run_id, sort_by))
 
-    def write(self, df: DataFrame, run_id: str) -> dict[str, object]:
-        """Write the next version's data without making it current; ``commit`` takes the result."""
+    def write(self, df: DataFrame, run_id: str, sort_by: Sequence[str] = ()) -> dict[str, object]:
+        """Write the next version's data without making it current; ``commit`` takes the result.
+
+        With ``sort_by`` the files hold ranges of these columns, in order, so a lookup or a range by
+        them reads the files and row groups whose statistics allow it and skips the others.
+        """
         newest = self._newest()
         version = newest["version"] + 1 if newest else 1
         folder = f"data/version={version:06d}-{run_id}-{uuid.uuid4().hex[:12]}"
+        if sort_by:
+            df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
         df.write.parquet(f"{self.root}/{folder}")
         return {"version": version, "run_id": run_id, "folder": folder, "schema": df.schema.json()}
 

@@ -122,7 +122,8 @@ def publish_gold(
     changes: dict[str, int] = {}
     if merge and table.exists():
         changes = merge_changes(spark, table.read(), gold, spec, metrics["rows_silver"])
-    version = table.publish(gold, run_id)
+    # for consumers that look keys up or page through the product by key
+    version = table.publish(gold, run_id, sort_by=spec.key)
     return {
         "gold_published_at_utc": published_at,
         **published_counts(table.as_of_version(version), spec),

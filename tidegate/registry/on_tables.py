@@ -6,6 +6,8 @@ columns, by the same expressions in Spark and in SQL.
 
 from __future__ import annotations
 
+from datetime import date, time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from tidegate.functions.rules import any_failed
 from tidegate.operators.contract import contract_assertions, contract_projection, freshness, overlap
 from tidegate.operators.dedupe import latest_wins
 from tidegate.operators.flatten import flatten_table
+from tidegate.operators.freshness import publication_calendar
 from tidegate.operators.gates import gate_metrics, group_counts
 from tidegate.operators.ledger import disposition_counts, run_ledger
 from tidegate.operators.merge import (
@@ -450,6 +453,23 @@ def freshness_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    """WITH log AS (SELECT ts FROM events WHERE event_type = 'error' AND user_id % 9 = 0),
+days AS (SELECT unnest(generate_series(DATE '2023-12-25', DATE '2024-03-10', INTERVAL 1 DAY))::DATE AS day),
+served AS (SELECT ts::DATE AS day, min(ts) AS first_published_at_utc FROM log GROUP BY 1)
+SELECT day, first_published_at_utc,
+  CASE WHEN first_published_at_utc IS NULL THEN 'MISSING'
+       WHEN first_published_at_utc > day + INTERVAL 6 HOUR THEN 'LATE' ELSE 'ON_TIME' END AS freshness
+FROM days LEFT JOIN served USING (day)"""
+)
+def publication_calendar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some events taken for publications due at six: days on time, late days and days without any."""
+    event = table(spark, sf_dir, "events")
+    log = event.filter((F.col("event_type") == "error") & (F.col("user_id") % 9 == 0))
+    log = log.select(F.col("ts").alias("published_at_utc"))
+    return publication_calendar(log, date(2023, 12, 25), date(2024, 3, 10), time(6))
+
+
 @register(
     """SELECT max(ts) AS newest_ingested_at_utc,
   count(DISTINCT CASE WHEN event_type <> 'error' THEN event_type END) AS n_runs,
