@@ -183,6 +183,21 @@ def path_id(name: str) -> int:
     return _path_ids[name]
 
 
+_word_ids: dict[str, int] = {}
+
+
+def word_id(word: str) -> int:
+    """The hash of a word; a worker remembers a bounded number of short ones."""
+    found = _word_ids.get(word)
+    if found is None:
+        found = hashed(word, WORD_IDS)
+        if len(word) <= 24:
+            if len(_word_ids) > 100_000:
+                _word_ids.clear()
+            _word_ids[word] = found
+    return found
+
+
 def seen(blocks: list[Block]) -> Seen:
     path, path_at, word, word_at, measures = [], [], [], [], []
     n = len(blocks)
@@ -192,7 +207,7 @@ def seen(blocks: list[Block]) -> Seen:
         path += [path_id(name) for name in block.path]
         path.append(path_id("leaf:" + next((p for p in reversed(block.path) if p[0] != "."), "")))
         words = block.text.lower().split()
-        word += [hashed(w, WORD_IDS) for w in words[:40]]
+        word += [word_id(w) for w in words]
         size = len(block.text)
         measures.append(
             (
@@ -466,11 +481,18 @@ def fit(pages: list[str]) -> Labeller:
 
 
 def train(spark: SparkSession, pages: DataFrame) -> Labeller:
-    """Fitted in one task on the sample; its size is bounded in pages, whatever the table's."""
+    """Fitted in one task on the sample; its size is bounded in pages, whatever the table's.
+
+    Copies of a page count once, so a large group of them cannot fill the sample.
+    """
     order = F.xxhash64(F.lit(10), "html")
-    marked_pages = pages.filter(F.lower("html").rlike("<(article|main)[\\s>]"))
-    few = marked_pages.select(order.alias("rank"), "html").orderBy("rank").limit(SAMPLE_PAGES)
-    sample = saved(spark, few, "page-sample")
+    marked_pages = pages.filter(F.lower("html").rlike("<(article|main)[\\s>]")).select(
+        order.alias("rank"), "html"
+    )
+    # SAMPLE_PAGES rows at most, so broadcasting them is safe
+    least = saved(spark, marked_pages.select("rank").distinct().orderBy("rank").limit(SAMPLE_PAGES), "page-ranks")
+    chosen = marked_pages.join(F.broadcast(least), "rank", "left_semi")
+    sample = saved(spark, chosen.groupBy("rank").agg(F.min("html").alias("html")), "page-sample")
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [page for _, page in sorted(rows(batches, "rank", "html"))]
