@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -12,7 +13,6 @@ import pytest
 
 import corpus_pipeline
 from pyspark.sql import functions as F
-
 from tidegate.llm import html, langid, neardup, topk, toxicity
 from tidegate.llm.queries import ORACLES, QUERIES
 
@@ -127,6 +127,21 @@ def test_top_k(spark, vectors):
     assert topk.top_k(spark, frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1.0, 3e6, 1e9, 1e14])
+def test_top_k_is_exact_for_components_of_any_size(spark, scale):
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.standard_normal(8) * scale).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[i % 7][1]) for i in range(30)] + [(2000, [scale * 1e30] + [0.0] * 7)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows[:-1]}
+    want = set()
+    for i in whole:
+        if i % 100 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(whole[i], whole[j])), j) for j in whole if j != i)
+            want |= {(i, n, j, -s if abs(s) < 1 << 63 else None) for n, (s, j) in enumerate(scores[:10], 1)}
+    assert {tuple(r) for r in topk.top_k(spark, frame).collect()} == want
+
+
 def test_near_vectors(spark, vectors):
     frame, rows = vectors
     found = {r["vec_id"]: r for r in neardup.near_duplicates(spark, frame).collect()}
@@ -146,6 +161,35 @@ def test_near_vectors(spark, vectors):
     assert neardup.near_duplicates(spark, frame.limit(0)).count() == 0
 
 
+def test_every_word_of_a_block_counts():
+    """Blocks that differ in words far beyond the beginning are seen differently."""
+    page = "<html><body><article><p>" + "same " * 60 + "{}</p></article></body></html>"
+    one, other = (html.seen(html.blocks_of(page.format(end))) for end in ("alpha alpha", "omega omega"))
+    assert (one.word[:60] == other.word[:60]).all() and len(one.word) == 62
+    model = html.Labeller.fresh()
+    a, b = (model.inputs([seen])[0] for seen in (one, other))
+    assert not np.allclose(a, b)
+
+
+def test_copies_of_a_page_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(html, "SAMPLE_PAGES", 3)
+    seen = []
+    monkeypatch.setattr(html, "rows", lambda batches, *names: seen.append(1) or iter([]))
+    pages = [(i, f"<article><p>text {0 if i < 40 else i} of a page</p></article>") for i in range(44)]
+    frame = spark.createDataFrame(pages, "page_id long, html string")
+    saved = html.saved
+    kept = {}
+
+    def noted(session, table, name):
+        kept[name] = saved(session, table, name)
+        return kept[name]
+
+    monkeypatch.setattr(html, "saved", noted)
+    monkeypatch.setattr(html, "fit", lambda held: html.Labeller.keeping_all())
+    html.train(spark, frame)
+    assert kept["page-sample"].count() == 3 and kept["page-sample"].select("html").distinct().count() == 3
+
+
 def test_planted_near_vectors_are_found(spark):
     """Pairs at just over the threshold among many others, in labels of text, one of them large."""
     rng = np.random.default_rng(4)
