@@ -16,6 +16,7 @@ from tidegate.plans.publish import publish_gold
 from tidegate.plans.silver import transform
 from tidegate.session import scratch_path
 from tidegate.sources.pages import (
+    PAGE_FILE_GLOB,
     page_audit,
     page_statistics,
     parse_documents,
@@ -133,6 +134,7 @@ def run_folder(
     bronze_root: str,
     run_id: str,
     merge: bool = False,
+    name_filter: str = PAGE_FILE_GLOB,
 ) -> dict[str, object]:
     """Transform and publish a run kept as page files with a JSON sidecar.
 
@@ -142,7 +144,7 @@ def run_folder(
     started_at = datetime.now(timezone.utc)
     folder = find_run_folder(spark, bronze_root, run_id)
     run = read_sidecar(spark, folder)
-    counted = page_statistics(read_numbered(spark, folder), spec)
+    counted = page_statistics(read_numbered(spark, folder, name_filter), spec)
     staged = scratch_path(spark, "page-files")
     try:
         write_documents(counted, staged)

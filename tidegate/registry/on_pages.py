@@ -381,5 +381,8 @@ SELECT (SELECT count(*) FROM routed) AS rows_in,
 
 @register(POINTS_LEDGER_SQL)
 def pages_to_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flat_points(spark, sf_dir)
-    return run_ledger(routed(flat, CHAPTERS), silver_of(flat, CHAPTERS, lineage()))
+    """The pages are parsed once: the routed rows are staged, and both sides count those."""
+    rows, staged = routed(flat_points(spark, sf_dir), CHAPTERS), scratch_path(spark, "routed")
+    rows.write.parquet(staged)
+    kept = spark.read.schema(rows.schema).parquet(staged)
+    return run_ledger(kept, silver_of(kept, CHAPTERS, lineage()))

@@ -127,6 +127,12 @@ def find_run_folder(spark: SparkSession, bronze_root: str, run_id: str) -> str:
     return dated[max(dated)]
 
 
+def write_sidecar(spark: SparkSession, run_folder: str, run: LandedRun) -> None:
+    """Describe a run next to its page files, the way ``read_sidecar`` reads it."""
+    described = {name: value for name, value in run.__dict__.items() if name != "folder"}
+    storage.write_text(spark, f"{run_folder.rstrip('/')}/{SIDECAR_NAME}", json.dumps(described))
+
+
 def read_sidecar(spark: SparkSession, run_folder: str) -> LandedRun:
     """Read the JSON description next to the page files of a run."""
     path = f"{run_folder.rstrip('/')}/{SIDECAR_NAME}"

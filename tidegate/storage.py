@@ -36,6 +36,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file, in place of one that is there."""
+    target, fs = _resolve(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def claim(spark: SparkSession, path: str) -> bool:
     """Create an empty file; False if it is there already. Of several callers one alone gets True."""
     target, fs = _resolve(spark, path)
