@@ -41,14 +41,15 @@ BEFORE = LOOK_BACK + 1  # and the space between
 #: Pairs of a kept context and a byte seen after it, over all depths.
 NODES = 1 << 19
 #: Bytes of text in a batch and, before they are merged, in a shard's share.
-BATCH_BYTES = 5 << 20
-SHARD_BYTES = 12 << 20
+BATCH_BYTES = 3 << 20
+SHARD_BYTES = 8 << 20
 #: Keys a worker remembers the code lengths of, if the word has so many training occurrences.
 REMEMBERED, OFTEN = 300_000, 20
 #: Keys coded together.
 PART = 100_000
 
 LOG_HALF = float(np.log(0.5))
+LOG2_10 = float(np.log2(10))
 
 
 def keys_of(text: str | None) -> list[bytes]:
@@ -381,11 +382,11 @@ def train(spark: SparkSession, shards: DataFrame) -> Tree:
 
 
 def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row.
 
     Learns from the documents whose crc32(doc_id as text) modulo 5 is not 1. NULL and empty texts
     are the end token alone. base_score is the smoothed unigram model; both scores are log10
-    probabilities. Without training documents both stay finite. Repeated rows count each time. No
+    probabilities, and bits_per_byte is the model's code length for each byte coded. Without training documents both stay finite. Repeated rows count each time. No
     rows give no rows.
     """
     n_bytes = text_bytes(docs)
@@ -406,8 +407,10 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
         keys, at = encoded([key for doc in cut for key in doc])
         of = _shard_of(keys, shards)
         c = np.zeros(len(keys), np.int64)
+        order = np.argsort(of, kind="stable")
+        starts = np.searchsorted(of[order], np.arange(shards + 1))
         for shard, found_ in zip(counts.column("shard").to_pylist(), counts.column("counts").to_pylist()):
-            c[of == shard] = np.frombuffer(found_, "<i8")
+            c[order[starts[shard] : starts[shard + 1]]] = np.frombuffer(found_, "<i8")
         base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
         model = tree.value.remembered(keys, c)
         known, base, model = (c > 0)[at], base[at], model[at]
@@ -415,10 +418,15 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
         for doc_id, train, doc in zip(texts.column("doc_id").to_pylist(), texts.column("train").to_pylist(), cut):
             own = slice(end, end := end + len(doc))
             sums = int(known[own].sum()), n, float(base[own].sum()), float(model[own].sum())
-            rows.append((doc_id, not train, len(doc), *sums))
-        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=names)
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+            # the bytes coded: each token's and the one that closes it
+            n_coded = sum(map(len, doc)) + len(doc) * (1 - BEFORE)
+            rows.append((doc_id, not train, len(doc), *sums, -sums[-1] * LOG2_10 / n_coded))
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), *[pa.float64()] * 3]
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 8, types)], names=names)
+
+    schema = (
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+        "score double, bits_per_byte double"
+    )
     return batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, schema)
