@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import random
@@ -298,17 +299,108 @@ def test_language_model(spark, docs):
     assert all(-1e9 < r["score"] < 0 for r in found)
 
 
-def test_context_tree_is_a_probability():
+def brute_tree(trained):
+    """log10 probability of a byte after a context, from counts in dictionaries and recursion.
+
+    trained: number of times each (context of DEPTH bytes, byte) occurs."""
+    seen, counts = Counter(), {}
+    for (context, byte), times in trained.items():
+        for d in range(ctw.DEPTH + 1):
+            seen[context[ctw.DEPTH - d :]] += times
+            for k in range(8):
+                pair = counts.setdefault((context[ctw.DEPTH - d :], format(byte, "08b")[:k]), [0, 0])
+                pair[byte >> (7 - k) & 1] += times
+    kept = {key: n for key, n in counts.items() if len(key[0]) <= ctw.TOP or seen[key[0]] >= ctw.LEAST}
+    children = {}
+    for context, bits in kept:
+        if context:
+            children.setdefault((context[1:], bits), []).append((context, bits))
+
+    def kt(zero, one):
+        return math.lgamma(zero + 0.5) + math.lgamma(one + 0.5) - math.lgamma(zero + one + 1) - math.log(math.pi)
+
+    def rest(key):
+        below = [kept[child] for child in children.get(key, [])]
+        return [n - sum(pair[i] for pair in below) for i, n in enumerate(kept[key])]
+
+    @functools.cache
+    def weight(key):
+        split = sum(map(weight, children.get(key, []))) + kt(*rest(key))
+        return math.log(0.5) + np.logaddexp(kt(*kept[key]), split)
+
+    def chance(context, bits):
+        path = [(context[ctw.DEPTH - d :], bits) for d in range(ctw.DEPTH + 1)]
+        path = [key for key in path if key in kept]
+        total, left = 0.0, 1.0
+        for key in path:
+            stay = math.exp(math.log(0.5) + kt(*kept[key]) - weight(key))
+            own = (kept[key][1] + 0.5) / (sum(kept[key]) + 1)
+            total += left * stay * own
+            left *= 1 - stay
+        over = rest(path[-1]) if path else None
+        if over and sum(over):
+            own = (over[1] + 0.5) / (sum(over) + 1)
+        return total + left * own if path else 0.5
+
+    def log10_byte(context, byte):
+        bits = format(byte, "08b")
+        ones = [chance(context, bits[:k]) for k in range(8)]
+        return sum(math.log10(p if bit == "1" else 1 - p) for p, bit in zip(ones, bits))
+
+    return log10_byte
+
+
+def coded_bytes(text):
+    """(context, byte) of all that is coded of a text."""
+    before = b"\0\0 "
+    for word in [*lower(text).split(), b""]:
+        line = b"\0" * (ctw.DEPTH - len(before)) + before + word + b" "
+        for i in range(ctw.DEPTH, len(line)):
+            yield line[i - ctw.DEPTH : i], line[i]
+        before = (before + word + b" ")[-ctw.BEFORE :]
+
+
+@pytest.mark.parametrize("share", [1 << 20, 300])
+def test_scores_are_those_of_a_context_tree(spark, monkeypatch, share):
+    for name in ("BATCH_BYTES", "SHARD_BYTES", "BUCKET_BYTES"):
+        monkeypatch.setattr(ctw, name, share)
+    rng = random.Random(8)
+    stock = ["the", "then", "Thé", "a", "o", "ab", "abab", "the-end", "x1"]
+    rows = [(i, " ".join(rng.choices(stock, k=rng.randint(1, 30)))) for i in range(40)]
+    rows += [(50, None), (51, " "), (None, "the then"), (7, rows[7][1]), (7, rows[7][1]), (52, "new zzz \x01")]
+    out = [zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1 for i, _ in rows]
+    log10_byte = brute_tree(Counter(pair for (_, text), held in zip(rows, out) if not held for pair in coded_bytes(text)))
+    expected = []
+    for (i, text), held in zip(rows, out):
+        logs = [log10_byte(*pair) for pair in coded_bytes(text)]
+        expected.append((-1 if i is None else i, held, sum(logs), -sum(logs) * math.log2(10) / len(logs)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = [
+        (-1 if r["doc_id"] is None else r["doc_id"], r["held_out"], r["score"], r["bits_per_byte"])
+        for r in ctw.score_documents(spark, frame).collect()
+    ]
+    assert len(found) == len(expected)
+    for one, other in zip(sorted(found), sorted(expected)):
+        assert one[:2] == other[:2] and one[2:] == pytest.approx(other[2:], rel=1e-5)
+
+
+def test_a_tree_of_nothing_is_a_probability(spark):
+    held_out = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
+    frame = spark.createDataFrame([(i, "ab") for i in held_out], "doc_id long, text string")
+    for row in ctw.score_documents(spark, frame).collect():
+        assert row["held_out"] and row["n_known"] == row["train_tokens"] == 0 and row["bits_per_byte"] == pytest.approx(8)
+
+
+def test_the_bytes_after_a_context_sum_to_one():
     keys = [k for row in corpus() for k in ctw.keys_of(row[1])]
-    code, _ = ctw.key_codes(keys)
-    code, count = ctw.merged(code, np.ones(len(code), np.int64))
-    grams = [ctw.merged(code & ((1 << 8 * (d + 1)) - 1), count) for d in range(ctw.DEPTH + 1)]
-    tree = ctw.Tree(grams)
+    code, n = ctw.merged(ctw.key_codes(keys)[0], np.ones(len(ctw.key_codes(keys)[0]), np.int64))
+    deep, own = ctw.deep_nodes(code, n), ctw.nodes_of(*ctw.merged(ctw.shortened(code, ctw.TOP + 1), n))
+    weights, below = ctw.weighed(deep, ctw.TOP + 1)
+    top = ctw.top_levels(own.key, own.zero, own.one, below)
+    levels = [*top, *ctw.mixed(deep, weights, ctw.TOP + 1, top[-1])]
     for context in [0, *(code[:: len(code) // 20] >> 8)]:
         every = (int(context) << 8) | np.arange(256)
-        assert (10 ** tree.log10_bytes(every)).sum() == pytest.approx(1, abs=1e-4)
-    seen = tree.log10_keys(keys[:50])
-    assert np.allclose(seen, [tree.log10_keys([k])[0] for k in keys[:50]])
+        assert (10 ** ctw.log10_codes(every, levels)).sum() == pytest.approx(1, abs=1e-9)
 
 
 def test_krichevsky_trofimov_code_length():

@@ -3,50 +3,55 @@
 A text is coded token by token: its words, each closed by a space, then one end. A byte is eight
 binary decisions. Its contexts are the 0 to DEPTH bytes before it, reaching back over the token's
 start to the last LOOK_BACK bytes of the token before; at each of them a node for every decision
-holds a Krichevsky-Trofimov estimator of the training counts. Along the path from the empty context
-to the longest one kept, the estimates are mixed with the context-tree weights: a node stops with
-the posterior of one half its own code length against the code lengths of its extensions. So a
-token's probability is a function of its key, the word and the bytes before it, and everything
-is counted per distinct key.
+holds a Krichevsky-Trofimov estimator of the training counts. Contexts of up to TOP bytes are kept
+if they occur, longer ones from LEAST occurrences on, so the model grows with the text. Along the
+path from the empty context to the longest one kept, the estimates are mixed with the context-tree
+weights: a node stops with the posterior of one half its own code length against the code lengths
+of its extensions. So a token's probability is a function of its key, the word and the bytes
+before it, and everything is counted and coded once per distinct key.
 
 Steps:
-1. Documents are dealt into batches. A batch sends each of its distinct keys once, with its number
-   of training occurrences, to the word's shard, in sorted packs.
-2. A shard adds the counts up, writes its keys and, for each batch, the words' counts in the batch's
-   order.
-3. The shards' keys give the counts of the longest contexts; shorter ones are sums of these. All
-   contexts whose count reaches a floor are kept; the floor is the least power of two that
-   leaves at most NODES pairs of context and byte. That is what the model's size is bounded by.
-4. A batch meets its counts again, codes its distinct keys, and sums over each document's tokens.
+1. Tasks cut their documents into batches. A batch sends each of its distinct keys once, with its
+   number of training occurrences, to the word's shard, in sorted packs, and keeps the keys' places.
+2. A shard adds the counts up and notes where each batch's keys are among its own.
+3. A shard cuts its keys into codes, a byte with the DEPTH bytes before it, and sends each distinct
+   one to the bucket of the last TOP + 1 bytes before it. All longer contexts end in these bytes,
+   so a bucket has whole subtrees; it weights them and passes sums on to the nodes of TOP bytes.
+   These, at most 2 ** (8 * TOP + 8) however large the corpus, are weighted in one task and broadcast.
+4. With them a bucket mixes down its subtrees and answers each shard with the probability of its
+   codes; a shard sums them up to keys and answers its batches; a batch sums over its documents.
 """
 
 from __future__ import annotations
 
 import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import ASCII_LOWER, fold, saved, text_bytes
+from tidegate.llm.common import ASCII_LOWER, fold, rows, saved, text_bytes
 
 DEPTH = 6
 LOOK_BACK = 2
 BEFORE = LOOK_BACK + 1  # and the space between
-#: Pairs of a kept context and a byte seen after it, over all depths.
-NODES = 1 << 19
-#: Bytes of text in a batch and, before they are merged, in a shard's share.
-BATCH_BYTES = 3 << 20
+#: Contexts up to this length are broadcast, and how often a longer one has to occur.
+TOP, LEAST = 2, 2
+#: Bytes of text in a batch and, before they are merged, in a shard's and a bucket's share.
+BATCH_BYTES = 6 << 20
 SHARD_BYTES = 8 << 20
-#: Keys a worker remembers the code lengths of, if the word has so many training occurrences.
-REMEMBERED, OFTEN = 300_000, 20
-#: Keys coded together.
+BUCKET_BYTES = 8 << 20
+#: Tasks that buckets are dealt to at most; a task works on one bucket at a time.
+BUCKET_TASKS = 20_000
+#: Keys cut into codes together, and nodes a task holds before it adds them up.
 PART = 100_000
+HELD_NODES = 2_000_000
 
 LOG_HALF = float(np.log(0.5))
 LOG2_10 = float(np.log2(10))
@@ -90,122 +95,19 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - low
 
 
+def firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys starts."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
+
+
 def merged(keys: np.ndarray, *sums: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys, ascending, and the sums of each."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
+    first = firsts(keys)
     return (keys[first], *(np.add.reduceat(s[order], first) if len(first) else s[:0] for s in sums))
 
 
-class Tree:
-    """Frozen mixtures: for every node of a kept context, the chance of a one if coding stops there."""
-
-    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]):
-        """grams[d]: context of d bytes and byte as one number, ascending, and counts."""
-        nodes = []
-        for code, count in grams:
-            byte, context = code & 255, code >> 8
-            keys = [(context << 8) | (1 << k) | (byte >> (8 - k)) for k in range(8)]
-            ones = [np.where((byte >> (7 - k)) & 1, count, 0) for k in range(8)]
-            key, total, one = merged(np.concatenate(keys), np.tile(count, 8), np.concatenate(ones))
-            nodes.append((key, (total - one).astype(float), one.astype(float)))
-        depth = len(nodes) - 1
-        # code lengths from the longest contexts up; what no kept extension holds is one more child
-        log_w, rest = [np.zeros(0)] * (depth + 1), [None] * (depth + 1)
-        stay = [np.zeros(0)] * (depth + 1)
-        for d in range(depth, -1, -1):
-            key, zero, one = nodes[d]
-            own = log_kt(zero, one)
-            if d == depth or not len(nodes[d + 1][0]):
-                log_w[d], stay[d] = own, np.ones(len(key))
-                rest[d] = (zero, one)
-                continue
-            longer, z, o = nodes[d + 1]
-            up, below, z, o = merged(parents(longer, d), log_w[d + 1], z, o)
-            at = np.searchsorted(key, up)
-            children, rz, ro = np.zeros(len(key)), zero.copy(), one.copy()
-            children[at] = below
-            rz[at] -= z
-            ro[at] -= o
-            split = children + log_kt(rz, ro)
-            log_w[d] = np.logaddexp(LOG_HALF + own, LOG_HALF + split)
-            stay[d] = np.exp(LOG_HALF + own - log_w[d])
-            rest[d] = (rz, ro)
-        self.keys, self.stop = [], []
-        done, left = np.zeros(0), np.ones(0)
-        for d in range(depth + 1):
-            key, zero, one = nodes[d]
-            p = (one + 0.5) / (zero + one + 1)
-            if d:
-                at = np.searchsorted(nodes[d - 1][0], parents(key, d - 1))
-                done, left = done[at], left[at]
-            else:
-                done, left = np.zeros(len(key)), np.ones(len(key))
-            rz, ro = rest[d]
-            unseen = np.where(rz + ro > 0, (ro + 0.5) / (rz + ro + 1), p)
-            self.keys.append(key)
-            self.stop.append((done + left * (stay[d] * p + (1 - stay[d]) * unseen)).astype(np.float32))
-            done, left = done + left * stay[d] * p, left * (1 - stay[d])
-        self.contexts = [np.unique(key >> 8) for key in self.keys]
-        self.memory: dict[bytes, float] = {}
-        self.grams = [code for code, _ in grams]
-        self.logs = [
-            self._by_decision(code, np.full(len(code), d)).astype(np.float32)
-            for d, code in enumerate(self.grams)
-        ]
-
-    def _by_decision(self, code: np.ndarray, level: np.ndarray) -> np.ndarray:
-        """log10 probability of bytes whose longest kept context has ``level`` bytes. A decision
-        that the context has not met is left to the next shorter one."""
-        byte, p = code & 255, np.zeros(len(code))
-        for k in range(8):
-            node, one = (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
-            chance, ask = np.full(len(code), 0.5), np.arange(len(code))
-            for d in range(len(self.keys) - 1, -1, -1):
-                deep = level[ask] >= d
-                now = ask[deep]
-                at = found(self.keys[d], (shortened(code[now] >> 8, d) << 8) | node[now])
-                hit = at >= 0
-                chance[now[hit]] = self.stop[d][at[hit]]
-                ask = np.concatenate((ask[~deep], now[~hit]))
-            p += np.log10(np.where(one, chance, 1 - chance))
-        return p
-
-    def log10_bytes(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of the byte in each code, given the longest kept context before it."""
-        p, ask = np.zeros(len(code)), np.arange(len(code))
-        for d in range(len(self.keys) - 1, -1, -1):
-            short = shortened(code[ask], d + 1)
-            at = found(self.grams[d], short)
-            p[ask[at >= 0]] = self.logs[d][at[at >= 0]]
-            ask, short = ask[at < 0], short[at < 0]
-            new = (found(self.contexts[d], short >> 8) >= 0) | (d == 0)  # a byte new to its context
-            p[ask[new]] = self._by_decision(code[ask[new]], np.full(int(new.sum()), d))
-            ask = ask[~new]
-        return p
-
-    def remembered(self, keys: list[bytes], count: np.ndarray) -> np.ndarray:
-        """log10 probability of each key; a worker remembers some that other batches hold too."""
-        memory = self.memory
-        out = np.array([memory.get(key, np.nan) for key in keys], float)
-        new = np.flatnonzero(np.isnan(out))
-        out[new] = self.log10_keys([keys[i] for i in new.tolist()])
-        frequent = new[count[new] >= OFTEN].tolist()
-        if len(memory) + len(frequent) > REMEMBERED:
-            memory.clear()
-        memory.update(zip([keys[i] for i in frequent], out[frequent].tolist()))
-        return out
-
-    def log10_keys(self, keys: list[bytes]) -> np.ndarray:
-        out = []
-        for at in range(0, len(keys), PART):
-            code, starts = key_codes(keys[at : at + PART])
-            distinct, of = encoded_codes(code)
-            out.append(np.add.reduceat(self.log10_bytes(distinct)[of], starts))
-        return np.concatenate([np.zeros(0), *out])
-
-
 def shortened(context: np.ndarray, depth: int) -> np.ndarray:
     return context & ((1 << (8 * depth)) - 1)
 
@@ -223,9 +125,118 @@ def found(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(table[at] == wanted, at, -1)
 
 
+@dataclass
+class Nodes:
+    """Decisions of the contexts of one length, ascending, and their training counts."""
+
+    key: np.ndarray  # context, then a one and the bits of the byte decided before
+    zero: np.ndarray
+    one: np.ndarray
+
+
+@dataclass
+class Level:
+    """Nodes of one length whose mixture is known down from the empty context."""
+
+    key: np.ndarray
+    stop: np.ndarray  # chance of a one if the context's extensions are not kept
+    done: np.ndarray  # chance of a one from shorter contexts and this one, by their share
+    left: np.ndarray  # what share goes to the extensions
+
+
+def nodes_of(code: np.ndarray, count: np.ndarray) -> Nodes:
+    """code: context and byte as one number, ascending and distinct."""
+    byte, context = code & 255, code >> 8
+    parts = []
+    for k in range(8):
+        key = (context << 8) | (1 << k) | (byte >> (8 - k))  # ascending as the codes are
+        first = firsts(key)
+        if len(first):
+            ones = np.where((byte >> (7 - k)) & 1, count, 0)
+            parts.append((key[first], np.add.reduceat(count, first), np.add.reduceat(ones, first)))
+    if not parts:
+        return Nodes(code[:0], np.zeros(0), np.zeros(0))
+    key, total, one = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    total, one = total[order].astype(float), one[order].astype(float)
+    return Nodes(key[order], total - one, one)
+
+
+def deep_nodes(code: np.ndarray, count: np.ndarray) -> list[Nodes]:
+    """Of contexts longer than TOP bytes that occur LEAST times, shortest first."""
+    out = []
+    for depth in range(TOP + 1, DEPTH + 1):
+        gram, n = merged(shortened(code, depth + 1), count)
+        first = firsts(gram >> 8)
+        sizes = np.diff(np.append(first, len(gram)))
+        often = np.repeat(np.add.reduceat(n, first) >= LEAST, sizes) if len(first) else np.zeros(0, bool)
+        out.append(nodes_of(gram[often], n[often]))
+    return out
+
+
+def weighed(levels: list[Nodes], depth: int, below: tuple | None = None) -> tuple[list[tuple], tuple | None]:
+    """From the longest contexts up: each level's shares that stop and counts that no kept extension
+    holds, and the sums for the nodes above. ``levels`` start at ``depth``; ``below`` are such sums.
+    What no kept extension holds is coded as one more child."""
+    out = []
+    for d, at in zip(range(depth + len(levels) - 1, depth - 1, -1), reversed(levels)):
+        own = log_kt(at.zero, at.one)
+        children, zero, one = np.zeros(len(at.key)), at.zero.copy(), at.one.copy()
+        if below is not None:
+            key, sums, below_zero, below_one = below
+            place = np.searchsorted(at.key, key)
+            children[place] = sums
+            zero[place] -= below_zero
+            one[place] -= below_one
+        log_w = np.logaddexp(LOG_HALF + own, LOG_HALF + children + log_kt(zero, one))
+        out.append((np.exp(LOG_HALF + own - log_w), zero, one))
+        below = merged(parents(at.key, d - 1), log_w, at.zero, at.one) if d else None
+    return out[::-1], below
+
+
+def mixed(levels: list[Nodes], weights: list[tuple], depth: int, above: Level | None = None) -> list[Level]:
+    """From the shortest contexts down."""
+    out = []
+    for d, (at, (stay, zero, one)) in enumerate(zip(levels, weights), depth):
+        done, left = np.zeros(len(at.key)), np.ones(len(at.key))
+        if above is not None:
+            place = np.searchsorted(above.key, parents(at.key, d - 1))
+            done, left = above.done[place], above.left[place]
+        own = (at.one + 0.5) / (at.zero + at.one + 1)
+        rest = np.where(zero + one > 0, (one + 0.5) / (zero + one + 1), own)
+        stop = done + left * (stay * own + (1 - stay) * rest)
+        out.append(above := Level(at.key, stop, done + left * stay * own, left * (1 - stay)))
+    return out
+
+
+def top_levels(key: np.ndarray, zero: np.ndarray, one: np.ndarray, below: tuple | None) -> list[Level]:
+    """Mixtures of 0 to TOP bytes from the nodes of TOP bytes, ascending, and their extensions' sums."""
+    levels = [Nodes(key, zero, one)]
+    for depth in range(TOP - 1, -1, -1):
+        levels.append(Nodes(*merged(parents(levels[-1].key, depth), levels[-1].zero, levels[-1].one)))
+    levels.reverse()
+    return mixed(levels, weighed(levels, 0, below)[0], 0)
+
+
+def log10_codes(code: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """log10 probability of each code's byte. A decision is taken by the longest context that is
+    kept and has met it."""
+    byte, p = code & 255, np.zeros(len(code))
+    for k in range(8):
+        node, one = (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
+        chance, ask = np.full(len(code), 0.5), np.arange(len(code))
+        for depth in range(len(levels) - 1, -1, -1):
+            at = found(levels[depth].key, (shortened(code[ask] >> 8, depth) << 8) | node[ask])
+            hit = at >= 0
+            chance[ask[hit]] = levels[depth].stop[at[hit]]
+            ask = ask[~hit]
+        p += np.log10(np.where(one, chance, 1 - chance))
+    return p
+
+
 def in_order(keys: list[bytes]) -> np.ndarray:
-    """Positions of distinct keys in an order that is the same wherever a batch is read: by hash,
-    which sorts faster than the bytes do."""
+    """Positions of distinct keys in an order of their own: by hash, which sorts faster than the
+    bytes do."""
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
     order = np.argsort(hashes)
     if (np.diff(hashes[order]) == 0).any():
@@ -233,32 +244,25 @@ def in_order(keys: list[bytes]) -> np.ndarray:
     return order
 
 
-def encoded(keys: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Distinct keys in the order of ``in_order``, and each key's place among them."""
-    held = pa.array(keys, pa.large_binary()).dictionary_encode()
-    listed = held.dictionary.to_pylist()
-    order = in_order(listed)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return [listed[i] for i in order.tolist()], place[held.indices.to_numpy()]
-
-
-def encoded_codes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes, ascending, and each code's place among them; only distinct ones are sorted."""
-    held = pa.array(code).dictionary_encode()
+def distinct_codes(keys: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes by bucket and then ascending, their buckets, the place of each code of the keys
+    among them, and where each key's codes start."""
+    parts = [key_codes(keys[at : at + PART]) for at in range(0, len(keys), PART)]
+    sizes = np.cumsum([0, *(len(code) for code, _ in parts)])
+    starts = np.concatenate([np.zeros(0, np.int64), *(s + n for (_, s), n in zip(parts, sizes))])
+    held = pa.array(np.concatenate([np.zeros(0, np.int64), *(code for code, _ in parts)])).dictionary_encode()
     listed = held.dictionary.to_numpy()
-    order = np.argsort(listed)
+    bucket = bucket_of(listed, buckets)
+    order = np.lexsort((listed, bucket))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    return listed[order], place[held.indices.to_numpy()]
+    return listed[order], bucket[order], place[held.indices.to_numpy()], starts
 
 
-def _counted(pairs: Iterator[tuple]) -> tuple[list[bytes], np.ndarray]:
-    """Distinct keys of a batch in the order of ``in_order`` and their training counts."""
-    cut = [(keys_of(text), bool(train)) for text, train in pairs]
-    keys, at = encoded([key for doc, _ in cut for key in doc])
-    trained = np.repeat([train for _, train in cut], [len(doc) for doc, _ in cut])
-    return keys, np.bincount(at[trained], minlength=len(keys)).astype("<i8")
+def bucket_of(code: np.ndarray, buckets: int) -> np.ndarray:
+    """By the last TOP + 1 bytes of the context."""
+    mixed_up = shortened(code >> 8, TOP + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed_up >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _shard_of(keys: list[bytes], shards: int) -> np.ndarray:
@@ -266,119 +270,246 @@ def _shard_of(keys: list[bytes], shards: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(key[BEFORE:]) % shards for key in keys), np.int64, len(keys))
 
 
-def _learn(spark: SparkSession, batches: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
-    """Tables: keys of each shard with their counts, and the counts each batch asked for."""
-
-    def send(t: pa.Table) -> pa.Table:
-        keys, counts = _counted(zip(t.column("text").to_pylist(), t.column("train").to_pylist()))
-        of = _shard_of(keys, shards)
-        order = np.argsort(of, kind="stable")
-        parts = [p for p in np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(p)]
-        return pa.table(
-            [
-                pa.array([t.column("batch")[0].as_py()] * len(parts), pa.int64()),
-                pa.array([int(of[p[0]]) for p in parts], pa.int64()),
-                pa.array([b"\n".join([keys[i] for i in p]) for p in parts], pa.binary()),
-                pa.array([counts[p].tobytes() for p in parts], pa.binary()),
-            ],
-            names=["batch", "shard", "words", "counts"],
+def _ints(held: bytes) -> np.ndarray:
+    return np.frombuffer(held, "<i8")
+
+
+def _cuts(of: np.ndarray) -> list[tuple[int, int]]:
+    """First and end of each run of equal values."""
+    first = firsts(of).tolist()
+    return list(zip(first, [*first[1:], len(of)]))
+
+
+_SENT = pa.schema(
+    [
+        ("batch", pa.int64()),
+        ("shard", pa.int64()),
+        ("words", pa.binary()),
+        ("counts", pa.binary()),
+        ("doc_id", pa.int64()),
+        ("train", pa.bool_()),
+        ("coded", pa.int64()),
+        ("at", pa.binary()),
+    ]
+)
+
+
+def _send(texts: DataFrame, shards: int) -> DataFrame:
+    """Two kinds of rows: a batch's keys for a shard, and a document with the places of its keys."""
+
+    def cut(batch: int, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
+        keys = [keys_of(text) for _, _, text in docs]
+        sizes = [len(k) for k in keys]
+        held = pa.array([key for doc in keys for key in doc], pa.large_binary()).dictionary_encode()
+        listed = held.dictionary.to_pylist()
+        of, order = _shard_of(listed, shards), in_order(listed)
+        order = order[np.argsort(of[order], kind="stable")]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        at = place[held.indices.to_numpy()]
+        trained = np.repeat([bool(train) for _, train, _ in docs], sizes)
+        counts = np.bincount(at[trained], minlength=len(listed)).astype("<i8")
+        none = [None] * 4
+        found_ = [
+            (batch, int(of[order[a]]), b"\n".join([listed[i] for i in order[a:b].tolist()]), counts[a:b].tobytes(), *none)
+            for a, b in _cuts(of[order])
+        ]
+        ends = np.cumsum(sizes)
+        for (doc_id, train, _), own, end in zip(docs, keys, ends.tolist()):
+            # the bytes coded: each token's and the one that closes it
+            coded = sum(map(len, own)) + len(own) * (1 - BEFORE)
+            found_.append((batch, None, None, None, doc_id, bool(train), coded, at[end - len(own) : end].astype("<i4").tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values, field.type) for values, field in zip(zip(*found_), _SENT)], schema=_SENT
         )
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch, docs, size = TaskContext.get().partitionId() << 32, [], 0
+        for doc in rows(batches, "doc_id", "train", "text"):
+            docs.append(doc)
+            size += len(doc[2] or "")
+            if size >= BATCH_BYTES:
+                yield from cut(batch, docs)
+                batch, docs, size = batch + 1, [], 0
+        if docs:
+            yield from cut(batch, docs)
+
+    schema = "batch long, shard long, words binary, counts binary, doc_id long, train boolean, coded long, at binary"
+    return texts.mapInArrow(task, schema)
+
+
+def _learn(packs: DataFrame) -> DataFrame:
+    """A row for each shard with its keys, their counts and their words' counts; and for each batch
+    that sent it keys, their places."""
+
     def add(t: pa.Table) -> pa.Table:
-        by_key: Counter = Counter()
-        by_word: Counter = Counter()
-        asked = [keys.split(b"\n") for keys in t.column("words").to_pylist()]
-        for keys, counts in zip(asked, t.column("counts").to_pylist()):
-            for key, n in zip(keys, np.frombuffer(counts, "<i8").tolist()):
-                if n:
-                    by_key[key] += n
-        for key, n in by_key.items():
-            by_word[key[BEFORE:]] += n
-        back = [
-            np.fromiter((by_word.get(k[BEFORE:], 0) for k in keys), "<i8", len(keys)).tobytes()
-            for keys in asked
-        ]
-        known = sorted(by_key)
-        counts = np.fromiter(map(by_key.__getitem__, known), "<i8", len(known))
-        rows = len(asked)
+        asked = [words.split(b"\n") for words in t.column("words").to_pylist()]
+        held = pa.array([key for keys in asked for key in keys], pa.large_binary()).dictionary_encode()
+        at, keys = held.indices.to_numpy(), held.dictionary.to_pylist()
+        n = np.zeros(len(keys), "<i8")
+        np.add.at(n, at, np.concatenate([_ints(c) for c in t.column("counts").to_pylist()]))
+        word = pa.array([key[BEFORE:] for key in keys], pa.large_binary()).dictionary_encode()
+        by_word = np.zeros(len(word.dictionary), "<i8")
+        np.add.at(by_word, word.indices.to_numpy(), n)
+        ends = np.cumsum([len(keys_) for keys_ in asked])[:-1]
+        places = [part.astype("<i4").tobytes() for part in np.split(at, ends)]
+        none = [None] * len(asked)
         return pa.table(
             [
                 pa.array([None, *t.column("batch").to_pylist()], pa.int64()),
-                pa.array([t.column("shard")[0].as_py()] * (rows + 1), pa.int64()),
-                pa.array([b"\n".join(known), *[None] * rows], pa.binary()),
-                pa.array([counts.tobytes(), *back], pa.binary()),
-                pa.array([len(by_word), *[0] * rows], pa.int64()),
-                pa.array([int(counts.sum()), *[0] * rows], pa.int64()),
+                pa.array([t.column("shard")[0].as_py()] * (len(asked) + 1), pa.int64()),
+                pa.array([b"\n".join(keys), *none], pa.binary()),
+                pa.array([n.tobytes(), *none], pa.binary()),
+                pa.array([by_word[word.indices.to_numpy()].tobytes(), *none], pa.binary()),
+                pa.array([None, *places], pa.binary()),
+                pa.array([int((by_word > 0).sum()), *none], pa.int64()),
+                pa.array([int(n.sum()), *none], pa.int64()),
             ],
-            names=["batch", "shard", "words", "counts", "n_words", "n_tokens"],
+            names=["batch", "shard", "words", "counts", "word_counts", "at", "n_words", "n_tokens"],
         )
 
-    packs = batches.groupBy("batch").applyInArrow(send, "batch long, shard long, words binary, counts binary")
-    added = packs.groupBy("shard").applyInArrow(
-        add, "batch long, shard long, words binary, counts binary, n_words long, n_tokens long"
+    return packs.groupBy("shard").applyInArrow(
+        add,
+        "batch long, shard long, words binary, counts binary, word_counts binary, at binary, n_words long, n_tokens long",
     )
-    table = saved(spark, added, "word-counts")
-    return table.filter("batch IS NULL"), table.filter("batch IS NOT NULL").select("batch", "shard", "counts")
-
-
-def _grams(shards: DataFrame) -> DataFrame:
-    """depth, code, n of the kept contexts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words, counts in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist()):
-                n = np.frombuffer(counts, "<i8")
-                listed = words.split(b"\n") if len(n) else []
-                for at in range(0, len(listed), PART):
-                    code, starts = key_codes(listed[at : at + PART])
-                    times = np.repeat(n[at : at + PART], np.diff(np.append(starts, len(code))))
-                    key, of = encoded_codes(code)
-                    total = np.bincount(of, times, len(key)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(total)], names=["code", "n"])
-
-    longest = shards.select("words", "counts").mapInArrow(count, "code long, n long")
-    longest = longest.groupBy("code").agg(F.sum("n").alias("n"))
-    depths = F.array(
-        *(
-            F.struct(F.lit(d).alias("depth"), F.col("code").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("code"))
-            for d in range(DEPTH + 1)
-        )
-    )
-    all_depths = (
-        longest.select("n", F.explode(depths).alias("at"))
-        .groupBy("at.depth", "at.code")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("context", F.shiftright("code", 8))
-    )
-    # a context has at most 256 bytes after it
-    own = Window.partitionBy("depth", "context")
-    return all_depths.withColumn("level", F.floor(F.log2(F.sum("n").over(own))).cast("int"))
 
 
-def train(spark: SparkSession, shards: DataFrame) -> Tree:
-    grams = saved(spark, _grams(shards), "grams")
-    sizes = dict(grams.groupBy("level").count().collect())  # a row for each power of two
-    floor, held = max(sizes, default=0) + 1, 0
-    while sizes and floor > min(sizes) and held + sizes.get(floor - 1, 0) <= NODES:
-        floor -= 1
-        held += sizes.get(floor, 0)
-    kept = grams.filter(F.col("level") >= floor).select("depth", "code", "n")
+def _code_packs(learned: DataFrame, buckets: int) -> DataFrame:
+    """bucket, shard, codes, counts: the distinct codes of each shard."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, words, counts in rows(batches, "shard", "words", "counts"):
+            code, bucket, of, starts = distinct_codes(words.split(b"\n"), buckets)
+            times = np.repeat(_ints(counts), np.diff(np.append(starts, len(of))))
+            total = np.bincount(of, times, len(code)).astype("<i8")
+            cuts = _cuts(bucket)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([int(bucket[a]) for a, _ in cuts], pa.int64()),
+                    pa.array([shard] * len(cuts), pa.int64()),
+                    pa.array([code[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    pa.array([total[a:b].tobytes() for a, b in cuts], pa.binary()),
+                ],
+                names=["bucket", "shard", "codes", "counts"],
+            )
+
+    shards = learned.filter("batch IS NULL").select("shard", "words", "counts")
+    return shards.mapInArrow(cut, "bucket long, shard long, codes binary, counts binary")
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows come sorted by bucket."""
+    last, held = None, []
+    for bucket, shard, codes, counts in rows(batches, "bucket", "shard", "codes", "counts"):
+        if held and bucket != last:
+            yield last, held
+            held = []
+        last = bucket
+        held.append((shard, _ints(codes), _ints(counts)))
+    if held:
+        yield last, held
+
+
+def _trained(packs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    code, n = merged(np.concatenate([c for _, c, _ in packs]), np.concatenate([n for _, _, n in packs]))
+    return code[n > 0], n[n > 0]
+
+
+_SUMS = ("zero", "one", "log_w", "below_zero", "below_one")
+
+
+def _top(dealt: DataFrame) -> list[Level]:
+    """Levels of 0 to TOP bytes."""
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def summed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in merged(*(np.concatenate(x) for x in zip(*held)))], names=["key", *_SUMS]
+            )
+
+        for _, packs in _by_bucket(batches):
+            code, n = _trained(packs)
+            own = nodes_of(*merged(shortened(code, TOP + 1), n))
+            key, *sums = weighed(deep_nodes(code, n), TOP + 1)[1]
+            place = np.searchsorted(own.key, key)
+            below = [np.zeros(len(own.key)) for _ in sums]
+            for all_, some in zip(below, sums):
+                all_[place] = some
+            held.append((own.key, own.zero, own.one, *below))
+            size += len(own.key)
+            if size >= HELD_NODES:
+                yield summed()
+                held, size = [], 0
+        if held:
+            yield summed()
+
+    schema = "key long, " + ", ".join(f"{name} double" for name in _SUMS)
+    nodes = dealt.mapInArrow(up, schema).groupBy("key").agg(*(F.sum(name).alias(name) for name in _SUMS))
 
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """At most NODES rows, in one task."""
+        """One task; the number of nodes has a bound that no corpus passes."""
         parts = [pa.Table.from_batches([batch]) for batch in batches]
-        names = ("depth", "code", "n")
-        depth, code, n = (
-            np.concatenate([np.zeros(0, np.int64), *(p.column(c).to_numpy() for p in parts)]).astype(np.int64)
-            for c in names
+        columns = [np.concatenate([np.zeros(0), *(p.column(x).to_numpy() for p in parts)]) for x in _SUMS]
+        key = np.concatenate([np.zeros(0, np.int64), *(p.column("key").to_numpy() for p in parts)]).astype(np.int64)
+        order = np.argsort(key)
+        key, (zero, one, *below) = key[order], [x[order] for x in columns]
+        levels = top_levels(key, zero, one, (key, *below))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(levels)], pa.binary())], names=["levels"])
+
+    row = nodes.repartition(1).mapInArrow(built, "levels binary").first()
+    nothing = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    return pickle.loads(row["levels"]) if row else top_levels(*nothing, None)
+
+
+def _code_logs(spark: SparkSession, dealt: DataFrame) -> DataFrame:
+    """shard, bucket, logs: log10 probabilities in the order of the shard's codes."""
+    top = spark.sparkContext.broadcast(_top(dealt))
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, packs in _by_bucket(batches):
+            deep = deep_nodes(*_trained(packs))
+            levels = [*top.value, *mixed(deep, weighed(deep, TOP + 1)[0], TOP + 1, top.value[-1])]
+            every = np.unique(np.concatenate([codes for _, codes, _ in packs]))
+            logs = log10_codes(every, levels).astype("<f4")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([shard for shard, _, _ in packs], pa.int64()),
+                    pa.array([bucket] * len(packs), pa.int64()),
+                    pa.array([logs[np.searchsorted(every, codes)].tobytes() for _, codes, _ in packs], pa.binary()),
+                ],
+                names=["shard", "bucket", "logs"],
+            )
+
+    return dealt.mapInArrow(down, "shard long, bucket long, logs binary")
+
+
+def _answers(learned: DataFrame, logs: DataFrame, buckets: int) -> DataFrame:
+    """batch, shard, counts of words and log10 probabilities of keys, in the order of the batch."""
+
+    def answer(t: pa.Table, logs: pa.Table) -> pa.Table:
+        batch = t.column("batch").to_pylist()
+        own = batch.index(None)
+        _, _, of, starts = distinct_codes(t.column("words")[own].as_py().split(b"\n"), buckets)
+        packs = sorted(zip(logs.column("bucket").to_pylist(), logs.column("logs").to_pylist()))
+        by_code = np.frombuffer(b"".join(p for _, p in packs), "<f4").astype(float)
+        by_key = np.add.reduceat(by_code[of], starts).astype("<f4")
+        words = _ints(t.column("word_counts")[own].as_py())
+        asked = [i for i in range(len(batch)) if i != own]
+        at = [np.frombuffer(t.column("at")[i].as_py(), "<i4") for i in asked]
+        return pa.table(
+            [
+                pa.array([batch[i] for i in asked], pa.int64()),
+                pa.array([t.column("shard")[own].as_py()] * len(asked), pa.int64()),
+                pa.array([words[a].tobytes() for a in at], pa.binary()),
+                pa.array([by_key[a].tobytes() for a in at], pa.binary()),
+            ],
+            names=["batch", "shard", "counts", "logs"],
         )
-        order = np.lexsort((code, depth))
-        depth, code, n = depth[order], code[order], n[order]
-        tree = Tree([(code[depth == d], n[depth == d]) for d in range(DEPTH + 1)])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tree)], pa.binary())], names=["tree"])
 
-    row = kept.repartition(1).mapInArrow(built, "tree binary").first()
-    return pickle.loads(row["tree"]) if row else Tree([(np.zeros(0, np.int64),) * 2] * (DEPTH + 1))
+    sides = learned.drop("counts", "n_words", "n_tokens").groupBy("shard"), logs.groupBy("shard")
+    return sides[0].cogroup(sides[1]).applyInArrow(answer, "batch long, shard long, counts binary, logs binary")
 
 
 def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -386,47 +517,41 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Learns from the documents whose crc32(doc_id as text) modulo 5 is not 1. NULL and empty texts
     are the end token alone. base_score is the smoothed unigram model; both scores are log10
-    probabilities, and bits_per_byte is the model's code length for each byte coded. Without training documents both stay finite. Repeated rows count each time. No
-    rows give no rows.
+    probabilities, and bits_per_byte is the model's code length for each byte coded. Without training
+    documents both stay finite. Repeated rows count each time. No rows give no rows.
     """
     n_bytes = text_bytes(docs)
-    n_batches, shards = n_bytes // BATCH_BYTES + 1, n_bytes // SHARD_BYTES + 1
-    batches = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
-        (fold("doc_id", 5) != 1).alias("train"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).alias("batch"),
+    shards, buckets = n_bytes // SHARD_BYTES + 1, n_bytes // BUCKET_BYTES + 1
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", (fold("doc_id", 5) != 1).alias("train")
     )
-    learned, answers = _learn(spark, batches, shards)
+    sent = saved(spark, _send(texts, shards), "sent")
+    learned = saved(spark, _learn(sent.filter("shard IS NOT NULL").select("batch", "shard", "words", "counts")), "keys")
     totals = learned.agg(F.sum("n_tokens"), F.sum("n_words")).first()
     n, v = int(totals[0] or 0), int(totals[1] or 0)
-    tree = spark.sparkContext.broadcast(train(spark, learned))
-
-    def score(batch, texts: pa.Table, counts: pa.Table) -> pa.Table:
-        cut = [keys_of(text) for text in texts.column("text").to_pylist()]
-        keys, at = encoded([key for doc in cut for key in doc])
-        of = _shard_of(keys, shards)
-        c = np.zeros(len(keys), np.int64)
-        order = np.argsort(of, kind="stable")
-        starts = np.searchsorted(of[order], np.arange(shards + 1))
-        for shard, found_ in zip(counts.column("shard").to_pylist(), counts.column("counts").to_pylist()):
-            c[order[starts[shard] : starts[shard + 1]]] = np.frombuffer(found_, "<i8")
+    tasks = min(buckets, BUCKET_TASKS)
+    packs = saved(spark, _code_packs(learned, buckets), "codes")
+    dealt = packs.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    answers = _answers(learned, _code_logs(spark, dealt), buckets)
+
+    def score(own: pa.Table, found_: pa.Table) -> pa.Table:
+        packs = sorted(zip(*(found_.column(x).to_pylist() for x in ("shard", "counts", "logs"))))
+        c = np.concatenate([np.zeros(0, "<i8"), *(_ints(p) for _, p, _ in packs)])
+        model = np.concatenate([np.zeros(0), *(np.frombuffer(p, "<f4").astype(float) for _, _, p in packs)])
         base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-        model = tree.value.remembered(keys, c)
-        known, base, model = (c > 0)[at], base[at], model[at]
-        rows, end = [], 0
-        for doc_id, train, doc in zip(texts.column("doc_id").to_pylist(), texts.column("train").to_pylist(), cut):
-            own = slice(end, end := end + len(doc))
-            sums = int(known[own].sum()), n, float(base[own].sum()), float(model[own].sum())
-            # the bytes coded: each token's and the one that closes it
-            n_coded = sum(map(len, doc)) + len(doc) * (1 - BEFORE)
-            rows.append((doc_id, not train, len(doc), *sums, -sums[-1] * LOG2_10 / n_coded))
+        out = []
+        for doc_id, train, coded, at in zip(*(own.column(x).to_pylist() for x in ("doc_id", "train", "coded", "at"))):
+            at = np.frombuffer(at, "<i4")
+            total = float(model[at].sum())
+            sums = len(at), int((c[at] > 0).sum()), n, float(base[at].sum()), total
+            out.append((doc_id, not train, *sums, -total * LOG2_10 / coded))
         types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), *[pa.float64()] * 3]
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
-        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 8, types)], names=names)
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 8, types)], names=names)
 
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
         "score double, bits_per_byte double"
     )
-    return batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, schema)
+    places = sent.filter("shard IS NULL").select("batch", "doc_id", "train", "coded", "at")
+    return places.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, schema)
