@@ -31,7 +31,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -234,14 +235,13 @@ def log10_codes(code: np.ndarray, levels: list[Level]) -> np.ndarray:
     return p
 
 
-def in_order(keys: list[bytes]) -> np.ndarray:
-    """Positions of distinct keys in an order of their own: by hash, which sorts faster than the
-    bytes do."""
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
-    order = np.argsort(hashes)
-    if (np.diff(hashes[order]) == 0).any():
-        return np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
-    return order
+def encoded(keys: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct keys, ascending, and each key's place among them."""
+    held = pa.array(keys, pa.large_binary()).dictionary_encode()
+    order = pc.sort_indices(held.dictionary)
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    return held.dictionary.take(order), place[held.indices.to_numpy()]
 
 
 def distinct_codes(keys: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -270,8 +270,20 @@ def _shard_of(keys: list[bytes], shards: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(key[BEFORE:]) % shards for key in keys), np.int64, len(keys))
 
 
-def _ints(held: bytes) -> np.ndarray:
-    return np.frombuffer(held, "<i8")
+def packed(values: np.ndarray | list[bytes], ascending: bool = False) -> bytes:
+    """Numbers or lines, compressed: most of what is written and shuffled is such packs."""
+    if isinstance(values, list):
+        return zstandard.compress(b"\n".join(values), 1)
+    return zstandard.compress((np.diff(values, prepend=values.dtype.type(0)) if ascending else values).tobytes(), 1)
+
+
+def lines(pack: bytes) -> list[bytes]:
+    return zstandard.decompress(pack).split(b"\n")
+
+
+def numbers(pack: bytes, kind: str = "<i8", ascending: bool = False) -> np.ndarray:
+    values = np.frombuffer(zstandard.decompress(pack), kind)
+    return np.cumsum(values, dtype=kind) if ascending else values
 
 
 def _cuts(of: np.ndarray) -> list[tuple[int, int]]:
@@ -300,25 +312,26 @@ def _send(texts: DataFrame, shards: int) -> DataFrame:
     def cut(batch: int, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
         keys = [keys_of(text) for _, _, text in docs]
         sizes = [len(k) for k in keys]
-        held = pa.array([key for doc in keys for key in doc], pa.large_binary()).dictionary_encode()
-        listed = held.dictionary.to_pylist()
-        of, order = _shard_of(listed, shards), in_order(listed)
-        order = order[np.argsort(of[order], kind="stable")]
+        listed, at = encoded([key for doc in keys for key in doc])
+        listed = listed.to_pylist()
+        of = _shard_of(listed, shards)
+        order = np.argsort(of, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        at = place[held.indices.to_numpy()]
+        at = place[at]
         trained = np.repeat([bool(train) for _, train, _ in docs], sizes)
         counts = np.bincount(at[trained], minlength=len(listed)).astype("<i8")
         none = [None] * 4
         found_ = [
-            (batch, int(of[order[a]]), b"\n".join([listed[i] for i in order[a:b].tolist()]), counts[a:b].tobytes(), *none)
+            (batch, int(of[order[a]]), packed([listed[i] for i in order[a:b].tolist()]), packed(counts[a:b]), *none)
             for a, b in _cuts(of[order])
         ]
         ends = np.cumsum(sizes)
         for (doc_id, train, _), own, end in zip(docs, keys, ends.tolist()):
             # the bytes coded: each token's and the one that closes it
             coded = sum(map(len, own)) + len(own) * (1 - BEFORE)
-            found_.append((batch, None, None, None, doc_id, bool(train), coded, at[end - len(own) : end].astype("<i4").tobytes()))
+            places = packed(at[end - len(own) : end].astype("<i4"))
+            found_.append((batch, None, None, None, doc_id, bool(train), coded, places))
         yield pa.RecordBatch.from_arrays(
             [pa.array(values, field.type) for values, field in zip(zip(*found_), _SENT)], schema=_SENT
         )
@@ -343,24 +356,24 @@ def _learn(packs: DataFrame) -> DataFrame:
     that sent it keys, their places."""
 
     def add(t: pa.Table) -> pa.Table:
-        asked = [words.split(b"\n") for words in t.column("words").to_pylist()]
-        held = pa.array([key for keys in asked for key in keys], pa.large_binary()).dictionary_encode()
-        at, keys = held.indices.to_numpy(), held.dictionary.to_pylist()
+        asked = [lines(words) for words in t.column("words").to_pylist()]
+        keys, at = encoded([key for keys in asked for key in keys])
+        keys = keys.to_pylist()
         n = np.zeros(len(keys), "<i8")
-        np.add.at(n, at, np.concatenate([_ints(c) for c in t.column("counts").to_pylist()]))
+        np.add.at(n, at, np.concatenate([numbers(c) for c in t.column("counts").to_pylist()]))
         word = pa.array([key[BEFORE:] for key in keys], pa.large_binary()).dictionary_encode()
         by_word = np.zeros(len(word.dictionary), "<i8")
         np.add.at(by_word, word.indices.to_numpy(), n)
         ends = np.cumsum([len(keys_) for keys_ in asked])[:-1]
-        places = [part.astype("<i4").tobytes() for part in np.split(at, ends)]
+        places = [packed(part.astype("<i4"), ascending=True) for part in np.split(at, ends)]
         none = [None] * len(asked)
         return pa.table(
             [
                 pa.array([None, *t.column("batch").to_pylist()], pa.int64()),
                 pa.array([t.column("shard")[0].as_py()] * (len(asked) + 1), pa.int64()),
-                pa.array([b"\n".join(keys), *none], pa.binary()),
-                pa.array([n.tobytes(), *none], pa.binary()),
-                pa.array([by_word[word.indices.to_numpy()].tobytes(), *none], pa.binary()),
+                pa.array([packed(keys), *none], pa.binary()),
+                pa.array([packed(n), *none], pa.binary()),
+                pa.array([packed(by_word[word.indices.to_numpy()]), *none], pa.binary()),
                 pa.array([None, *places], pa.binary()),
                 pa.array([int((by_word > 0).sum()), *none], pa.int64()),
                 pa.array([int(n.sum()), *none], pa.int64()),
@@ -374,51 +387,69 @@ def _learn(packs: DataFrame) -> DataFrame:
     )
 
 
-def _code_packs(learned: DataFrame, buckets: int) -> DataFrame:
-    """bucket, shard, codes, counts: the distinct codes of each shard."""
+def _buckets(learned: DataFrame, buckets: int) -> DataFrame:
+    """A row for each bucket: its distinct codes and their training counts; and the shards that sent
+    it codes, with the places of these."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, words, counts in rows(batches, "shard", "words", "counts"):
-            code, bucket, of, starts = distinct_codes(words.split(b"\n"), buckets)
-            times = np.repeat(_ints(counts), np.diff(np.append(starts, len(of))))
+            code, bucket, of, starts = distinct_codes(lines(words), buckets)
+            times = np.repeat(numbers(counts), np.diff(np.append(starts, len(of))))
             total = np.bincount(of, times, len(code)).astype("<i8")
             cuts = _cuts(bucket)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([int(bucket[a]) for a, _ in cuts], pa.int64()),
                     pa.array([shard] * len(cuts), pa.int64()),
-                    pa.array([code[a:b].tobytes() for a, b in cuts], pa.binary()),
-                    pa.array([total[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    pa.array([packed(code[a:b], ascending=True) for a, b in cuts], pa.binary()),
+                    pa.array([packed(total[a:b]) for a, b in cuts], pa.binary()),
                 ],
                 names=["bucket", "shard", "codes", "counts"],
             )
 
-    shards = learned.filter("batch IS NULL").select("shard", "words", "counts")
-    return shards.mapInArrow(cut, "bucket long, shard long, codes binary, counts binary")
+    def together(bucket: int, held: list[tuple]) -> pa.RecordBatch:
+        sent = [numbers(codes, ascending=True) for _, codes, _ in held]
+        code, n = merged(np.concatenate(sent), np.concatenate([numbers(counts) for _, _, counts in held]))
+        at = [packed(np.searchsorted(code, own).astype("<i4"), ascending=True) for own in sent]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([bucket], pa.int64()),
+                pa.array([packed(code, ascending=True)], pa.binary()),
+                pa.array([packed(n)], pa.binary()),
+                pa.array([[shard for shard, _, _ in held]], pa.list_(pa.int64())),
+                pa.array([at], pa.list_(pa.binary())),
+            ],
+            names=["bucket", "codes", "counts", "shards", "at"],
+        )
 
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by bucket."""
+        last, held = None, []
+        for bucket, *pack in rows(batches, "bucket", "shard", "codes", "counts"):
+            if held and bucket != last:
+                yield together(last, held)
+                held = []
+            last = bucket
+            held.append(tuple(pack))
+        if held:
+            yield together(last, held)
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows come sorted by bucket."""
-    last, held = None, []
-    for bucket, shard, codes, counts in rows(batches, "bucket", "shard", "codes", "counts"):
-        if held and bucket != last:
-            yield last, held
-            held = []
-        last = bucket
-        held.append((shard, _ints(codes), _ints(counts)))
-    if held:
-        yield last, held
+    shards = learned.filter("batch IS NULL").select("shard", "words", "counts")
+    packs = shards.mapInArrow(cut, "bucket long, shard long, codes binary, counts binary")
+    dealt = packs.repartition(min(buckets, BUCKET_TASKS), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(
+        merge, "bucket long, codes binary, counts binary, shards array<long>, at array<binary>"
+    )
 
 
-def _trained(packs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    code, n = merged(np.concatenate([c for _, c, _ in packs]), np.concatenate([n for _, _, n in packs]))
-    return code[n > 0], n[n > 0]
+def _trained(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return codes[counts > 0], counts[counts > 0]
 
 
 _SUMS = ("zero", "one", "log_w", "below_zero", "below_one")
 
 
-def _top(dealt: DataFrame) -> list[Level]:
+def _top(buckets: DataFrame) -> list[Level]:
     """Levels of 0 to TOP bytes."""
 
     def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,8 +460,8 @@ def _top(dealt: DataFrame) -> list[Level]:
                 [pa.array(x) for x in merged(*(np.concatenate(x) for x in zip(*held)))], names=["key", *_SUMS]
             )
 
-        for _, packs in _by_bucket(batches):
-            code, n = _trained(packs)
+        for codes, counts in rows(batches, "codes", "counts"):
+            code, n = _trained(numbers(codes, ascending=True), numbers(counts))
             own = nodes_of(*merged(shortened(code, TOP + 1), n))
             key, *sums = weighed(deep_nodes(code, n), TOP + 1)[1]
             place = np.searchsorted(own.key, key)
@@ -446,7 +477,7 @@ def _top(dealt: DataFrame) -> list[Level]:
             yield summed()
 
     schema = "key long, " + ", ".join(f"{name} double" for name in _SUMS)
-    nodes = dealt.mapInArrow(up, schema).groupBy("key").agg(*(F.sum(name).alias(name) for name in _SUMS))
+    nodes = buckets.select("codes", "counts").mapInArrow(up, schema).groupBy("key").agg(*(F.sum(name).alias(name) for name in _SUMS))
 
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One task; the number of nodes has a bound that no corpus passes."""
@@ -463,26 +494,26 @@ def _top(dealt: DataFrame) -> list[Level]:
     return pickle.loads(row["levels"]) if row else top_levels(*nothing, None)
 
 
-def _code_logs(spark: SparkSession, dealt: DataFrame) -> DataFrame:
+def _code_logs(spark: SparkSession, buckets: DataFrame) -> DataFrame:
     """shard, bucket, logs: log10 probabilities in the order of the shard's codes."""
-    top = spark.sparkContext.broadcast(_top(dealt))
+    top = spark.sparkContext.broadcast(_top(buckets))
 
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, packs in _by_bucket(batches):
-            deep = deep_nodes(*_trained(packs))
+        for bucket, codes, counts, shards, at in rows(batches, "bucket", "codes", "counts", "shards", "at"):
+            code = numbers(codes, ascending=True)
+            deep = deep_nodes(*_trained(code, numbers(counts)))
             levels = [*top.value, *mixed(deep, weighed(deep, TOP + 1)[0], TOP + 1, top.value[-1])]
-            every = np.unique(np.concatenate([codes for _, codes, _ in packs]))
-            logs = log10_codes(every, levels).astype("<f4")
+            logs = log10_codes(code, levels).astype("<f4")
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([shard for shard, _, _ in packs], pa.int64()),
-                    pa.array([bucket] * len(packs), pa.int64()),
-                    pa.array([logs[np.searchsorted(every, codes)].tobytes() for _, codes, _ in packs], pa.binary()),
+                    pa.array(shards, pa.int64()),
+                    pa.array([bucket] * len(shards), pa.int64()),
+                    pa.array([packed(logs[numbers(own, "<i4", True)]) for own in at], pa.binary()),
                 ],
                 names=["shard", "bucket", "logs"],
             )
 
-    return dealt.mapInArrow(down, "shard long, bucket long, logs binary")
+    return buckets.mapInArrow(down, "shard long, bucket long, logs binary")
 
 
 def _answers(learned: DataFrame, logs: DataFrame, buckets: int) -> DataFrame:
@@ -491,19 +522,19 @@ def _answers(learned: DataFrame, logs: DataFrame, buckets: int) -> DataFrame:
     def answer(t: pa.Table, logs: pa.Table) -> pa.Table:
         batch = t.column("batch").to_pylist()
         own = batch.index(None)
-        _, _, of, starts = distinct_codes(t.column("words")[own].as_py().split(b"\n"), buckets)
+        _, _, of, starts = distinct_codes(lines(t.column("words")[own].as_py()), buckets)
         packs = sorted(zip(logs.column("bucket").to_pylist(), logs.column("logs").to_pylist()))
-        by_code = np.frombuffer(b"".join(p for _, p in packs), "<f4").astype(float)
+        by_code = np.concatenate([numbers(p, "<f4") for _, p in packs]).astype(float)
         by_key = np.add.reduceat(by_code[of], starts).astype("<f4")
-        words = _ints(t.column("word_counts")[own].as_py())
+        words = numbers(t.column("word_counts")[own].as_py())
         asked = [i for i in range(len(batch)) if i != own]
-        at = [np.frombuffer(t.column("at")[i].as_py(), "<i4") for i in asked]
+        at = [numbers(t.column("at")[i].as_py(), "<i4", True) for i in asked]
         return pa.table(
             [
                 pa.array([batch[i] for i in asked], pa.int64()),
                 pa.array([t.column("shard")[own].as_py()] * len(asked), pa.int64()),
-                pa.array([words[a].tobytes() for a in at], pa.binary()),
-                pa.array([by_key[a].tobytes() for a in at], pa.binary()),
+                pa.array([packed(words[a]) for a in at], pa.binary()),
+                pa.array([packed(by_key[a]) for a in at], pa.binary()),
             ],
             names=["batch", "shard", "counts", "logs"],
         )
@@ -529,19 +560,17 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     learned = saved(spark, _learn(sent.filter("shard IS NOT NULL").select("batch", "shard", "words", "counts")), "keys")
     totals = learned.agg(F.sum("n_tokens"), F.sum("n_words")).first()
     n, v = int(totals[0] or 0), int(totals[1] or 0)
-    tasks = min(buckets, BUCKET_TASKS)
-    packs = saved(spark, _code_packs(learned, buckets), "codes")
-    dealt = packs.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    answers = _answers(learned, _code_logs(spark, dealt), buckets)
+    codes = saved(spark, _buckets(learned, buckets), "codes")
+    answers = _answers(learned, _code_logs(spark, codes), buckets)
 
     def score(own: pa.Table, found_: pa.Table) -> pa.Table:
         packs = sorted(zip(*(found_.column(x).to_pylist() for x in ("shard", "counts", "logs"))))
-        c = np.concatenate([np.zeros(0, "<i8"), *(_ints(p) for _, p, _ in packs)])
-        model = np.concatenate([np.zeros(0), *(np.frombuffer(p, "<f4").astype(float) for _, _, p in packs)])
+        c = np.concatenate([np.zeros(0, "<i8"), *(numbers(p) for _, p, _ in packs)])
+        model = np.concatenate([np.zeros(0), *(numbers(p, "<f4").astype(float) for _, _, p in packs)])
         base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
         out = []
         for doc_id, train, coded, at in zip(*(own.column(x).to_pylist() for x in ("doc_id", "train", "coded", "at"))):
-            at = np.frombuffer(at, "<i4")
+            at = numbers(at, "<i4")
             total = float(model[at].sum())
             sums = len(at), int((c[at] > 0).sum()), n, float(base[at].sum()), total
             out.append((doc_id, not train, *sums, -total * LOG2_10 / coded))
