@@ -89,6 +89,37 @@ def test_pairs_count_for_more_than_both_terms():
     assert np.mean(wrong) < 0.1  # no sum of weights for single terms gets under one quarter
 
 
+def rare_pairs(n, seed):
+    """Some rows are toxic by an insult; two rare terms that tell nothing alone make a row toxic together."""
+    rng = np.random.default_rng(seed)
+    for _ in range(n):
+        found, draw, toxic = set(rng.integers(100, 900, 15).tolist()), rng.random(), rng.random() < 0.1
+        found |= {7} if toxic else set()
+        pair = draw < 0.006
+        found |= {1, 2} if pair else {1} if draw < 0.021 else {2} if draw < 0.036 else set()
+        yield np.array(sorted(found)), bool(toxic or pair), pair
+
+
+def test_rare_pairs_of_harmless_terms_are_learned():
+    machine = toxicity.fit([(x, int(y)) for x, y, _ in rare_pairs(8000, 1)])
+    judged = [(machine.score(x) >= toxicity.THRESHOLD, y, pair) for x, y, pair in rare_pairs(4000, 2)]
+    assert np.mean([found for found, _, pair in judged if pair]) > 0.8
+    assert np.mean([found for found, y, _ in judged if not y]) < 0.01
+
+
+def test_every_kept_term_has_factors():
+    machine = toxicity.fit([(x, int(y)) for x, y, _ in rare_pairs(1000, 3)])
+    assert len(machine.at) > 700 and (machine.factors != 0).all()
+
+
+def test_calibration_is_that_of_the_log_odds():
+    rng = np.random.default_rng(2)
+    odds = rng.normal(0, 1, 20000)
+    labels = (rng.random(20000) < toxicity.logistic(2.5 * odds + 1)).astype(float)
+    assert toxicity.calibration(odds, labels) == pytest.approx((2.5, 1), abs=0.1)
+    assert toxicity.calibration(-odds, labels) == (1.0, 0.0)
+
+
 def unusable(n):
     return [(n, None, 1), (n + 1, [], 1), (n + 2, [float("nan")] * 8, 1), (n + 3, [1.0] * 7 + [None], 1),
             (n + 4, [0.0] * 8, 1), (n + 5, [float("inf")] * 8, 2)]
