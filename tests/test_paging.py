@@ -155,3 +155,27 @@ def test_another_scope_path_or_none_skips_nothing(spark, lake):
         assert (parsed.count(), rows_skipped) == (run.pages, 0)
     other = CHAPTERS.with_changes(scope=("state", ("ZZ",)))
     assert read_landed_in_scope(spark, lake, run, other)[1] == run.rows_in
+
+
+@settings(
+    deadline=None, derandomize=True, database=None, max_examples=25,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(rows=PAGES)
+def test_pages_in_missing_ranges_are_all_found(spark, rows):
+    rows = [("a", *row[1:]) for row in rows]
+    wanted = [(n,) for n in [None, *range(-1, 20)]]
+    found = page_source.in_missing_pages(spark.createDataFrame(wanted, "page_no long"), spark.createDataFrame(rows, COUNTED))
+    ranges = model(rows)
+    expected = [
+        n for (n,) in wanted
+        if n is not None and any(n >= first and (last is None or n <= last) for _, first, last in ranges)
+    ]
+    assert sorted(row["page_no"] for row in found.collect()) == expected
+
+
+def test_pages_beyond_the_named_ranges_are_found(spark):
+    rows = [("a", n, 1, n < 99, None) for n in range(1, 100, 2)]
+    wanted = spark.createDataFrame([(n, f"page {n}") for n in range(1, 120)], "page_no long, document string")
+    found = page_source.in_missing_pages(wanted, spark.createDataFrame(rows, COUNTED))
+    assert sorted(row["page_no"] for row in found.collect()) == list(range(2, 99, 2))

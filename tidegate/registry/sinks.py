@@ -4,8 +4,6 @@ it reads back."""
 from __future__ import annotations
 
 from datetime import datetime, timezone
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +42,7 @@ from tidegate.registry.on_tables import (
     silver_lines,
 )
 from tidegate.session import scratch_path
-from tidegate.sources.pages import page_audit, page_statistics, parse_documents
+from tidegate.sources.pages import in_missing_pages, page_audit, page_statistics, parse_documents
 from tidegate.sources.runs import (
     LandedRun,
     find_run,
@@ -97,14 +95,11 @@ def landing_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
             break
         except LandingError as refusal:
             attempt = refusal.attempt
+            refused = spark.read.parquet(f"{lake.bronze}/{attempt}")
             if pages_kept is None:
-                pages_kept = spark.read.parquet(f"{lake.bronze}/{attempt}").count()
-            number = F.col("page_no")
-            wanted = [
-                number >= first if last is None else number.between(first, last)
-                for first, last in refusal.missing
-            ]
-            fetched = documents.filter(reduce(or_, wanted))
+                pages_kept = refused.count()
+            # a refusal names the first ranges only; all that the refused batch lacks is fetched at once
+            fetched = in_missing_pages(documents, refused)
     landed = page_statistics(read_landed_documents(spark, lake, run), CHAPTERS)
     return landed.select("page_no", "n_records", F.lit(pages_kept).cast("long").alias("pages_kept"))
 

@@ -239,6 +239,33 @@ def missing_pages(statistics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return closed.unionByName(beyond)
 
 
+def in_missing_pages(documents: DataFrame, statistics: DataFrame) -> DataFrame:
+    """The rows of ``documents`` whose ``page_no`` lies in a range ``missing_pages`` finds for the one
+    run of ``statistics``, however many ranges there are.
+
+    Those ranges hold every number from 1 up to the highest sound page that is no sound page, and all
+    numbers beyond that page while it says there is more. So a join on the page number and one
+    aggregate find them, where a join of numbers with ranges would pair every page with every range.
+    """
+    sound = sound_page() & F.coalesce(F.col("page_no") >= 1, F.lit(False))
+    goes_on = F.col("more") & (F.coalesce(F.col("n_records"), F.lit(0)) > 0)
+    pages = (
+        statistics.select(
+            F.when(sound, F.col("page_no")).otherwise(0).alias("page_no"),
+            F.when(sound, goes_on).otherwise(True).alias("goes_on"),
+        )
+        .groupBy("page_no")
+        .agg(F.bool_and("goes_on").alias("goes_on"))
+    )
+    last = pages.agg(
+        F.max("page_no").alias("last_page"), F.max_by("goes_on", "page_no").alias("last_goes_on")
+    )
+    candidates = documents.filter(F.coalesce(F.col("page_no") >= 1, F.lit(False)))
+    lacking = candidates.join(pages.filter(F.col("page_no") >= 1).select("page_no"), "page_no", "left_anti")
+    within = (F.col("page_no") <= F.col("last_page")) | F.col("last_goes_on")
+    return lacking.crossJoin(F.broadcast(last)).filter(F.coalesce(within, F.lit(False))).select(*documents.columns)
+
+
 #: Ranges named in a refusal; ``missing_pages`` has them all.
 RANGES_NAMED = 20
 
